@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 # Keeps from_json as lenient and as strict as get_json_object on the same text.
 _PARSE_OPTIONS = {
-    "allowUnescapedControlChars": "true",
+    "allowUnquotedControlChars": "true",
     "allowNonNumericNumbers": "false",
 }
 
@@ -36,4 +36,5 @@ def field_struct(text: Column, paths: Iterable[str]) -> Column:
 
 def quoted_list(text: Column) -> Column:
     """A JSON array as a list of strings; any other text as a one-element list."""
-    return F.coalesce(F.from_json(text, "array<string>", _PARSE_OPTIONS), F.array(text))
+    parsed = F.from_json(text, "array<string>", _PARSE_OPTIONS)
+    return F.when(text.isNotNull(), F.coalesce(parsed, F.array(text)))

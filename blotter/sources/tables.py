@@ -24,6 +24,13 @@ _FILE_FIELDS = [
     T.StructField("content", T.BinaryType()),
 ]
 
+_LISTING_FIELDS = [
+    T.StructField("file_path", T.StringType()),
+    T.StructField("file_uri", T.StringType()),
+    T.StructField("modified", T.TimestampType()),
+    T.StructField("file_size", T.LongType()),
+]
+
 
 def _or_empty(
     spark: SparkSession, load: Callable[[], DataFrame], schema: T.StructType
@@ -84,24 +91,28 @@ def list_files(
 ) -> DataFrame:
     """One row per Parquet file with its partition values; no file is opened.
 
+    ``file_path`` is the path to open, ``file_uri`` the same file as table scans name it.
     With ``day`` only that day's folder is listed. An absent folder lists as empty.
     """
-    columns = [T.StructField(p, T.StringType()) for p in partitions]
-    schema = T.StructType(_FILE_FIELDS + columns)
+    keys = [T.StructField(p, T.StringType()) for p in partitions]
     reader = (
         spark.read.format("binaryFile")
-        .schema(schema)
+        .schema(T.StructType(_FILE_FIELDS + keys))
         .option("basePath", root)
         .option("pathGlobFilter", "*.parquet")
     )
     path = f"{root}/{partitions[0]}={day}" if day else root
-    files = _or_empty(spark, partial(reader.load, path), schema)
-    return files.select(
-        *partitions,
-        F.col("path").alias("file_path"),
-        F.col("modificationTime").alias("modified"),
-        F.col("length").alias("file_size"),
-    )
+
+    def load() -> DataFrame:
+        return reader.load(path).select(
+            *partitions,
+            F.col("path").alias("file_path"),
+            F.col("_metadata.file_path").alias("file_uri"),
+            F.col("modificationTime").alias("modified"),
+            F.col("length").alias("file_size"),
+        )
+
+    return _or_empty(spark, load, T.StructType(keys + _LISTING_FIELDS))
 
 
 def discover_areas(
@@ -148,9 +159,9 @@ def read_files(
     if len(listed) <= MAX_LISTED_FILES:
         return reader.parquet(*[row.file_path for row in listed])
     table = reader.parquet(root)
-    path = F.col("_metadata.file_path").alias("__path")
-    wanted = files.select(F.col("file_path").alias("__path"))
-    return table.select("*", path).join(wanted, "__path", "left_semi").drop("__path")
+    uri = F.col("_metadata.file_path").alias("__uri")
+    wanted = files.select(F.col("file_uri").alias("__uri"))
+    return table.select("*", uri).join(wanted, "__uri", "left_semi").drop("__uri")
 
 
 def sample_read(table: DataFrame) -> DataFrame:
