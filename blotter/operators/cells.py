@@ -6,6 +6,8 @@ to at most one row per cell before the shuffle, however hot a single area or cat
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +23,13 @@ def _count(df: DataFrame, keys: list[Column], clock: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(COUNT), F.max(clock).alias(LAST))
 
 
-def hour_cells(records: DataFrame, names: Names = NAMES) -> DataFrame:
-    """One row per date, area, category and hour, straight from the facts."""
+def hour_cells(
+    records: DataFrame, names: Names = NAMES, by: Sequence[str] = ()
+) -> DataFrame:
+    """One row per date, area, category and hour, straight from the facts.
+
+    ``by`` names more columns to keep the cells apart by, such as a batch.
+    """
     clock = F.col(names.clock)
     # Grouping on the date and hour as integers; the weekday follows from the date.
     cells = _count(
@@ -32,6 +39,7 @@ def hour_cells(records: DataFrame, names: Names = NAMES) -> DataFrame:
             F.col(names.area),
             F.col(names.category),
             F.hour(clock).alias("hour"),
+            *[F.col(c) for c in by],
         ],
         names.clock,
     )
@@ -41,6 +49,7 @@ def hour_cells(records: DataFrame, names: Names = NAMES) -> DataFrame:
         names.category,
         "hour",
         F.dayofweek(_DAY).alias("day_of_week"),
+        *by,
         COUNT,
         LAST,
     )

@@ -1,8 +1,10 @@
 """Live sets: rows by id with a time to live, measured from their stored arrival time.
 
 A live set at a reference time holds the rows that arrived at or before it and less than
-the time to live ago. All operators take the reference time as a value or a column, so a
-result can be repeated later; none of them reads the wall clock.
+the time to live ago. All operators take the reference time as a value, so a result can be
+repeated later; none of them reads the wall clock. The reference may also be a frame of one
+row and column, such as the newest arrival: its value is read first, so that the bounds are
+literals that reach the scan and prune partitions.
 """
 
 from __future__ import annotations
@@ -16,13 +18,24 @@ from blotter.functions import seconds
 from blotter.operators.ranking import latest_per_group
 
 
-def _as_column(value: Column | datetime) -> Column:
-    return value if isinstance(value, Column) else F.lit(value)
+Reference = Column | datetime | DataFrame
+
+
+def reference_time(reference: Reference) -> Column:
+    """The reference time as a column; of a frame the one value it holds is read."""
+    if isinstance(reference, Column):
+        return reference
+    if isinstance(reference, datetime):
+        return F.lit(reference)
+    at = F.col(reference.columns[0])
+    if reference.schema[0].dataType.typeName() == "timestamp_ntz":
+        return F.lit(reference.select(at.cast("string")).first()[0]).cast("timestamp_ntz")
+    return F.timestamp_micros(F.lit(reference.select(F.unix_micros(at)).first()[0]))
 
 
 def live_rows(
     df: DataFrame,
-    reference: Column | datetime,
+    reference: Reference,
     ttl_seconds: int,
     clock: str = "added_at",
     date: str | None = None,
@@ -31,7 +44,7 @@ def live_rows(
 
     Name the ``date`` partition column of the table to read only the days that can match.
     """
-    now = _as_column(reference)
+    now = reference_time(reference)
     oldest = now - seconds(ttl_seconds)
     alive = df.where((F.col(clock) > oldest) & (F.col(clock) <= now))
     if date:
@@ -51,7 +64,7 @@ def first_per_id(
 
 def live_set(
     df: DataFrame,
-    reference: Column | datetime,
+    reference: Reference,
     ttl_seconds: int,
     ids: list[str],
     clock: str = "added_at",
@@ -96,8 +109,8 @@ def extend_live(live: DataFrame, fresh: DataFrame) -> DataFrame:
 
 def feed_metrics(
     df: DataFrame,
-    previous: Column | datetime,
-    reference: Column | datetime,
+    previous: Reference,
+    reference: Reference,
     ttl_seconds: int,
     ids: list[str],
     clock: str = "added_at",
@@ -107,7 +120,7 @@ def feed_metrics(
     def alive_at(at: Column) -> Column:
         return (F.col(clock) > at - seconds(ttl_seconds)) & (F.col(clock) <= at)
 
-    before, now = alive_at(_as_column(previous)), alive_at(_as_column(reference))
+    before, now = alive_at(reference_time(previous)), alive_at(reference_time(reference))
     states = (
         df.where(before | now)
         .groupBy(*ids)

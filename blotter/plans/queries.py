@@ -61,9 +61,9 @@ def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _newest(feed: DataFrame, back_seconds: int = 0) -> Column:
-    """The reference time: the newest arrival, or some time before it."""
-    return feed.agg((F.max("added_at") - seconds(back_seconds)).alias("reference")).scalar()
+def _newest(feed: DataFrame, back_seconds: int = 0) -> DataFrame:
+    """The reference time as one row: the newest arrival, or some time before it."""
+    return feed.agg((F.max("added_at") - seconds(back_seconds)).alias("reference"))
 
 
 def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,15 +200,10 @@ def reporter_counts(spark, sf_dir):
 
 @query
 def merged_batch_cells(spark, sf_dir):
-    """Cells of six-hour batches, merged again, must give the plain statistics."""
+    """Cells kept apart by batch, merged again, must give the plain statistics."""
     records = ev.incidents(spark, sf_dir).withColumn("batch", F.hour("processing_time") % 6)
-    parts = [
-        cells.hour_cells(records.where(F.col("batch") == b)) for b in range(6)
-    ]
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    return rollups.statistics(cells.fold_to_days(cells.merge_cells(union)))
+    batches = cells.hour_cells(records, by=["batch"])
+    return rollups.statistics(cells.fold_to_days(cells.merge_cells(batches)))
 
 
 # ----------------------------------------------------------------- density
@@ -300,7 +295,7 @@ def windowed_alerts(spark, sf_dir):
 def _alert_feed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
     stored = _alerts(spark, sf_dir)
     feed = alerts.normalise_alerts(stored, F.col("alert_time"))
-    return feed, _newest(_feed(spark, sf_dir))
+    return feed, feeds.reference_time(_newest(_feed(spark, sf_dir)))
 
 
 @query
@@ -392,13 +387,14 @@ def feed_metrics(spark, sf_dir):
 @query
 def incident_view(spark, sf_dir):
     points = decode_points(_records(spark, sf_dir))
-    return feeds.incident_view(feeds.live_rows(points, _newest(points), DAY))
+    now = _newest(_feed(spark, sf_dir))
+    return feeds.incident_view(feeds.live_rows(points, now, DAY))
 
 
 @query
 def age_labels(spark, sf_dir):
     feed = _feed(spark, sf_dir)
-    age = age_seconds(F.col("added_at"), _newest(feed))
+    age = age_seconds(F.col("added_at"), feeds.reference_time(_newest(feed)))
     aged = feed.select("id", age.alias("time_ago"))
     return aged.withColumn("time_ago_label", age_label(F.col("time_ago")))
 

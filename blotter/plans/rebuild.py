@@ -4,19 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from blotter.operators.cells import hour_cells
 from blotter.schema import FACT_SCHEMA, FACTS
 from blotter.session import cut_lineage
-from blotter.sinks.tables import replace_partitions
 from blotter.sources.tables import read_days, read_table
-from blotter.streaming.job import ROLLUPS, Job, derive_rollups
+from blotter.streaming.job import Job, write_rollups
 
 
 def rebuild_rollups(
     spark: SparkSession, job: Job, days: Sequence[str] | None = None
-) -> dict[str, DataFrame]:
+) -> None:
     """Rebuild the rollups of the given days, or of all days, in one pass over the facts.
 
     The hour cells are written to the shared folder once and every table is derived from
@@ -26,7 +25,4 @@ def rebuild_rollups(
         facts = read_table(spark, job.path(FACTS), FACT_SCHEMA)
     else:
         facts = read_days(spark, job.path(FACTS), days, FACT_SCHEMA)
-    rollups = derive_rollups(cut_lineage(hour_cells(facts)), job.universe)
-    for table, rows in rollups.items():
-        replace_partitions(rows, job.path(table), ROLLUPS[table], job.compression)
-    return rollups
+    write_rollups(spark, job, cut_lineage(hour_cells(facts)))

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.operators.alerts import alert_view, normalise_alerts
@@ -15,7 +14,13 @@ from blotter.operators.density import (
     rank_density,
     relative_density,
 )
-from blotter.operators.feeds import incident_view, live_rows, live_set
+from blotter.operators.feeds import (
+    Reference,
+    incident_view,
+    live_rows,
+    live_set,
+    reference_time,
+)
 from blotter.operators.points import decode_points
 from blotter.schema import (
     ALERT_FILES_PER_AREA,
@@ -39,15 +44,11 @@ from blotter.sources.tables import latest_files, list_files, read_files
 _BY_BATCH = (NAMES.date, NAMES.area, BATCH_KEY)
 
 
-def _as_column(value: Column | datetime) -> Column:
-    return value if isinstance(value, Column) else F.lit(value)
-
-
 def live_incidents(
     spark: SparkSession,
     root: str,
     day: str,
-    reference: Column | datetime,
+    reference: Reference,
     ttl_seconds: int = INCIDENT_TTL_SECONDS,
     files_per_area: int = INCIDENT_FILES_PER_AREA,
     partitions: Sequence[str] = _BY_BATCH,
@@ -64,14 +65,14 @@ def live_alerts(
     spark: SparkSession,
     root: str,
     day: str,
-    reference: Column | datetime,
+    reference: Reference,
     ttl_seconds: int = ALERT_TTL_SECONDS,
     files_per_area: int = ALERT_FILES_PER_AREA,
     partitions: Sequence[str] = _BY_BATCH,
 ) -> DataFrame:
     """The alert feed at the reference time, from the newest alert files of each area."""
     path = f"{root}/{ALERTS}"
-    now = _as_column(reference)
+    now = reference_time(reference)
     newest = latest_files(list_files(spark, path, partitions, day), files_per_area)
     schema = with_batch_key(ALERT_SCHEMA) if BATCH_KEY in partitions else ALERT_SCHEMA
     stored = read_files(spark, path, newest, schema)
@@ -80,13 +81,13 @@ def live_alerts(
 
 
 def density_records(
-    spark: SparkSession, root: str, day: str, clock: Column | datetime, files: int = DENSITY_FILES
+    spark: SparkSession, root: str, day: str, clock: Reference, files: int = DENSITY_FILES
 ) -> DataFrame:
     """Normalised density rows of the newest files of a day, cut for repeated use."""
     path = f"{root}/{DENSITY}"
     newest = latest_files(list_files(spark, path, (NAMES.date,), day), files, group=())
     stored = read_files(spark, path, newest, DENSITY_SCHEMA)
-    return cut_lineage(normalise_density(stored, _as_column(clock)))
+    return cut_lineage(normalise_density(stored, reference_time(clock)))
 
 
 def density_report(records: DataFrame) -> tuple[DataFrame, DataFrame]:

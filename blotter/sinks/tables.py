@@ -12,14 +12,31 @@ from blotter.schema import BATCH_KEY, NAMES
 DAY = (NAMES.date,)
 DAY_AREA = (NAMES.date, NAMES.area)
 
+# How rows are placed on tasks before a partitioned write.
+REBALANCE = "rebalance"  # few files; adaptive execution splits hot partitions over tasks
+GATHER = "gather"  # each partition in one task, for row counts known to be small
+AS_IS = "as-is"  # no shuffle; every task writes its share of every partition
 
-def _by_partition(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
-    """Gather the rows of a partition into few files.
+# Up to this many rows a table part counts as small.
+SMALL_ROWS = 1_000_000
+GATHER_TASKS = 32
 
-    The rebalance hint lets adaptive execution split a hot partition over several tasks and
-    put small ones together.
-    """
-    return df.hint("rebalance", *partitions)
+
+def layout_for(row_count: int) -> str:
+    """Gather small results; rebalance anything larger."""
+    return GATHER if row_count <= SMALL_ROWS else REBALANCE
+
+
+def _placed(df: DataFrame, partitions: Sequence[str], layout: str) -> DataFrame:
+    if layout == REBALANCE:
+        return df.hint("rebalance", *partitions)
+    if layout == GATHER:
+        # A fixed number, so that many small partition folders are written side by side.
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        return df.repartition(min(cores, GATHER_TASKS), *partitions)
+    if layout == AS_IS:
+        return df
+    raise ValueError(f"unknown layout {layout!r}")
 
 
 def _write(
@@ -28,12 +45,12 @@ def _write(
     partitions: Sequence[str],
     mode: str,
     compression: str,
-    rebalance: bool = True,
+    layout: str,
     **options: str,
 ) -> None:
-    rows = _by_partition(df, partitions) if rebalance else df
     (
-        rows.write.mode(mode)
+        _placed(df, partitions, layout)
+        .write.mode(mode)
         .partitionBy(*partitions)
         .option("compression", compression)
         .options(**options)
@@ -46,17 +63,23 @@ def append_rows(
     path: str,
     partitions: Sequence[str] = DAY_AREA,
     compression: str = "gzip",
-    rebalance: bool = True,
+    layout: str = REBALANCE,
 ) -> None:
     """Add the rows to the table; a repeated write adds them again."""
-    _write(df, path, partitions, "append", compression, rebalance)
+    _write(df, path, partitions, "append", compression, layout)
 
 
 def replace_table(
-    df: DataFrame, path: str, partitions: Sequence[str] = DAY, compression: str = "gzip"
+    df: DataFrame,
+    path: str,
+    partitions: Sequence[str] = DAY,
+    compression: str = "gzip",
+    layout: str = REBALANCE,
 ) -> None:
     """Replace the whole table, also by nothing."""
-    _write(df, path, partitions, "overwrite", compression, partitionOverwriteMode="static")
+    _write(
+        df, path, partitions, "overwrite", compression, layout, partitionOverwriteMode="static"
+    )
 
 
 def replace_partitions(
@@ -64,11 +87,11 @@ def replace_partitions(
     path: str,
     partitions: Sequence[str] = DAY,
     compression: str = "gzip",
-    rebalance: bool = True,
+    layout: str = REBALANCE,
 ) -> None:
     """Replace only the partitions that have rows in ``df``."""
     _write(
-        df, path, partitions, "overwrite", compression, rebalance, partitionOverwriteMode="dynamic"
+        df, path, partitions, "overwrite", compression, layout, partitionOverwriteMode="dynamic"
     )
 
 
@@ -78,8 +101,8 @@ def write_batch(
     batch_key: str,
     partitions: Sequence[str] = DAY_AREA,
     compression: str = "gzip",
-    rebalance: bool = True,
+    layout: str = REBALANCE,
 ) -> None:
     """Add the rows of one batch under its key; a repeated write replaces them."""
     keyed = df.withColumn(BATCH_KEY, F.lit(batch_key))
-    replace_partitions(keyed, path, [*partitions, BATCH_KEY], compression, rebalance)
+    replace_partitions(keyed, path, [*partitions, BATCH_KEY], compression, layout)

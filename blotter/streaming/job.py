@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from blotter.operators.alerts import critical_alerts
-from blotter.operators.cells import fold_to_days, hour_cells, merge_cells
+from blotter.operators.cells import COUNT, fold_to_days, hour_cells, merge_cells
 from blotter.operators.envelope import fact_rows, topic_rows
 from blotter.operators.rollups import correlation, density, statistics, temporal_profile
 from blotter.schema import (
@@ -32,7 +34,10 @@ from blotter.schema import (
 from blotter.sinks.tables import (
     DAY,
     DAY_AREA,
+    GATHER,
+    REBALANCE,
     append_rows,
+    layout_for,
     replace_partitions,
     replace_table,
     write_batch,
@@ -64,6 +69,9 @@ class Job:
 
     ``refresh=False`` leaves the rollup tables to ``refresh_rollups`` on a schedule; with
     short triggers over a long day this saves reading the day's cells every time.
+
+    ``fact_layout`` places the facts of large batches: the default rebalances them into few
+    files; ``as-is`` saves that shuffle where every source task fills whole files anyway.
     """
 
     root: str
@@ -73,6 +81,7 @@ class Job:
     topic_writer: Callable[[DataFrame], None] | None = None
     refresh: bool = True
     compression: str = "gzip"
+    fact_layout: str = REBALANCE
 
     def __post_init__(self) -> None:
         if self.mode not in (CUMULATIVE, LAST_BATCH):
@@ -101,50 +110,80 @@ def _stored_cells(spark: SparkSession, job: Job, touched: DataFrame) -> DataFram
     return read_table(spark, job.path(CELLS), schema).join(touched, NAMES.date, "left_semi")
 
 
+def _together(spark: SparkSession, writes: Sequence[Callable[[], None]]) -> None:
+    """Run independent writes side by side; the first failure is raised after all ended."""
+    with ThreadPoolExecutor(max_workers=max(len(writes), 1)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]
+    for write in running:
+        write.result()
+
+
+def write_rollups(
+    spark: SparkSession,
+    job: Job,
+    merged_hours: DataFrame,
+    write: Callable[..., None] = replace_partitions,
+) -> None:
+    """Derive and write the four rollup tables of a set of merged hour cells."""
+    layout = layout_for(merged_hours.count())
+    _together(
+        spark,
+        [
+            partial(write, rows, job.path(table), ROLLUPS[table], job.compression, layout)
+            for table, rows in derive_rollups(merged_hours, job.universe).items()
+        ],
+    )
+
+
 def refresh_rollups(spark: SparkSession, job: Job, touched: DataFrame) -> None:
     """Rebuild the rollup tables of the days in ``touched`` from the stored cells."""
     merged = merge_cells(_stored_cells(spark, job, touched)).persist(
         StorageLevel.MEMORY_AND_DISK
     )
     try:
-        for table, rows in derive_rollups(merged, job.universe).items():
-            replace_partitions(rows, job.path(table), ROLLUPS[table], job.compression)
+        write_rollups(spark, job, merged)
     finally:
         merged.unpersist()
 
 
-def _write_cumulative(job: Job, batch: DataFrame, hours: DataFrame, batch_key: str) -> None:
-    spark = batch.sparkSession
-    write_batch(fact_rows(batch), job.path(FACTS), batch_key, DAY_AREA, job.compression)
-    write_batch(hours, job.path(CELLS), batch_key, DAY, job.compression)
-    alerts = critical_alerts(fold_to_days(hours), job.thresholds)
-    write_batch(alerts, job.path(ALERTS), batch_key, DAY_AREA, job.compression)
-    if job.refresh:
-        refresh_rollups(spark, job, hours.select(NAMES.date).distinct())
-
-
-def _write_last_batch(job: Job, batch: DataFrame, hours: DataFrame) -> None:
-    append_rows(fact_rows(batch), job.path(FACTS), DAY_AREA, job.compression)
-    for table, rows in derive_rollups(hours, job.universe).items():
-        replace_table(rows, job.path(table), ROLLUPS[table], job.compression)
-    alerts = critical_alerts(fold_to_days(hours), job.thresholds)
-    replace_table(alerts, job.path(ALERTS), DAY_AREA, job.compression)
-
-
 def write_micro_batch(job: Job, batch: DataFrame, stream_id: str, batch_id: int) -> None:
     """Write one batch of decoded records everywhere; any failure fails the batch.
 
     The batch is persisted, so the source is read once for all writes.
     """
+    spark = batch.sparkSession
     batch.persist(StorageLevel.MEMORY_AND_DISK)
     hours = hour_cells(batch).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        size = hours.agg(
+            F.count(F.lit(1)).alias("cells"), F.coalesce(F.sum(COUNT), F.lit(0)).alias("rows")
+        ).first()
+        fact_layout = GATHER if layout_for(size.rows) == GATHER else job.fact_layout
+        cell_layout = layout_for(size.cells)
+        facts = fact_rows(batch)
+        alerts = critical_alerts(fold_to_days(hours), job.thresholds)
+        paths = job.path(FACTS), job.path(CELLS), job.path(ALERTS)
+        codec = job.compression
+        writes: list[Callable[[], None]] = []
         if job.topic_writer is not None:
-            job.topic_writer(topic_rows(batch))
+            writes.append(partial(job.topic_writer, topic_rows(batch)))
         if job.mode == CUMULATIVE:
-            _write_cumulative(job, batch, hours, f"{stream_id}-{batch_id:012d}")
+            key = f"{stream_id}-{batch_id:012d}"
+            writes += [
+                partial(write_batch, facts, paths[0], key, DAY_AREA, codec, fact_layout),
+                partial(write_batch, hours, paths[1], key, DAY, codec, cell_layout),
+                partial(write_batch, alerts, paths[2], key, DAY_AREA, codec, cell_layout),
+            ]
+            _together(spark, writes)
+            if job.refresh:
+                refresh_rollups(spark, job, hours.select(NAMES.date).distinct())
         else:
-            _write_last_batch(job, batch, hours)
+            writes += [
+                partial(append_rows, facts, paths[0], DAY_AREA, codec, fact_layout),
+                partial(replace_table, alerts, paths[2], DAY_AREA, codec, cell_layout),
+                partial(write_rollups, spark, job, hours, replace_table),
+            ]
+            _together(spark, writes)
     finally:
         hours.unpersist()
         batch.unpersist()

@@ -1,0 +1,112 @@
+"""What the physical plans must and must not contain."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from blotter.operators import cells, density, envelope, feeds, lookups, ranking, rollups
+from blotter.plans import events as ev
+from blotter.plans.queries import QUERIES
+from blotter.schema import FACT_SCHEMA
+from blotter.sinks.tables import append_rows
+from blotter.sources.tables import list_files, read_days, read_table
+
+SF = "/root/testdata/sf0.001"
+STORING = re.compile(
+    "stream|scan|discovery|census|latest_files|sample_read|replaced|density_percent"
+)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def exchanges(text):
+    return len(re.findall(r"Exchange (hash|range)partitioning", text))
+
+
+@pytest.fixture(scope="module")
+def incidents(spark):
+    return ev.incidents(spark, SF)
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not STORING.search(n)))
+def test_no_query_leaves_the_jvm_or_multiplies_rows(spark, name):
+    text = plan(QUERIES[name](spark, SF))
+    for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "ArrowEval"):
+        assert banned not in text
+    # No window without a partition key.
+    assert not re.search(r"Window \[.*\], \[\], \[", text)
+
+
+@pytest.mark.parametrize(
+    "build, count",
+    [
+        (lambda i: rollups.statistics(cells.day_cells(i)), 1),
+        (lambda i: rollups.temporal_profile(cells.hour_cells(i)), 1),
+        (lambda i: rollups.density(cells.day_cells(i)), 2),
+        (lambda i: rollups.correlation(cells.day_cells(i)), 2),
+        (lambda i: ranking.latest_per_group(i, ["district"], [F.desc("processing_time")], 3), 1),
+        (lambda i: lookups.category_attribute(i, "crime_type"), 0),
+    ],
+)
+def test_shuffle_counts(incidents, build, count):
+    assert exchanges(plan(build(incidents))) == count
+
+
+def test_aggregates_read_only_their_columns(incidents):
+    text = plan(rollups.statistics(cells.day_cells(incidents)))
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string>" in text
+    assert "partial_count" in text
+
+
+def test_groups_are_limited_before_the_shuffle(incidents):
+    shallow = plan(ranking.latest_per_group(incidents, ["district"], [F.desc("value")], 8))
+    assert "WindowGroupLimit" in shallow and "Partial" in shallow
+    assert shallow.index("Final") < shallow.index("Exchange") < shallow.index("Partial")
+    deep = plan(ranking.latest_per_group(incidents, ["district"], [F.desc("value")], 5000))
+    assert exchanges(deep) == 2 and "__salt" in deep
+
+
+def test_payload_is_parsed_once(spark, incidents):
+    records = envelope.decode_records(ev.source_rows(incidents), clock=F.col("kafka_timestamp"))
+    text = plan(rollups.statistics(cells.day_cells(records)))
+    assert len(re.findall(r"from_json\(", text)) == 1
+
+
+def test_live_filter_reaches_the_scan(spark, incidents):
+    newest = incidents.agg(F.max("processing_time").alias("m"))
+    text = plan(feeds.live_rows(incidents, newest, 60, clock="processing_time"))
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThan\(ts", text)
+
+
+def test_percent_uses_a_scalar_subquery(spark):
+    rows = spark.range(10).select(
+        F.col("id").cast("string").alias("district"),
+        F.col("id").alias("crime_density_score"),
+        F.col("id").alias("crime_type_variety"),
+    )
+    text = plan(density.relative_density(rows))
+    assert "Subquery" in text and "Window" not in text
+
+
+def test_day_scan_lists_only_its_folder(spark, incidents, tmp_path):
+    root = str(tmp_path / "facts")
+    rows = envelope.stamp_date(incidents).select(
+        F.lit("x").alias("crime_data"),
+        F.col("processing_time").cast("timestamp").alias("processing_time"),
+        F.col("processing_time").cast("timestamp").alias("kafka_timestamp"),
+        "crime_type",
+        "cedula_hash",
+        "date_partition",
+        "district",
+    )
+    append_rows(rows.where("date_partition < '2024-01-04'"), root)
+    day = read_days(spark, root, ["2024-01-02"], FACT_SCHEMA)
+    files = day.inputFiles()
+    assert files and all("/date_partition=2024-01-02/" in f for f in files)
+    pruned = plan(read_table(spark, root, FACT_SCHEMA).where("date_partition = '2024-01-02'"))
+    assert re.search(r"PartitionFilters: \[[^\]]*2024-01-02", pruned)
+    listing = plan(list_files(spark, root, day="2024-01-02"))
+    assert "content" not in re.search(r"ReadSchema: (.*)", listing).group(1)
