@@ -50,7 +50,6 @@ _NOW = "(SELECT max(ts) FROM events)"
 _STATISTICS = (
     "date_partition, district, crime_type, n AS crime_count, last_time AS last_updated"
 )
-_HALF = "date_partition {} '2024-01-16'"
 
 _ORDERS = """days AS (
   SELECT strftime(o_orderdate, '%Y-%m-%d') AS date_partition, o_orderstatus AS district,
@@ -280,7 +279,7 @@ ORACLES: dict[str, str] = {
     "partition_scan": f"""WITH {_INC}
         SELECT CAST(incident_id AS VARCHAR) AS crime_data, crime_type, district,
           date_partition
-        FROM inc WHERE date_partition IN ('2024-01-01', '2024-01-02', '2024-01-03')""",
+        FROM inc WHERE date_partition = (SELECT max(date_partition) FROM inc)""",
     "table_scan": f"""WITH {_INC}
         SELECT CAST(incident_id AS VARCHAR) AS crime_data, processing_time, crime_type,
           cedula_hash, date_partition, district FROM inc""",
@@ -302,8 +301,7 @@ ORACLES: dict[str, str] = {
           'crime_data,processing_time,kafka_timestamp,crime_type,cedula_hash,'
             || 'date_partition,district' AS columns,
           TRUE AS has_record FROM events""",
-    "replaced_table": f"""WITH {_DAYS}
-        SELECT {_STATISTICS} FROM days WHERE {_HALF.format('>=')}""",
+    "replaced_table": f"WITH {_DAYS} SELECT {_STATISTICS} FROM days",
     "replaced_partitions": f"WITH {_DAYS} SELECT {_STATISTICS} FROM days",
     # streaming
     "stream_rollup": f"WITH {_DAYS} SELECT {_STATISTICS} FROM days",

@@ -14,7 +14,13 @@ from blotter.plans import events as ev
 from blotter.schema import FACT_SCHEMA, FACTS, NAMES, SOURCE_SCHEMA, STATISTICS
 from blotter.schema import STATISTICS_SCHEMA, with_batch_key
 from blotter.session import cut_lineage, work_folder
-from blotter.sinks.tables import append_rows, replace_partitions, replace_table, write_batch
+from blotter.sinks.tables import (
+    append_rows,
+    layout_for,
+    replace_partitions,
+    replace_table,
+    write_batch,
+)
 from blotter.sources.streams import read_file_stream
 from blotter.sources.tables import (
     discover_areas,
@@ -103,17 +109,22 @@ def fact_projection(spark, sf_dir):
 @query
 def topic_envelope(spark, sf_dir):
     rows = envelope.topic_rows(_records(spark, sf_dir))
-    inner = F.get_json_object("value", f"$.{NAMES.payload}")
-    return rows.select(
+    value = F.from_json(
+        "value", f"{NAMES.payload} string, kafka_partition int, kafka_offset bigint"
+    )
+    inner = F.from_json(
+        f"value.{NAMES.payload}",
+        "location struct<district: string, coordinates: struct<lat: double>>",
+    )
+    parsed = rows.select("key", value.alias("value")).select(
+        "key", "value.*", inner.alias("record")
+    )
+    return parsed.select(
         "key",
-        F.get_json_object(inner, "$.location.district").alias("district"),
-        F.get_json_object(inner, "$.location.coordinates.lat").cast("double").alias("lat"),
-        F.get_json_object("value", f"$.{NAMES.source_partition}")
-        .cast("int")
-        .alias("kafka_partition"),
-        F.get_json_object("value", f"$.{NAMES.source_offset}")
-        .cast("bigint")
-        .alias("kafka_offset"),
+        "record.location.district",
+        "record.location.coordinates.lat",
+        "kafka_partition",
+        "kafka_offset",
     )
 
 
@@ -467,17 +478,22 @@ def _fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _event_layout(spark: SparkSession, sf_dir: str) -> str:
+    return layout_for(ev.table(spark, sf_dir, "events").count())
+
+
 def _stored_facts(spark: SparkSession, sf_dir: str) -> str:
     path = work_folder(spark, "facts")
-    append_rows(_fact_rows(spark, sf_dir), path)
+    append_rows(_fact_rows(spark, sf_dir), path, layout=_event_layout(spark, sf_dir))
     return path
 
 
 @query
 def partition_scan(spark, sf_dir):
+    """The newest day alone, through its folder."""
     path = _stored_facts(spark, sf_dir)
-    days = [f"2024-01-{d:02d}" for d in (1, 2, 3)] + ["1999-12-31"]
-    rows = read_days(spark, path, days, FACT_SCHEMA)
+    newest = list_files(spark, path).agg(F.max("date_partition")).first()[0]
+    rows = read_days(spark, path, [newest], FACT_SCHEMA)
     return _plain(rows.select("crime_data", "crime_type", "district", "date_partition"))
 
 
@@ -514,8 +530,9 @@ def _two_lots(spark: SparkSession, sf_dir: str) -> str:
     path = work_folder(spark, "lots")
     rows = _fact_rows(spark, sf_dir)
     morning = F.hour("processing_time") < 12
-    write_batch(rows.where(morning), path, "lot-1")
-    write_batch(rows.where(~morning), path, "lot-2")
+    layout = _event_layout(spark, sf_dir)
+    write_batch(rows.where(morning), path, "lot-1", layout=layout)
+    write_batch(rows.where(~morning), path, "lot-2", layout=layout)
     return path
 
 
@@ -548,14 +565,14 @@ def sample_read_of_table(spark, sf_dir):
 
 @query
 def replaced_table(spark, sf_dir):
-    """Day by day replacement of the whole table keeps only the last written rows."""
+    """Doubled counts, replaced as a whole by the right ones."""
     path = work_folder(spark, "replaced")
-    rows = rollups.statistics(_days(spark, sf_dir)).withColumn(
-        "last_updated", F.col("last_updated").cast("timestamp")
-    )
-    first_half = F.col("date_partition") < "2024-01-16"
-    replace_table(rows.where(first_half), path)
-    replace_table(rows.where(~first_half), path)
+    incidents = ev.incidents(spark, sf_dir)
+    for records in (incidents.unionByName(incidents), incidents):
+        rows = rollups.statistics(cells.day_cells(records)).withColumn(
+            "last_updated", F.col("last_updated").cast("timestamp")
+        )
+        replace_table(rows, path)
     return _plain(read_table(spark, path, STATISTICS_SCHEMA))
 
 

@@ -59,10 +59,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def lookup_table(
-    spark: SparkSession, entries: Mapping[str, object], key: str, value: str
+    spark: SparkSession, entries: Mapping[str, str] | Mapping[str, int], key: str, value: str
 ) -> DataFrame:
     """A two-column table from driver literals, broadcast while its size is bounded."""
+    text = any(isinstance(v, str) for v in entries.values())
     table = spark.createDataFrame(
-        pa.table({key: list(entries.keys()), value: list(entries.values())})
+        pa.table(
+            {
+                key: pa.array(entries.keys(), pa.string()),
+                value: pa.array(entries.values(), pa.string() if text else pa.int64()),
+            }
+        )
     )
     return F.broadcast(table) if len(entries) <= MAX_BROADCAST_ROWS else table

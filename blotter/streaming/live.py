@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, timedelta
+from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,19 +62,21 @@ def write_live_batch(
     ``clock`` is the arrival time of the batch. Repeats inside the batch fold to one row
     before the join with the live ids, so a hot id costs one row.
     """
-    spark = batch.sparkSession
-    newest = batch.agg(F.max(F.col(clock).cast("timestamp"))).first()[0]
-    if newest is None:
-        return
-    # An id added exactly at the start of the window has expired, hence live_rows.
-    live = read_live(spark, path, batch.schema, newest, ttl_seconds, clock)
-    others = live.where(F.col(BATCH_KEY) != batch_key)
-    fresh = new_rows(batch, others, list(ids), clock)
-    epoch = F.unix_seconds(F.col(clock).cast("timestamp"))
-    bucketed = fresh.withColumn(
-        BUCKET, (epoch - F.pmod(epoch, F.lit(ttl_seconds))).cast("string")
-    )
-    write_batch(bucketed, path, batch_key, (BUCKET,))
+    batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        newest = batch.agg(F.max(F.col(clock).cast("timestamp"))).first()[0]
+        if newest is None:
+            return
+        live = read_live(batch.sparkSession, path, batch.schema, newest, ttl_seconds, clock)
+        others = live.where(F.col(BATCH_KEY) != batch_key)
+        fresh = new_rows(batch, others, list(ids), clock)
+        epoch = F.unix_seconds(F.col(clock).cast("timestamp"))
+        bucketed = fresh.withColumn(
+            BUCKET, (epoch - F.pmod(epoch, F.lit(ttl_seconds))).cast("string")
+        )
+        write_batch(bucketed, path, batch_key, (BUCKET,))
+    finally:
+        batch.unpersist()
 
 
 def start_live_feed(
