@@ -109,7 +109,10 @@ def assert_same(left, right):
 def test_cumulative_stream_equals_batch(spark, lots, source, tmp_path):
     job = Job(str(tmp_path / "out"), thresholds=THRESHOLDS)
     query = run(spark, source, job, tmp_path / "check")
-    assert [v["batch_id"] for v in recent_volume(query)][:3] == [0, 1, 2]
+    volume = recent_volume(query)
+    assert [v["batch_id"] for v in volume][:3] == [0, 1, 2]
+    # The source is read once, whatever the number of tables.
+    assert sum(v["input_rows"] for v in volume) == 60
 
     whole = decoded(spark.read.schema(SOURCE_SCHEMA).parquet(source))
     for table, expected in batch_tables(whole).items():
