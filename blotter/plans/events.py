@@ -51,9 +51,9 @@ def source_rows(incident_rows: DataFrame) -> DataFrame:
         F.date_format("processing_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
         F.struct(
             "district",
-            F.struct(F.col("value").alias("lat"), (-F.col("value")).alias("lon")).alias(
-                "coordinates"
-            ),
+            F.struct(
+                F.col("value").alias("lat"), (F.lit(100.0) - F.col("value")).alias("lon")
+            ).alias("coordinates"),
         ).alias("location"),
         "crime_type",
         F.struct("cedula_hash").alias("reporter_info"),

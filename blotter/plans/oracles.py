@@ -64,7 +64,8 @@ _DECODED = f"""WITH {_INC}
 _POINTS = f"""{_INC}, points AS (
   SELECT 'INC-' || incident_id AS id,
     strftime(processing_time, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp,
-    value AS lat, -value AS lon, crime_type AS type, district, processing_time AS added_at
+    value AS lat, CAST(100 AS DOUBLE) - value AS lon, crime_type AS type, district,
+    processing_time AS added_at
   FROM inc)"""
 
 _WINDOWS = f"""{_INC}, days AS (

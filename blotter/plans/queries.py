@@ -635,12 +635,14 @@ def stream_facts(spark, sf_dir):
 
 @query
 def stream_live_feed(spark, sf_dir):
-    """One arrival per reporter: the stream is one batch, so each id is stored once."""
+    """With a time to live of a month each reporter is stored once, on first arrival."""
     stream = ev.as_incidents(_event_stream(spark, sf_dir)).select(
         F.col("user_id").alias("id"), F.col("processing_time").cast("timestamp").alias("added_at")
     )
     path = work_folder(spark, "feed")
-    start_live_feed(stream, path, f"{path}-checkpoint", trigger_seconds=None).awaitTermination()
+    start_live_feed(
+        stream, path, f"{path}-checkpoint", ttl_seconds=31 * DAY, trigger_seconds=None
+    ).awaitTermination()
     stored = spark.read.schema(f"id bigint, added_at timestamp, {BUCKET} string").parquet(path)
     return _plain(stored.select("id", "added_at"))
 

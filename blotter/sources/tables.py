@@ -151,7 +151,8 @@ def read_files(
     """The rows of the listed files.
 
     A short list is opened by path, so nothing else of the table is touched. A longer one
-    keeps the file list distributed and joins the scan with it on the file path.
+    stays distributed: the scan is joined with it on the file and on the partition columns,
+    by which Spark can still prune partitions.
     """
     reader = _reader(spark, schema, tolerant).option("basePath", root)
     listed = files.select("file_path").limit(MAX_LISTED_FILES + 1).collect()
@@ -159,10 +160,10 @@ def read_files(
         return spark.createDataFrame([], schema)
     if len(listed) <= MAX_LISTED_FILES:
         return reader.parquet(*[row.file_path for row in listed])
-    table = reader.parquet(root)
-    uri = F.col("_metadata.file_path").alias("__uri")
-    wanted = files.select(F.col("file_uri").alias("__uri"))
-    return table.select("*", uri).join(wanted, "__uri", "left_semi").drop("__uri")
+    partitions = [c for c in files.columns if c in schema.names]
+    table = reader.parquet(root).select("*", F.col("_metadata.file_path").alias("file_uri"))
+    wanted = files.select("file_uri", *partitions)
+    return table.join(wanted, ["file_uri", *partitions], "left_semi").select(*schema.names)
 
 
 def sample_read(table: DataFrame) -> DataFrame:

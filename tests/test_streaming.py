@@ -25,6 +25,8 @@ from blotter.schema import (
     TEMPORAL,
     TEMPORAL_SCHEMA,
 )
+from blotter.sinks import tables as sink_tables
+from blotter.sinks.tables import AS_IS, REBALANCE
 from blotter.sources.streams import read_file_stream, topic_options
 from blotter.sources.tables import read_table
 from blotter.streaming.job import CUMULATIVE, LAST_BATCH, Job, start, write_micro_batch
@@ -147,6 +149,17 @@ def test_last_batch_mode_keeps_only_the_last_batch(spark, lots, source, tmp_path
     assert sum(r.total_crimes for r in stored(spark, job, DENSITY).collect()) == 20
 
 
+@pytest.mark.parametrize("layout", [REBALANCE, AS_IS])
+def test_large_batches_keep_all_rows(spark, lots, tmp_path, monkeypatch, layout):
+    monkeypatch.setattr(sink_tables, "SMALL_ROWS", 0)
+    job = Job(str(tmp_path / "out"), thresholds=THRESHOLDS, fact_layout=layout)
+    batch = decoded(spark.createDataFrame(lots[1], SOURCE_SCHEMA)).repartition(4)
+    write_micro_batch(job, batch, "s", 0)
+    facts = read_table(spark, job.path(FACTS), FACT_SCHEMA)
+    assert rows(facts.select("crime_data")) == rows(batch.select("crime_data"))
+    assert_same(stored(spark, job, STATISTICS), rollups.statistics(cells.day_cells(batch)))
+
+
 def test_rerun_of_a_batch_changes_nothing(spark, lots, tmp_path):
     job = Job(str(tmp_path / "out"), thresholds=THRESHOLDS)
     batch = decoded(spark.createDataFrame(lots[0], SOURCE_SCHEMA))
