@@ -35,8 +35,9 @@ _LISTING_FIELDS = [
 def _or_empty(
     spark: SparkSession, load: Callable[[], DataFrame], schema: T.StructType
 ) -> DataFrame:
+    """Exactly the columns of the schema; no rows where the path does not exist."""
     try:
-        return load()
+        return load().select(*schema.names)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -159,7 +160,7 @@ def read_files(
     if not listed:
         return spark.createDataFrame([], schema)
     if len(listed) <= MAX_LISTED_FILES:
-        return reader.parquet(*[row.file_path for row in listed])
+        return reader.parquet(*[row.file_path for row in listed]).select(*schema.names)
     partitions = [c for c in files.columns if c in schema.names]
     table = reader.parquet(root).select("*", F.col("_metadata.file_path").alias("file_uri"))
     wanted = files.select("file_uri", *partitions)
