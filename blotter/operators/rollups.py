@@ -40,7 +40,8 @@ def density(day_cells: DataFrame, names: Names = NAMES) -> DataFrame:
 
     Day cells hold each category once, so the variety is a plain count and the lists have
     one entry per category: ``crime_type_counts`` is the whole bag of categories with its
-    multiplicities, ``crime_types_list`` its distinct values, both in category order.
+    multiplicities, ``crime_types_list`` its distinct values, both in category order. The
+    same counts row by row, for vocabularies too large for a list, are the statistics.
     """
     known = F.when(
         F.col(names.category).isNotNull(),

@@ -114,7 +114,9 @@ def test_fact_and_topic_rows(spark):
 
 
 def test_publish_keeps_nulls_and_accents(spark):
-    rows_in = spark.createDataFrame([("A-1", "extorsión", None)], "crime_id string, t string, n int")
+    rows_in = spark.createDataFrame(
+        [("A-1", "extorsión", None)], "crime_id string, t string, n int"
+    )
     out = publish_rows(rows_in).first()
     assert (out.key, out.value) == ("A-1", '{"crime_id":"A-1","t":"extorsión","n":null}')
 

@@ -133,15 +133,18 @@ def test_other_column_names(spark):
 
 def test_window_cells(records, sample):
     expected = Counter(
-        (at.replace(minute=at.minute // 10 * 10), area, category) for area, category, _, at in sample
+        (at.replace(minute=at.minute // 10 * 10), area, category)
+        for area, category, _, at in sample
     )
     found = cells.window_cells(records, 600).collect()
     assert {(r.window_start, r.district, r.crime_type): r.n for r in found} == expected
 
 
 def test_minute_bucket(spark):
-    df = spark.createDataFrame([(START + timedelta(minutes=m),) for m in (0, 9, 10, 59)], "t timestamp")
-    assert [r.b for r in df.select(minute_bucket(F.col("t")).alias("b")).collect()] == [0, 0, 10, 50]
+    times = [(START + timedelta(minutes=m),) for m in (0, 9, 10, 59)]
+    df = spark.createDataFrame(times, "t timestamp")
+    buckets = df.select(minute_bucket(F.col("t")).alias("b"))
+    assert [r.b for r in buckets.collect()] == [0, 0, 10, 50]
 
 
 # ------------------------------------------------------------------ alerts
@@ -273,9 +276,8 @@ def test_lists_from_arrays_and_text(spark):
 
 
 def test_ranking_summary_and_percent(spark):
-    df = density_rows(
-        spark, [("S", 4, 2, 8, "d"), ("N", 10, 2, 20, "d"), ("C", 10, 2, 20, "d"), ("Z", 1, 1, 1, "d")]
-    )
+    data = [("S", 4, 2, 8), ("N", 10, 2, 20), ("C", 10, 2, 20), ("Z", 1, 1, 1)]
+    df = density_rows(spark, [(*row, "d") for row in data])
     assert [r.district for r in density.rank_density(df).collect()] == ["C", "N", "S", "Z"]
     summary = density.density_summary(df).first().asDict()
     assert summary == {
@@ -331,7 +333,9 @@ def test_live_rows_with_date_partition(spark):
 
 def test_new_expired_and_metrics(spark):
     rng = random.Random(3)
-    data = [("hot" if i % 3 == 0 else f"i{rng.randrange(60)}", rng.randrange(200)) for i in range(300)]
+    data = [
+        ("hot" if i % 3 == 0 else f"i{rng.randrange(60)}", rng.randrange(200)) for i in range(300)
+    ]
     df = feed(spark, data)
     at = {s: START + timedelta(seconds=s) for s in (100, 150)}
     alive = {s: {i for i, t in data if s - 60 < t <= s} for s in at}

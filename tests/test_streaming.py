@@ -61,10 +61,8 @@ def lots():
     for lot in range(3):
         out.append(
             [
-                message(
-                    lot * 20 + i, kinds[i % 4], areas[i % 3], START + timedelta(seconds=lot * 20 + i)
-                )
-                for i in range(20)
+                message(n, kinds[n % 4], areas[n % 3], START + timedelta(seconds=n))
+                for n in range(lot * 20, lot * 20 + 20)
             ]
         )
     return out

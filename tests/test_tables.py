@@ -1,5 +1,6 @@
-from datetime import datetime, timedelta
+from datetime import datetime
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from conftest import rows
@@ -163,3 +164,15 @@ def test_hot_partition_is_split_over_tasks(spark, tmp_path):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_no_local_folder_on_a_cluster():
+    def session(master):
+        context = SimpleNamespace(master=master)
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda name, default: default), sparkContext=context
+        )
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session("spark://host:7077"))
+    assert Path(shared_folder(session("local[2]"))).is_dir()
