@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.llm.chat_trees import chain_nodes, format_records, read_records
 from blotter.llm.common import stored, table
+from blotter.llm.decontaminate import find_contamination, hit_words
+from blotter.llm.embedding_links import link_vectors
+from blotter.llm.piece_counts import count_tokens
+from blotter.llm.simhash_links import simhash_groups
 from blotter.llm.url_rules import ALLOW, BLOCK, judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +26,113 @@ def query(fn: Query) -> Query:
     return fn
 
 
+# -------------------------------------------------------- 1: embedding links
+
+
+@query
+def op1_embedding_links(spark, sf_dir):
+    return link_vectors(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op1_embedding_links"] = """
+WITH RECURSIVE vecs AS (
+    SELECT row_number() OVER () AS rid, vec_id, label, CAST(embedding AS DOUBLE[]) AS v,
+        sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x))) AS norm
+    FROM embeddings
+), good AS (
+    SELECT * FROM vecs WHERE label IS NOT NULL AND norm > 0 AND isfinite(norm)
+        AND len(list_filter(v, lambda x: x IS NULL)) = 0
+), links AS (
+    SELECT a.rid AS a, b.rid AS b, b.vec_id AS other FROM good a JOIN good b
+      ON a.label = b.label AND a.rid <> b.rid AND len(a.v) = len(b.v)
+    WHERE list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.98
+), reach(a, b) AS (
+    SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), counted AS (
+    SELECT a AS rid, count(*) AS n FROM links GROUP BY a
+), least AS (
+    SELECT r.a AS rid, min(v.vec_id) AS m FROM reach r JOIN vecs v ON v.rid = r.b GROUP BY r.a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id,
+    vec_id = least(vec_id, coalesce(m, vec_id)) AS kept
+FROM vecs LEFT JOIN counted USING (rid) LEFT JOIN least USING (rid)
+"""
+
+# -------------------------------------------------------- 2: decontamination
+
+
+@query
+def op2_decontamination(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    n_hit = hit_words("hit_spans")
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(F.encode(F.array_join("hit_items", ","), "UTF-8"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+ORACLES["op2_decontamination"] = r"""
+WITH lowered AS (
+    SELECT row_number() OVER () AS rid, doc_id,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+    FROM documents
+), docs AS (
+    SELECT rid, doc_id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM lowered
+), items AS (
+    SELECT item_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), sized AS (
+    SELECT item_id, w, least(10, len(w)) AS m FROM items WHERE len(w) > 0
+), starts AS (
+    SELECT item_id, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM sized
+), wins AS (
+    SELECT DISTINCT item_id, m, array_to_string(w[s : s + m - 1], ' ') AS win FROM starts
+), doc_starts AS (
+    SELECT rid, w, m, unnest(range(1, len(w) - m + 2)) AS s
+    FROM docs, (SELECT DISTINCT m FROM wins)
+), doc_wins AS (
+    SELECT rid, m, s, array_to_string(w[s : s + m - 1], ' ') AS win FROM doc_starts
+), hits AS (
+    SELECT rid, m, s, item_id FROM doc_wins JOIN wins USING (m, win)
+), marked AS (
+    SELECT rid, count(DISTINCT i) AS n_hit
+    FROM (SELECT rid, unnest(range(s, s + m)) AS i FROM hits) GROUP BY rid
+), named AS (
+    SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+    FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY rid
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN marked USING (rid) LEFT JOIN named USING (rid)
+"""
+
+# ------------------------------------------------------------ 3: token counts
+
+PIECES = "piece_bpe_32k.model"
+CONTEXT_TOKENS = 4096
+
+
+@query
+def op3_token_counts(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_tokens(docs, public_tokenizers.path(PIECES), CONTEXT_TOKENS)
+
+
+# ----------------------------------------------------------- 5: near copies
+
+
+@query
+def op5_simhash_groups(spark, sf_dir):
+    return simhash_groups(table(spark, sf_dir, "documents"))
+
+
 # ------------------------------------------------------------ 8: chat records
 
 CONTROL_TURN = "</s>[INST] ok [/INST]"
