@@ -17,6 +17,8 @@ Everything is DataFrame code. One output row is one whole conversation, which is
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,33 +81,31 @@ def choose_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
         "jump",
     )
     parents = ids.select("tree", F.col("parent").alias("node")).dropna(subset=["node"]).distinct()
-    steps: list[DataFrame] = []
-    # After k rounds ``up`` is 2^k steps above and ``score`` the sum of the nodes below it.
+    rounds = [jump]
+    # After k rounds ``up`` is 2^k steps above and ``score`` the sum of the nodes below it. A round
+    # takes only the nodes that have not reached their root; the others are known in full.
     limit = max(1, ids.count()).bit_length()
-    while len(steps) <= limit:
-        steps.append(jump)
-        if jump.where(F.col("up").isNotNull()).isEmpty():
-            break
-        above = jump.select(
+    while len(rounds) <= limit and not rounds[-1].where("up IS NOT NULL").isEmpty():
+        ended = reduce(DataFrame.unionByName, [r.where("up IS NULL") for r in rounds])
+        going = rounds[-1].where("up IS NOT NULL")
+        above = ended.unionByName(going).select(
             "tree",
             F.col("node").alias("up"),
             F.col("up").alias("up2"),
             F.col("steps").alias("steps2"),
             F.col("score").alias("score2"),
         )
-        jump = stored(
-            jump.join(above, ["tree", "up"], "left").select(
-                "tree",
-                "node",
-                F.col("up2").alias("up"),
-                (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps"),
-                (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score"),
-            ),
-            "jump",
+        met = going.join(above, ["tree", "up"]).select(
+            "tree",
+            "node",
+            F.col("up2").alias("up"),
+            (F.col("steps") + F.col("steps2")).alias("steps"),
+            (F.col("score") + F.col("score2")).alias("score"),
         )
-    # ``steps`` of the last table is the length of the whole path, on cycles ``up`` is not null.
+        rounds.append(stored(met, "jump"))
+    # Where ``up`` is null, ``steps`` is the length of the whole path; on cycles it never is.
     leaves = (
-        jump.where(F.col("up").isNull())
+        reduce(DataFrame.unionByName, [r.where("up IS NULL") for r in rounds])
         .join(parents, ["tree", "node"], "left_anti")
         .withColumn(
             "branch",
@@ -114,17 +114,17 @@ def choose_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
         .where(F.col("branch") <= branches)
     )
     path = leaves.select("tree", "branch", "node", F.col("steps").alias("pos"))
-    for k in range(len(steps) - 2, -1, -1):
-        up = steps[k].where(F.col("up").isNotNull()).select("tree", "node", "up")
+    for k in range(len(rounds) - 2, -1, -1):
+        up = rounds[k].where(F.col("up").isNotNull()).select("tree", "node", "up")
         higher = path.join(up, ["tree", "node"]).select(
             "tree", "branch", F.col("up").alias("node"), (F.col("pos") - (1 << k)).alias("pos")
         )
         # Stored each time: as a plan alone it would double with every step.
         shorter, path = path, stored(path.unionByName(higher), "paths")
-        if k < len(steps) - 2:
+        if k < len(rounds) - 2:
             discard(shorter)
     chosen = stored(path.select("tree.conv_id", "branch", "pos", "node"), "paths")
-    discard(ids, *steps)
+    discard(ids, *rounds)
     return chosen
 
 
