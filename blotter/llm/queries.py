@@ -12,9 +12,12 @@ from blotter.llm.chat_trees import chain_nodes, format_records, read_records
 from blotter.llm.common import stored, table
 from blotter.llm.decontaminate import find_contamination, hit_words
 from blotter.llm.embedding_links import link_vectors
+from blotter.llm.packing import Capacity, pack_documents
 from blotter.llm.piece_counts import count_tokens
 from blotter.llm.simhash_links import simhash_groups
+from blotter.llm.token_files import token_digests, write_token_files
 from blotter.llm.url_rules import ALLOW, BLOCK, judge_urls
+from blotter.session import work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -125,6 +128,18 @@ def op3_token_counts(spark, sf_dir):
     return count_tokens(docs, public_tokenizers.path(PIECES), CONTEXT_TOKENS)
 
 
+# ------------------------------------------------------------- 4: token files
+
+WORDS = "word_bpe_49k.json"
+
+
+@query
+def op4_token_files(spark, sf_dir):
+    path = work_folder(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORDS))
+    return token_digests(spark, path)
+
+
 # ----------------------------------------------------------- 5: near copies
 
 
@@ -223,3 +238,11 @@ tails AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
 FROM parts LEFT JOIN best USING (rid)
 """
+
+# --------------------------------------------------------------- 10: packing
+
+
+@query
+def op10_packing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return pack_documents(docs, public_tokenizers.path(WORDS), Capacity(CONTEXT_TOKENS))

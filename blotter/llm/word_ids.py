@@ -11,7 +11,9 @@ special string, are given to the library whole.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
+from array import array
 
 import numpy as np
 from tokenizers import Tokenizer, pre_tokenizers
@@ -24,7 +26,7 @@ _SMALL = "".join(sorted(set(_LETTERS.lower())))
 _WORDS = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[a-z{_SMALL}]+|[0-9]|[^\sa-z0-9{_SMALL}]+")
 _SPACES = re.compile(r"[\t\n\r ]+")
 # Words remembered per Python worker.
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 800_000
 
 
 class WordIds(dict):
@@ -53,7 +55,12 @@ class WordIds(dict):
         return np.array(ids, "<u2").tobytes()
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array([t.id for t in self.merge(word.translate(self.spelled))], "<u2").tobytes()
+        # Printable ASCII is spelled as itself.
+        spelled = word if word.isascii() else word.translate(self.spelled)
+        found = array("H", [t.id for t in self.merge(spelled)])
+        if sys.byteorder == "big":
+            found.byteswap()
+        ids = found.tobytes()
         if len(self) >= KNOWN_WORDS:
             self.clear()
         self[word] = ids
