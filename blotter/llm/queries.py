@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blotter.llm.byte_language import fold, predict_languages
 from blotter.llm.chat_trees import chain_nodes, format_records, read_records
 from blotter.llm.common import stored, table
 from blotter.llm.decontaminate import find_contamination, hit_words
 from blotter.llm.embedding_links import link_vectors
+from blotter.llm.line_quality import score_quality
 from blotter.llm.packing import Capacity, pack_documents
 from blotter.llm.piece_counts import count_tokens
 from blotter.llm.simhash_links import simhash_groups
@@ -148,6 +150,34 @@ def op5_simhash_groups(spark, sf_dir):
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+# ---------------------------------------------------------------- 6: quality
+
+
+@query
+def op6_line_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    return score_quality(docs, labels).select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        F.col("quality_score").alias("score"),
+        "predicted",
+    )
+
+
+# ------------------------------------------------------------- 7: language id
+
+
+@query
+def op7_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    return predict_languages(docs, ~held_out).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+    )
+
+
 # ------------------------------------------------------------ 8: chat records
 
 CONTROL_TURN = "</s>[INST] ok [/INST]"
