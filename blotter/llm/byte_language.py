@@ -281,7 +281,7 @@ def predict_languages(
     return docs.mapInArrow(run, schema)
 
 
-def keep_known_languages(docs: DataFrame, least: float = 0.5) -> DataFrame:
+def keep_known_languages(docs: DataFrame, least: float = 0.3) -> DataFrame:
     """Documents with a letter whose language is predicted with at least ``least``; own columns."""
     named, scored = fresh_name(docs.columns, "lang_pred"), fresh_name(docs.columns, "lang_score")
     found = predict_languages(docs, fold(F.col("doc_id"), 4) != 2)
