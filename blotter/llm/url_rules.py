@@ -138,7 +138,7 @@ def judge_urls(
     fitting, second = sweep(anchored, ruled)
     best = (
         anchored.join(
-            fitting.where(F.size("stack") > 0).select("key", F.element_at("stack", -1).alias("prefix")),
+            fitting.where(F.size("stack") > 0).select("key", F.try_element_at("stack", F.lit(-1)).alias("prefix")),
             "key",
         )
         .join(ruled, "prefix")
