@@ -6,9 +6,9 @@ run over them, each filter keeps its maximum over the window, and a softmax laye
 languages; a document's probabilities are the softmax of its windows' mean scores, weighted by
 their bytes.
 
-Training takes a bounded sample on the driver: the ``PER_LANGUAGE`` rows of each language with the
-smallest hash of their id, ``WINDOWS_PER_DOC`` windows each, spread over the whole text and cut
-out in tasks. The gradient of a maximum reaches one position, so a step costs little more than the
+Training takes a bounded sample on the driver: about ``PER_LANGUAGE`` rows of each of the most
+frequent ``LANGUAGES`` languages, chosen by a hash of their id, ``WINDOWS_PER_DOC`` windows each,
+spread over the whole text and cut out in tasks. The gradient of a maximum reaches one position, so a step costs little more than the
 forward pass. For prediction embedding and filters are multiplied out into look-up tables for
 single bytes and byte pairs. Prediction is one pass over all documents, no shuffle.
 """
@@ -17,10 +17,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blotter.llm.common import fresh_name, only
+from blotter.llm.common import fresh_name, hashed_share, only
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -193,13 +193,13 @@ def softmax(scores: np.ndarray) -> np.ndarray:
 
 def training_windows(rows: DataFrame) -> DataFrame:
     """(lang, window, size) of the sample; ``rows`` has doc_id, body and lang."""
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    usable = rows.where("lang IS NOT NULL AND octet_length(body) > 0")
-    ids = usable.select("lang", "doc_id").withColumn("n", F.row_number().over(first)).where(F.col("n") <= PER_LANGUAGE)
-    # At most LANGUAGES x PER_LANGUAGE rows; the texts themselves stay in their tasks.
-    kept = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
+    usable = rows.where("lang IS NOT NULL")
+    ids = usable.select("lang", "doc_id").distinct()
+    # About LANGUAGES x PER_LANGUAGE rows at most; the texts themselves stay in their tasks.
+    kept = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
     kept = kept.orderBy(F.desc("docs"), "lang").limit(LANGUAGES).select("lang")
-    chosen = ids.join(F.broadcast(kept), "lang").select("lang", "doc_id").distinct()
+    chosen = hashed_share(ids.join(F.broadcast(kept), "lang"), "lang", PER_LANGUAGE)
+    chosen = chosen.limit(2 * LANGUAGES * PER_LANGUAGE)
 
     def cut(batches):
         for batch in batches:
@@ -217,6 +217,7 @@ def training_windows(rows: DataFrame) -> DataFrame:
             )
 
     texts = usable.join(F.broadcast(chosen), ["lang", "doc_id"], "left_semi").select("lang", "body")
+    texts = texts.where("octet_length(body) > 0")
     return texts.mapInArrow(cut, "lang string, window binary, size int")
 
 

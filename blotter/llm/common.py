@@ -51,6 +51,14 @@ def fresh_name(taken: Sequence[str], wanted: str) -> str:
     return wanted
 
 
+def hashed_share(df: DataFrame, by: str, about: int, key: str = "doc_id") -> DataFrame:
+    """About ``about`` rows of each value of ``by``, chosen by a hash of the key; all of a value
+    with fewer. The share follows from counts over all rows, so no task gathers a value's rows."""
+    counts = df.groupBy(by).agg(F.count(F.lit(1)).alias("_rows"))
+    place = F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    return df.join(counts, by).where(place * F.col("_rows") < about).drop("_rows")
+
+
 def only(df: DataFrame, **columns: str) -> DataFrame:
     """The named columns under fixed names; extra columns, whatever their names, are left out."""
     return df.select(*[F.col(f"`{c}`").alias(name) for name, c in columns.items()])

@@ -7,8 +7,8 @@ numbers of the line before and after are its neighbouring-line features. The fie
 per feature and a weight per pair of adjacent labels. Forward-backward passes give each line's
 chance to be good; their mean, weighted by length, is mapped to a score by a logistic curve.
 
-Training takes a bounded sample: per label the ``PER_LABEL`` labelled documents with the smallest
-hash of their id and of each a run of at most ``RUN_LINES`` lines from its middle, whose features are
+Training takes a bounded sample: per label about ``PER_LABEL`` labelled documents, chosen by a hash
+of their id, and of each a run of at most ``RUN_LINES`` lines from its middle, whose features are
 computed in tasks; a document's label stands for its lines. Scoring is one pass over whole texts,
 no shuffle.
 """
@@ -17,10 +17,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blotter.llm.common import fresh_name, only
+from blotter.llm.common import fresh_name, hashed_share, only
 
 PER_LABEL = 1000
 RUN_LINES = 64
@@ -203,8 +203,7 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .agg(F.min("quality").alias("good"), F.max("quality").alias("most"))
         .where("good = most")
     )
-    first = Window.partitionBy("good").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.withColumn("n", F.row_number().over(first)).where(F.col("n") <= PER_LABEL)
+    chosen = hashed_share(known, "good", PER_LABEL).limit(4 * PER_LABEL)
 
     def describe(batches):
         for batch in batches:
@@ -227,7 +226,7 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 ["lines", "good", "features", "size"],
             )
 
-    # At most 2 x PER_LABEL ids.
+    # About 2 x PER_LABEL ids, 4 x at most.
     texts = docs.join(F.broadcast(chosen.select("doc_id", "good")), "doc_id").select(
         F.col("good").cast("int"), "body"
     )

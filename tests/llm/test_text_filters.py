@@ -181,7 +181,8 @@ def test_sample_is_bounded(spark, monkeypatch):
     sample = line_quality.training_sample(
         rows.select("doc_id", F.col("text").cast("binary").alias("body")), rows.select("doc_id", "quality")
     )
-    assert sorted(r["good"] for r in sample.collect()) == [0] * 10 + [1] * 10
+    found = [r["good"] for r in sample.collect()]
+    assert all(2 <= found.count(label) <= 25 for label in (0, 1))
 
 
 # ----------------------------------------------------------------- language
