@@ -23,19 +23,27 @@ def _count(df: DataFrame, keys: list[Column], clock: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(COUNT), F.max(clock).alias(LAST))
 
 
+def _day(records: DataFrame, names: Names) -> Column:
+    if names.date in records.columns:
+        return F.col(names.date).try_cast("date")
+    return F.to_date(names.clock)
+
+
 def hour_cells(
     records: DataFrame, names: Names = NAMES, by: Sequence[str] = ()
 ) -> DataFrame:
     """One row per date, area, category and hour, straight from the facts.
 
-    ``by`` names more columns to keep the cells apart by, such as a batch.
+    The date is the stored one where the records have it, so that facts stay on the day they
+    were written under; else it follows from the clock. ``by`` names more columns to keep the
+    cells apart by, such as a batch.
     """
     clock = F.col(names.clock)
     # Grouping on the date and hour as integers; the weekday follows from the date.
     cells = _count(
         records,
         [
-            F.to_date(clock).alias(_DAY),
+            _day(records, names).alias(_DAY),
             F.col(names.area),
             F.col(names.category),
             F.hour(clock).alias("hour"),
@@ -59,7 +67,7 @@ def day_cells(records: DataFrame, names: Names = NAMES) -> DataFrame:
     """One row per date, area and category, straight from the facts."""
     cells = _count(
         records,
-        [F.to_date(names.clock).alias(_DAY), F.col(names.area), F.col(names.category)],
+        [_day(records, names).alias(_DAY), F.col(names.area), F.col(names.category)],
         names.clock,
     )
     return cells.select(

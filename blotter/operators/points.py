@@ -30,20 +30,28 @@ def _parsed(facts: DataFrame, clock: Column | None, names: Names) -> DataFrame:
 
 
 def decode_points(
-    facts: DataFrame, clock: Column | None = None, names: Names = NAMES
+    facts: DataFrame,
+    clock: Column | None = None,
+    names: Names = NAMES,
+    position: Column | None = None,
+    own_id: str | None = None,
 ) -> DataFrame:
     """Id, position, category and area of every payload that has a readable position.
 
     ``clock`` is the arrival time, by default the stored processing time. Missing ids and
-    timestamps are filled from it.
+    timestamps are filled from it; a ``position`` that is unique per record is added to such an
+    id. With ``own_id`` a column of that name tells whether the id is the payload's own.
     """
     arrival = F.col("added_at")
-    epoch = F.unix_seconds(arrival.cast("timestamp")).cast("string")
+    filled = [F.lit("crime_"), F.unix_seconds(arrival.cast("timestamp")).cast("string")]
+    if position is not None:
+        filled += [F.lit("_"), position.cast("string")]
+    own = F.try_variant_get(_DOC, "$.crime_id", "string").isNotNull()
     return (
         _parsed(facts, clock, names)
         .where("lat IS NOT NULL AND lon IS NOT NULL")
         .select(
-            _text_or_default("$.crime_id", F.concat(F.lit("crime_"), epoch)).alias("id"),
+            _text_or_default("$.crime_id", F.concat(*filled)).alias("id"),
             _text_or_default(
                 "$.timestamp", F.date_format(arrival, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
             ).alias("timestamp"),
@@ -52,6 +60,7 @@ def decode_points(
             _text_or_default("$.crime_type", F.lit(POINT_UNKNOWN)).alias("type"),
             _text_or_default("$.location.district", F.lit(POINT_UNKNOWN)).alias("district"),
             "added_at",
+            *([own.alias(own_id)] if own_id else []),
         )
     )
 

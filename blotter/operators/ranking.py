@@ -39,6 +39,10 @@ def latest_overall(df: DataFrame, order: list[Column], k: int) -> DataFrame:
 
 
 def latest_batch(df: DataFrame, batch: str) -> DataFrame:
-    """Only the rows of the newest batch."""
-    newest = df.agg(F.max(batch).alias("newest")).scalar()
-    return df.where(F.col(batch) == newest)
+    """Only the rows of the newest batch.
+
+    The newest value is read first, so that it reaches the scan as a literal.
+    """
+    kind = df.schema[batch].dataType
+    newest = df.agg(F.max(batch).cast("string")).first()[0]
+    return df.where(F.col(batch) == F.lit(newest).cast(kind))

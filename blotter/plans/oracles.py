@@ -46,6 +46,20 @@ _ALERTS = f"""{_DAYS}, alerts AS (
     'ALERTA: ' || n || ' casos de ' || crime_type || ' en ' || district AS alert_message
   FROM days WHERE n >= {_case("crime_type", EVENT_THRESHOLDS)})"""
 
+_LOTS = """lots AS (
+  SELECT *, CAST((processing_time >= TIMESTAMP '2024-01-08 06:00:00')::INT
+    + (processing_time >= TIMESTAMP '2024-01-15 12:00:00')::INT
+    + (processing_time >= TIMESTAMP '2024-01-23 18:00:00')::INT AS BIGINT) AS lot FROM inc)"""
+
+_LOT_ALERTS = f"""{_INC}, {_LOTS}, counted AS (
+  SELECT lot, date_partition, district, crime_type, count(*) AS n,
+    max(processing_time) AS last_time FROM lots GROUP BY ALL),
+  alerts AS (
+  SELECT date_partition, district, crime_type, n AS crime_count, last_time AS alert_time,
+    TRUE AS is_critical, 'CRITICAL' AS alert_level,
+    'ALERTA: ' || n || ' casos de ' || crime_type || ' en ' || district AS alert_message
+  FROM counted WHERE n >= {_case("crime_type", EVENT_THRESHOLDS)})"""
+
 _NOW = "(SELECT max(ts) FROM events)"
 _STATISTICS = (
     "date_partition, district, crime_type, n AS crime_count, last_time AS last_updated"
@@ -285,32 +299,102 @@ ORACLES: dict[str, str] = {
         SELECT CAST(incident_id AS VARCHAR) AS crime_data, processing_time, crime_type,
           cedula_hash, date_partition, district FROM inc""",
     "area_discovery": f"WITH {_INC} SELECT DISTINCT district FROM inc",
-    "area_discovery_default": f"""
-        SELECT DISTINCT {_AREA} AS district FROM events WHERE user_id % 6 < 3""",
-    "file_census_by_partition": f"""WITH {_INC}
-        SELECT DISTINCT date_partition, district, TRUE AS has_files,
-          TRUE AS named_by_partition FROM inc""",
+    "area_discovery_default": f"""WITH {_INC}
+        SELECT DISTINCT date_partition AS day, district FROM inc
+        WHERE date_partition = (SELECT max(date_partition) FROM inc)
+        UNION ALL
+        SELECT strftime(max(ts) + INTERVAL 1 DAY, '%Y-%m-%d'), unnest({list(EVENT_AREAS[:3])})
+        FROM events""",
+    "file_census_by_partition": f"""WITH {_INC}, lots AS (
+          SELECT date_partition, district,
+            CASE WHEN hour(processing_time) < 12 THEN 'lot-1' ELSE 'lot-2' END AS lot FROM inc)
+        SELECT date_partition, district, count(DISTINCT lot) AS file_count,
+          max(lot) AS newest_lot, count(*) AS rows FROM lots GROUP BY ALL""",
     "latest_files_per_area": f"""WITH {_INC}, lots AS (
           SELECT CAST(incident_id AS VARCHAR) AS crime_data, district, date_partition,
             CASE WHEN hour(processing_time) < 12 THEN 'lot-1' ELSE 'lot-2' END AS batch_key
           FROM inc)
         SELECT * FROM lots
         QUALIFY batch_key = max(batch_key) OVER (PARTITION BY date_partition, district)""",
-    "latest_files_overall": "SELECT 'lot-2' AS batch_key, CAST(10 AS BIGINT) AS files",
-    "sample_read_of_table": """
+    "latest_files_overall": f"""WITH {_INC}
+        SELECT CAST(incident_id AS VARCHAR) AS crime_data, district, date_partition,
+          'lot-2' AS batch_key FROM inc WHERE hour(processing_time) >= 12""",
+    "sample_read_of_table": f"""WITH {_INC}
         SELECT count(*) AS row_count,
           'crime_data,processing_time,kafka_timestamp,crime_type,cedula_hash,'
             || 'date_partition,district' AS columns,
-          TRUE AS has_record FROM events""",
+          CAST(min(incident_id) AS VARCHAR) AS crime_data,
+          arg_min(crime_type, incident_id) AS crime_type,
+          arg_min(district, incident_id) AS district FROM inc""",
     "replaced_table": f"WITH {_DAYS} SELECT {_STATISTICS} FROM days",
     "replaced_partitions": f"WITH {_DAYS} SELECT {_STATISTICS} FROM days",
     # streaming
     "stream_rollup": f"WITH {_DAYS} SELECT {_STATISTICS} FROM days",
+    "stream_temporal": f"""WITH {_INC}
+        SELECT crime_type, CAST(hour(processing_time) AS INT) AS hour,
+          CAST(dayofweek(processing_time) + 1 AS INT) AS day_of_week,
+          count(*) AS crimes_per_hour, CAST(hour(processing_time) AS DOUBLE) AS avg_hour,
+          max(processing_time) AS last_crime_time, date_partition, district
+        FROM inc GROUP BY ALL""",
+    "stream_density": f"""WITH {_DENSITY}
+        SELECT * EXCLUDE (crime_type_counts) FROM density""",
+    "stream_correlation": f"""WITH {_DAYS}
+        SELECT date_partition, district,
+          string_agg(crime_type, ',' ORDER BY crime_type) AS crime_types_in_area,
+          CAST(sum(n) AS BIGINT) AS total_crimes_in_area,
+          count(DISTINCT crime_type) AS unique_crime_types,
+          max(last_time) AS last_updated,
+          count(DISTINCT crime_type) / {EVENT_UNIVERSE}.0 AS crime_diversity_index
+        FROM days GROUP BY ALL""",
+    "stream_alerts": f"WITH {_LOT_ALERTS} SELECT * FROM alerts",
+    "stream_last_batch": f"""WITH {_INC}, {_LOTS}
+        SELECT date_partition, district, crime_type, count(*) AS crime_count,
+          max(processing_time) AS last_updated
+        FROM lots WHERE lot = (SELECT max(lot) FROM lots) GROUP BY ALL""",
     "stream_facts": f"""WITH {_INC}
-        SELECT processing_time, crime_type, cedula_hash, date_partition, district FROM inc""",
+        SELECT 'INC-' || incident_id AS crime_id, processing_time, crime_type, cedula_hash,
+          date_partition, district FROM inc""",
+    "stream_resumed_and_replayed": f"""WITH {_INC}
+        SELECT date_partition, 2 * count(*) AS facts FROM inc GROUP BY ALL""",
     "stream_live_feed": """
-        SELECT user_id AS id, min(ts) AS added_at FROM events GROUP BY ALL""",
+        WITH RECURSIVE kept(id, added_at) AS (
+          SELECT user_id, min(ts) FROM events GROUP BY user_id
+          UNION ALL
+          SELECT k.id, min(e.ts) FROM kept k
+          JOIN events e ON e.user_id = k.id AND e.ts >= k.added_at + INTERVAL 4 DAY
+          GROUP BY k.id)
+        SELECT id, added_at FROM kept""",
+    "observed_feed": f"""WITH {_INC}, {_LOTS}
+        SELECT count(*) AS added_count,
+          count(*) FILTER (hour(processing_time) >= 12) AS expired_count
+        FROM lots GROUP BY lot""",
+    "trigger_volumes": f"""WITH {_INC}, {_LOTS}
+        SELECT lot AS batch_id, count(*) AS input_rows FROM lots GROUP BY ALL""",
     "stream_dedupe": "SELECT DISTINCT user_id AS id FROM events",
+    # reports
+    "report_incidents": f"""WITH {_POINTS}
+        SELECT id, lat, lon, type, district, timestamp FROM points
+        WHERE added_at > {_NOW} - INTERVAL 2 DAY""",
+    "report_alerts": f"""WITH {_LOT_ALERTS}
+        SELECT district, crime_type, crime_count, alert_level, alert_message, is_critical,
+          {_ALERT_AGE} AS time_ago, {_age_label(_ALERT_AGE)} AS time_ago_label,
+          'CRÍTICA' AS severity
+        FROM alerts WHERE alert_time > {_NOW} - INTERVAL 7 DAY""",
+    "report_density": f"""WITH {_DENSITY}, newest AS (
+          SELECT * FROM density WHERE date_partition = (SELECT max(date_partition) FROM inc))
+        SELECT district, total_crimes, crime_types_list,
+          round(crime_density_score / (SELECT max(crime_density_score) FROM newest) * 100, 4)
+            AS density_percent,
+          crime_type_variety || '/{EVENT_UNIVERSE}' AS variety_ratio, last_updated
+        FROM newest""",
+    "rebuild_days": f"""WITH {_DAYS}, recent AS (
+          SELECT DISTINCT date_partition FROM inc ORDER BY 1 DESC LIMIT 2)
+        SELECT date_partition, district, crime_type,
+          CASE WHEN date_partition IN (FROM recent) THEN n ELSE 2 * n END AS crime_count,
+          last_time AS last_updated FROM days""",
+    "quarantine": f"""WITH {_INC}
+        SELECT 'INC-' || incident_id AS crime_id, crime_type, district FROM inc
+        WHERE incident_id % 7 = 0""",
     # orders
     "order_statistics": f"WITH {_ORDERS} SELECT {_STATISTICS} FROM days",
     "order_density": f"""WITH {_ORDERS}

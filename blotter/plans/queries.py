@@ -9,18 +9,29 @@ from pyspark.sql import functions as F
 
 from blotter.functions import age_label, age_seconds, area_from_message, minute_bucket, seconds
 from blotter.operators import alerts, cells, density, envelope, feeds, lookups, ranking, rollups
-from blotter.operators.points import decode_points
+from blotter.operators.points import decode_points, quarantined_points
 from blotter.plans import events as ev
-from blotter.schema import FACT_SCHEMA, FACTS, NAMES, SOURCE_SCHEMA, STATISTICS
-from blotter.schema import STATISTICS_SCHEMA, with_batch_key
-from blotter.session import cut_lineage, work_folder
-from blotter.sinks.tables import (
-    append_rows,
-    layout_for,
-    replace_partitions,
-    replace_table,
-    write_batch,
+from blotter.plans.rebuild import rebuild_rollups
+from blotter.plans.reports import density_records, density_report, live_alerts, live_incidents
+from blotter.schema import (
+    ALERT_SCHEMA,
+    ALERTS,
+    CORRELATION,
+    CORRELATION_SCHEMA,
+    DENSITY,
+    DENSITY_SCHEMA,
+    FACT_SCHEMA,
+    FACTS,
+    NAMES,
+    SOURCE_SCHEMA,
+    STATISTICS,
+    STATISTICS_SCHEMA,
+    TEMPORAL,
+    TEMPORAL_SCHEMA,
+    with_batch_key,
 )
+from blotter.session import cut_lineage, work_folder
+from blotter.sinks.tables import append_rows, replace_partitions, replace_table, write_batch
 from blotter.sources.streams import read_file_stream
 from blotter.sources.tables import (
     discover_areas,
@@ -33,8 +44,8 @@ from blotter.sources.tables import (
     sample_read,
 )
 from blotter.streaming import job as streaming_job
-from blotter.streaming.live import BUCKET, dedupe_live, start_live_feed
-from blotter.streaming.progress import batch_volume
+from blotter.streaming.live import BUCKET, dedupe_live, observe_feed, start_live_feed
+from blotter.streaming.progress import batch_volume, recent_volume
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -67,9 +78,9 @@ def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _newest(feed: DataFrame, back_seconds: int = 0) -> DataFrame:
-    """The reference time as one row: the newest arrival, or some time before it."""
-    return feed.agg((F.max("added_at") - seconds(back_seconds)).alias("reference"))
+def _newest(feed: DataFrame) -> Column:
+    """The reference time: the newest arrival, read once."""
+    return feeds.reference_time(feed.agg(F.max("added_at").alias("reference")))
 
 
 def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,7 +317,7 @@ def windowed_alerts(spark, sf_dir):
 def _alert_feed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
     stored = _alerts(spark, sf_dir)
     feed = alerts.normalise_alerts(stored, F.col("alert_time"))
-    return feed, feeds.reference_time(_newest(_feed(spark, sf_dir)))
+    return feed, _newest(_feed(spark, sf_dir))
 
 
 @query
@@ -360,39 +371,44 @@ def live_first_per_reporter(spark, sf_dir):
 @query
 def new_incidents(spark, sf_dir):
     feed = _feed(spark, sf_dir).select("user_id", "id", "added_at")
-    before = feeds.live_rows(feed, _newest(feed, DAY), DAY)
-    now = feeds.live_rows(feed, _newest(feed), DAY)
+    newest = _newest(feed)
+    before = feeds.live_rows(feed, newest - seconds(DAY), DAY)
+    now = feeds.live_rows(feed, newest, DAY)
     return feeds.new_rows(now, before, ["user_id"], tie=["id"])
 
 
 @query
 def new_incidents_with_repeats(spark, sf_dir):
     feed = _feed(spark, sf_dir).select("user_id", "id", "added_at")
-    before = feeds.live_rows(feed, _newest(feed, DAY), DAY)
-    now = feeds.live_rows(feed, _newest(feed), DAY)
+    newest = _newest(feed)
+    before = feeds.live_rows(feed, newest - seconds(DAY), DAY)
+    now = feeds.live_rows(feed, newest, DAY)
     return feeds.new_rows(now, before, ["user_id"], keep_repeats=True)
 
 
 @query
 def expired_incidents(spark, sf_dir):
     feed = _feed(spark, sf_dir).select("id", "added_at")
-    before = feeds.live_rows(feed, _newest(feed, HOUR * 6), DAY)
-    now = feeds.live_rows(feed, _newest(feed), DAY)
+    newest = _newest(feed)
+    before = feeds.live_rows(feed, newest - seconds(6 * HOUR), DAY)
+    now = feeds.live_rows(feed, newest, DAY)
     return feeds.expired_rows(before, now, ["id"])
 
 
 @query
 def extended_live_set(spark, sf_dir):
     feed = _feed(spark, sf_dir).select("user_id", "id", "added_at")
-    before = feeds.live_set(feed, _newest(feed, DAY), DAY, ["user_id"], tie=["id"])
-    now = feeds.live_rows(feed, _newest(feed), DAY)
+    newest = _newest(feed)
+    before = feeds.live_set(feed, newest - seconds(DAY), DAY, ["user_id"], tie=["id"])
+    now = feeds.live_rows(feed, newest, DAY)
     return feeds.extend_live(before, feeds.new_rows(now, before, ["user_id"], tie=["id"]))
 
 
 @query
 def feed_metrics(spark, sf_dir):
     feed = _feed(spark, sf_dir)
-    return feeds.feed_metrics(feed, _newest(feed, 6 * HOUR), _newest(feed), DAY, ["id"])
+    newest = _newest(feed)
+    return feeds.feed_metrics(feed, newest - seconds(6 * HOUR), newest, DAY, ["id"])
 
 
 @query
@@ -405,7 +421,7 @@ def incident_view(spark, sf_dir):
 @query
 def age_labels(spark, sf_dir):
     feed = _feed(spark, sf_dir)
-    age = age_seconds(F.col("added_at"), feeds.reference_time(_newest(feed)))
+    age = age_seconds(F.col("added_at"), _newest(feed))
     aged = feed.select("id", age.alias("time_ago"))
     return aged.withColumn("time_ago_label", age_label(F.col("time_ago")))
 
@@ -478,13 +494,9 @@ def _fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _event_layout(spark: SparkSession, sf_dir: str) -> str:
-    return layout_for(ev.table(spark, sf_dir, "events").count())
-
-
 def _stored_facts(spark: SparkSession, sf_dir: str) -> str:
     path = work_folder(spark, "facts")
-    append_rows(_fact_rows(spark, sf_dir), path, layout=_event_layout(spark, sf_dir))
+    append_rows(_fact_rows(spark, sf_dir), path)
     return path
 
 
@@ -510,18 +522,34 @@ def area_discovery(spark, sf_dir):
 
 @query
 def area_discovery_default(spark, sf_dir):
-    files = list_files(spark, _stored_facts(spark, sf_dir), day="1999-12-31")
-    return discover_areas(files, default=ev.EVENT_AREAS[:3])
+    """The areas of the newest stored day, and the default list for the day after it."""
+    path = _stored_facts(spark, sf_dir)
+    newest = F.max("date_partition").cast("date")
+    stored, after = (
+        list_files(spark, path)
+        .agg(newest.cast("string"), F.date_add(newest, 1).cast("string"))
+        .first()
+    )
+    found = [
+        discover_areas(list_files(spark, path, day=day), default=ev.EVENT_AREAS[:3]).select(
+            F.lit(day).alias("day"), "district"
+        )
+        for day in (stored, after)
+    ]
+    return found[0].unionByName(found[1])
 
 
 @query
 def file_census_by_partition(spark, sf_dir):
-    census = file_census(list_files(spark, _stored_facts(spark, sf_dir)))
-    return census.select(
-        "date_partition",
-        "district",
-        (F.col("file_count") > 0).alias("has_files"),
-        F.col("newest_file").contains("date_partition=").alias("named_by_partition"),
+    """Files, newest lot and rows of each day and area written in two lots."""
+    path = _two_lots(spark, sf_dir)
+    files = list_files(spark, path, ("date_partition", "district", "batch_key"))
+    lot = F.regexp_extract("newest_file", "batch_key=([^/]*)", 1).alias("newest_lot")
+    rows = read_table(spark, path, with_batch_key(FACT_SCHEMA))
+    counts = rows.groupBy("date_partition", "district").agg(F.count(F.lit(1)).alias("rows"))
+    census = file_census(files).where("total_bytes > 0")
+    return census.join(counts, ["date_partition", "district"]).select(
+        "date_partition", "district", "file_count", lot, "rows"
     )
 
 
@@ -530,9 +558,8 @@ def _two_lots(spark: SparkSession, sf_dir: str) -> str:
     path = work_folder(spark, "lots")
     rows = _fact_rows(spark, sf_dir)
     morning = F.hour("processing_time") < 12
-    layout = _event_layout(spark, sf_dir)
-    write_batch(rows.where(morning), path, "lot-1", layout=layout)
-    write_batch(rows.where(~morning), path, "lot-2", layout=layout)
+    write_batch(rows.where(morning), path, "lot-1")
+    write_batch(rows.where(~morning), path, "lot-2")
     return path
 
 
@@ -548,19 +575,26 @@ def latest_files_per_area(spark, sf_dir):
 
 @query
 def latest_files_overall(spark, sf_dir):
+    """The rows of the newest files, as many as the second lot has: the afternoons."""
     path = _two_lots(spark, sf_dir)
     files = list_files(spark, path, ("date_partition", "district", "batch_key"))
-    newest = latest_files(files, 10, group=())
-    return newest.groupBy("batch_key").agg(F.count(F.lit(1)).alias("files"))
+    newest = latest_files(files, files.where("batch_key = 'lot-2'").count(), group=())
+    rows = read_files(spark, path, newest, with_batch_key(FACT_SCHEMA))
+    return rows.select("crime_data", "district", "date_partition", "batch_key")
 
 
 @query
 def sample_read_of_table(spark, sf_dir):
-    rows = read_table(spark, _stored_facts(spark, sf_dir), FACT_SCHEMA)
-    sample = sample_read(rows)
-    return sample.select(
-        "row_count", "columns", F.col("first_record").isNotNull().alias("has_record")
-    )
+    """Count, columns and first record of a table whose one file is in order of the id."""
+    path = work_folder(spark, "sample")
+    ordered = _fact_rows(spark, sf_dir).orderBy(F.col("crime_data").cast("long"))
+    ordered.coalesce(1).write.parquet(path)
+    sample = sample_read(read_table(spark, path, FACT_SCHEMA))
+    first = [
+        F.get_json_object("first_record", f"$.{name}").alias(name)
+        for name in ("crime_data", "crime_type", "district")
+    ]
+    return sample.select("row_count", "columns", *first)
 
 
 @query
@@ -591,38 +625,97 @@ def replaced_partitions(spark, sf_dir):
 
 # ---------------------------------------------------------------- streaming
 
+# The events arrive in four files, cut inside a day, one file per micro-batch.
+CUTS = ("2024-01-08 06:00:00", "2024-01-15 12:00:00", "2024-01-23 18:00:00")
+FEED_TTL = 4 * DAY
+_JOBS: dict[tuple, streaming_job.Job] = {}
+
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _write_lots(spark: SparkSession, sf_dir: str, path: str, lots: range) -> None:
+    """Some of the four files, in order of time; the stream takes them in order of writing."""
+    events = ev.table(spark, sf_dir, "events")
+    lot = sum((F.col("ts") >= F.lit(cut).cast("timestamp_ntz")).cast("int") for cut in CUTS)
+    for i in lots:
+        events.where(lot == i).coalesce(1).write.mode("append").parquet(path)
+
+
+def _event_stream(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     schema = ev.table(spark, sf_dir, "events").schema
-    # A glob, so that a single file and a folder of files both stream.
-    return read_file_stream(spark, f"{sf_dir}/events.parque[t]", schema)
+    if path is None:
+        path = work_folder(spark, "lots")
+        _write_lots(spark, sf_dir, path, range(4))
+    return read_file_stream(spark, path, schema, max_files_per_batch=1)
 
 
-def _record_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = ev.source_rows(ev.as_incidents(_event_stream(spark, sf_dir)))
+def _record_stream(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    raw = ev.source_rows(ev.as_incidents(_event_stream(spark, sf_dir, path)))
     typed = raw.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     return envelope.decode_records(
         typed.select(*SOURCE_SCHEMA.names), clock=F.col(NAMES.source_time)
     )
 
 
-def _run_job(spark: SparkSession, sf_dir: str, mode: str) -> streaming_job.Job:
-    job = streaming_job.Job(
+def _new_job(spark: SparkSession, mode: str) -> streaming_job.Job:
+    return streaming_job.Job(
         root=work_folder(spark, "stream"),
         mode=mode,
         thresholds=ev.EVENT_THRESHOLDS,
         universe=ev.EVENT_UNIVERSE,
+        fold=2,
     )
-    running = streaming_job.start(
-        _record_stream(spark, sf_dir), job, f"{job.root}-checkpoint", trigger_seconds=None
-    )
-    running.awaitTermination()
-    return job
+
+
+def _run_job(spark: SparkSession, sf_dir: str, mode: str) -> streaming_job.Job:
+    """A job that has taken all events in four batches; run once per session and tables."""
+    key = (spark.sparkContext.applicationId, sf_dir, mode)
+    if key not in _JOBS:
+        job = _new_job(spark, mode)
+        streaming_job.start(
+            _record_stream(spark, sf_dir), job, f"{job.root}-checkpoint", trigger_seconds=None
+        ).awaitTermination()
+        _JOBS[key] = job
+    return _JOBS[key]
+
+
+def _stored(spark: SparkSession, sf_dir: str, table: str, schema) -> DataFrame:
+    job = _run_job(spark, sf_dir, streaming_job.CUMULATIVE)
+    return _plain(read_table(spark, job.path(table), schema))
 
 
 @query
 def stream_rollup(spark, sf_dir):
-    job = _run_job(spark, sf_dir, streaming_job.CUMULATIVE)
+    return _stored(spark, sf_dir, STATISTICS, STATISTICS_SCHEMA)
+
+
+@query
+def stream_temporal(spark, sf_dir):
+    return _stored(spark, sf_dir, TEMPORAL, TEMPORAL_SCHEMA)
+
+
+@query
+def stream_density(spark, sf_dir):
+    rows = _stored(spark, sf_dir, DENSITY, DENSITY_SCHEMA)
+    return rows.drop("crime_type_counts").withColumn(
+        "crime_types_list", _joined("crime_types_list")
+    )
+
+
+@query
+def stream_correlation(spark, sf_dir):
+    rows = _stored(spark, sf_dir, CORRELATION, CORRELATION_SCHEMA)
+    return rows.withColumn("crime_types_in_area", _joined("crime_types_in_area"))
+
+
+@query
+def stream_alerts(spark, sf_dir):
+    """The alerts of every batch on its own; a day cut in two is counted in two parts."""
+    return _stored(spark, sf_dir, ALERTS, ALERT_SCHEMA)
+
+
+@query
+def stream_last_batch(spark, sf_dir):
+    """Statistics of the last batch alone."""
+    job = _run_job(spark, sf_dir, streaming_job.LAST_BATCH)
     return _plain(read_table(spark, job.path(STATISTICS), STATISTICS_SCHEMA))
 
 
@@ -630,31 +723,92 @@ def stream_rollup(spark, sf_dir):
 def stream_facts(spark, sf_dir):
     job = _run_job(spark, sf_dir, streaming_job.LAST_BATCH)
     facts = read_table(spark, job.path(FACTS), FACT_SCHEMA)
-    return _plain(facts.drop("crime_data", "kafka_timestamp"))
+    payload = F.get_json_object("crime_data", "$.crime_id").alias("crime_id")
+    return _plain(facts.select(payload, *facts.drop("crime_data", "kafka_timestamp").columns))
+
+
+@query
+def stream_resumed_and_replayed(spark, sf_dir):
+    """Facts per day after a timed run over two files, a resumed one over all four and a replay
+    under a new checkpoint: every row twice, none more."""
+    path, job = work_folder(spark, "lots"), _new_job(spark, streaming_job.CUMULATIVE)
+    _write_lots(spark, sf_dir, path, range(2))
+    timed = streaming_job.start(
+        _record_stream(spark, sf_dir, path), job, f"{job.root}-checkpoint", trigger_seconds=1
+    )
+    try:
+        timed.processAllAvailable()
+    finally:
+        timed.stop()
+    _write_lots(spark, sf_dir, path, range(2, 4))
+    for checkpoint in (f"{job.root}-checkpoint", f"{job.root}-replay"):
+        streaming_job.start(
+            _record_stream(spark, sf_dir, path), job, checkpoint, trigger_seconds=None
+        ).awaitTermination()
+    facts = read_table(spark, job.path(FACTS), FACT_SCHEMA)
+    return facts.groupBy("date_partition").agg(F.count(F.lit(1)).alias("facts"))
 
 
-@query
-def stream_live_feed(spark, sf_dir):
-    """With a time to live of a month each reporter is stored once, on first arrival."""
-    stream = ev.as_incidents(_event_stream(spark, sf_dir)).select(
+def _arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ev.as_incidents(_event_stream(spark, sf_dir)).select(
         F.col("user_id").alias("id"), F.col("processing_time").cast("timestamp").alias("added_at")
     )
+
+
+@query
+def stream_live_feed(spark, sf_dir):
+    """A reporter is stored on first arrival and again after each time to live of four days."""
     path = work_folder(spark, "feed")
     start_live_feed(
-        stream, path, f"{path}-checkpoint", ttl_seconds=31 * DAY, trigger_seconds=None
+        _arrivals(spark, sf_dir),
+        path,
+        f"{path}-checkpoint",
+        ttl_seconds=FEED_TTL,
+        trigger_seconds=None,
     ).awaitTermination()
     stored = spark.read.schema(f"id bigint, added_at timestamp, {BUCKET} string").parquet(path)
     return _plain(stored.select("id", "added_at"))
 
 
+def _observed(spark: SparkSession, sf_dir: str):
+    """A finished query over the four files that counts what passes."""
+    noon = "hour(added_at) >= 12"
+    path = work_folder(spark, "observed")
+    running = (
+        observe_feed(_arrivals(spark, sf_dir), "feed", expired=noon)
+        .writeStream.format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", f"{path}-checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    running.awaitTermination()
+    return running
+
+
+@query
+def observed_feed(spark, sf_dir):
+    """Rows that passed and rows of the afternoon, as each batch's own metrics tell."""
+    found = [p.observedMetrics["feed"] for p in _observed(spark, sf_dir).recentProgress]
+    rows = [(int(m["added_count"]), int(m["expired_count"])) for m in found]
+    counts = spark.createDataFrame(rows, "added_count bigint, expired_count bigint")
+    return counts.where("added_count > 0")
+
+
+@query
+def trigger_volumes(spark, sf_dir):
+    """Input rows of every trigger with rows, as the running query reports them."""
+    volumes = recent_volume(_observed(spark, sf_dir))
+    rows = [(v["batch_id"], v["input_rows"]) for v in volumes]
+    return spark.createDataFrame(rows, "batch_id bigint, input_rows bigint").where("input_rows > 0")
+
+
 @query
 def stream_dedupe(spark, sf_dir):
-    stream = ev.as_incidents(_event_stream(spark, sf_dir)).select(
-        F.col("user_id").alias("id"), F.col("processing_time").cast("timestamp").alias("added_at")
-    )
+    """With a time to live longer than the data each reporter passes once, in its first batch."""
     path = work_folder(spark, "dedupe")
     running = (
-        dedupe_live(stream, ["id"], 31 * DAY)
+        dedupe_live(_arrivals(spark, sf_dir), ["id"], 31 * DAY)
         .writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", f"{path}-checkpoint")
@@ -665,6 +819,75 @@ def stream_dedupe(spark, sf_dir):
     return spark.read.schema("id bigint, added_at timestamp").parquet(path).select("id")
 
 
+# ----------------------------------------------------------------- reports
+
+
+def _report(spark: SparkSession, sf_dir: str) -> tuple[str, Column]:
+    """Root of a job that took the events in four batches, and the newest arrival."""
+    root = _run_job(spark, sf_dir, streaming_job.CUMULATIVE).root
+    feed = _feed(spark, sf_dir).withColumn("added_at", F.col("added_at").cast("timestamp"))
+    return root, _newest(feed)
+
+
+@query
+def report_incidents(spark, sf_dir):
+    """Map points of the last two days, over two midnights and all stored files."""
+    root, now = _report(spark, sf_dir)
+    return live_incidents(spark, root, now, ttl_seconds=2 * DAY)
+
+
+@query
+def report_alerts(spark, sf_dir):
+    root, now = _report(spark, sf_dir)
+    return live_alerts(spark, root, now, ttl_seconds=7 * DAY).drop("id", "alert_time")
+
+
+@query
+def report_density(spark, sf_dir):
+    """The ranked report of the newest day."""
+    root, now = _report(spark, sf_dir)
+    day = spark.range(1).select(F.to_date(now).cast("string")).first()[0]
+    ranked, _ = density_report(density_records(spark, root, day, now), ev.EVENT_UNIVERSE)
+    return _plain(ranked).select(
+        "district",
+        "total_crimes",
+        F.array_join(F.sort_array("crime_types_list"), ",").alias("crime_types_list"),
+        F.round("density_percent", 4).alias("density_percent"),
+        "variety_ratio",
+        "last_updated",
+    )
+
+
+@query
+def rebuild_days(spark, sf_dir):
+    """Doubled counts, of which the two newest days are rebuilt from the facts."""
+    job = _new_job(spark, streaming_job.CUMULATIVE)
+    append_rows(_fact_rows(spark, sf_dir), job.path(FACTS))
+    incidents = ev.incidents(spark, sf_dir)
+    doubled = rollups.statistics(cells.day_cells(incidents.unionByName(incidents)))
+    replace_table(
+        doubled.withColumn("last_updated", F.col("last_updated").cast("timestamp")),
+        job.path(STATISTICS),
+    )
+    day = F.col("date_partition")
+    days = list_files(spark, job.path(FACTS)).select(day).distinct().orderBy(day.desc()).limit(2)
+    rebuild_rollups(spark, job, [r[0] for r in days.collect()])
+    return _plain(read_table(spark, job.path(STATISTICS), STATISTICS_SCHEMA))
+
+
+@query
+def quarantine(spark, sf_dir):
+    """Every seventh payload has an unreadable latitude; these rows are set aside."""
+    records = _records(spark, sf_dir)
+    seventh = F.regexp_extract(NAMES.key, "([0-9]+)", 1).cast("bigint") % 7 == 0
+    broken = F.regexp_replace(NAMES.payload, '"lat":[-0-9.E]+', '"lat":"x"')
+    payload = F.when(seventh, broken).otherwise(F.col(NAMES.payload))
+    rows = quarantined_points(records.withColumn(NAMES.payload, payload))
+    return rows.select(
+        F.get_json_object(NAMES.payload, "$.crime_id").alias("crime_id"), "crime_type", "district"
+    )
+
+
 # ------------------------------------------------------- a second vocabulary
 
 

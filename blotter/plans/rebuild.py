@@ -8,9 +8,9 @@ from pyspark.sql import SparkSession
 
 from blotter.operators.cells import hour_cells
 from blotter.schema import FACT_SCHEMA, FACTS
-from blotter.session import cut_lineage
+from blotter.session import cut_lineage, work_folders
 from blotter.sources.tables import read_days, read_table
-from blotter.streaming.job import Job, write_rollups
+from blotter.streaming.job import Job, check_zone, write_rollups
 
 
 def rebuild_rollups(
@@ -18,11 +18,15 @@ def rebuild_rollups(
 ) -> None:
     """Rebuild the rollups of the given days, or of all days, in one pass over the facts.
 
-    The hour cells are written to the shared folder once and every table is derived from
-    them, so the facts are scanned and shuffled once.
+    Facts count under the day they are stored in. Given days are replaced as a whole, also by
+    nothing, and no other day is touched; without days the tables are replaced. The hour cells
+    are written to the shared folder once, every table is derived from them, and the folder
+    is deleted at the end.
     """
+    check_zone(spark, job)
     if days is None:
         facts = read_table(spark, job.path(FACTS), FACT_SCHEMA)
     else:
         facts = read_days(spark, job.path(FACTS), days, FACT_SCHEMA)
-    write_rollups(spark, job, cut_lineage(hour_cells(facts)))
+    with work_folders(spark, "rebuild") as [path]:
+        write_rollups(spark, job, cut_lineage(hour_cells(facts), path), days)

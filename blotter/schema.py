@@ -49,7 +49,7 @@ ALERT_THRESHOLDS = {
 }
 CATEGORY_UNIVERSE = 6
 
-AREAS = ("Centro", "Norte", "Sur", "Samborondón", "Durán", "Vía a la Costa")
+# Offered while a day has no stored rows.
 FALLBACK_AREAS = ("Centro", "Norte", "Sur")
 
 CATEGORY_COLORS = {
@@ -65,6 +65,7 @@ DEFAULT_COLOR = "#666666"
 INCIDENT_TTL_SECONDS = 60
 ALERT_TTL_SECONDS = 300
 
+# Files per area, or in all, that a poll of the newest files alone takes.
 INCIDENT_FILES_PER_AREA = 8
 ALERT_FILES_PER_AREA = 3
 DENSITY_FILES = 10
@@ -99,17 +100,6 @@ SOURCE_SCHEMA = _struct(
     timestamp=_TIME,
 )
 
-RECORD_SCHEMA = _struct(
-    crime_id=_STRING,
-    timestamp=_STRING,
-    location=_struct(
-        address=_STRING, district=_STRING, coordinates=_struct(lat=_DOUBLE, lon=_DOUBLE)
-    ),
-    crime_type=_STRING,
-    description=_STRING,
-    reporter_info=_struct(name=_STRING, cedula_hash=_STRING, phone=_STRING),
-)
-
 FACT_SCHEMA = _struct(
     crime_data=_STRING,
     processing_time=_TIME,

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A helper table built from driver literals is broadcast only up to this many rows.
-MAX_BROADCAST_ROWS = 10_000
 
 
 def build_session(app: str = "blotter", master: str | None = None, **conf: str) -> SparkSession:
@@ -51,19 +49,53 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/blotter-{purpose}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write a small intermediate result to the shared folder and read it back."""
-    path = work_folder(df.sparkSession, "cut")
+def cut_lineage(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Write an intermediate result to the shared folder and read it back.
+
+    Whoever names the ``path`` removes it when the result has been used.
+    """
+    path = path or work_folder(df.sparkSession, "cut")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def file_system(spark: SparkSession, path: str) -> tuple[Any, Any]:
+    """The Hadoop file system of a path, and the path as it takes it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all below it; an absent one is fine."""
+    system, where = file_system(spark, path)
+    system.delete(where, True)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders right below a path; none if it is absent."""
+    system, where = file_system(spark, path)
+    if not system.exists(where):
+        return []
+    return sorted(s.getPath().getName() for s in system.listStatus(where) if s.isDirectory())
+
+
+@contextmanager
+def work_folders(spark: SparkSession, purpose: str, count: int = 1) -> Iterator[list[str]]:
+    """Folder names below the shared folder that are deleted at the end, also on failure."""
+    paths = [work_folder(spark, purpose) for _ in range(count)]
+    try:
+        yield paths
+    finally:
+        for path in paths:
+            remove_folder(spark, path)
+
+
 def lookup_table(
     spark: SparkSession, entries: Mapping[str, str] | Mapping[str, int], key: str, value: str
 ) -> DataFrame:
-    """A two-column table from driver literals, broadcast while its size is bounded."""
+    """A two-column table from driver literals; Spark knows its bytes and decides the join."""
     text = any(isinstance(v, str) for v in entries.values())
-    table = spark.createDataFrame(
+    return spark.createDataFrame(
         pa.table(
             {
                 key: pa.array(entries.keys(), pa.string()),
@@ -71,4 +103,3 @@ def lookup_table(
             }
         )
     )
-    return F.broadcast(table) if len(entries) <= MAX_BROADCAST_ROWS else table

@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 from blotter.operators.ranking import latest_overall, latest_per_group
 from blotter.schema import NAMES, Names
 
-# Up to this many files are opened by path; beyond it the scan is joined with the file list.
-MAX_LISTED_FILES = 10_000
+# The folder name Spark gives to a null partition value.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 # Fixed by Spark's binaryFile source.
 _FILE_FIELDS = [
@@ -90,11 +90,13 @@ def list_files(
     root: str,
     partitions: Sequence[str] = (NAMES.date, NAMES.area),
     day: str | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
     """One row per Parquet file with its partition values; no file is opened.
 
     ``file_path`` is the path to open, ``file_uri`` the same file as table scans name it.
-    With ``day`` only that day's folder is listed. An absent folder lists as empty.
+    With ``day`` only that day's folder is listed, with ``folder`` only what lies below this
+    pattern. An absent folder lists as empty.
     """
     keys = [T.StructField(p, T.StringType()) for p in partitions]
     reader = (
@@ -103,7 +105,7 @@ def list_files(
         .option("basePath", root)
         .option("pathGlobFilter", "*.parquet")
     )
-    path = f"{root}/{partitions[0]}={day}" if day else root
+    path = folder or (f"{root}/{partitions[0]}={day}" if day else root)
 
     def load() -> DataFrame:
         return reader.load(path).select(
@@ -149,31 +151,39 @@ def latest_files(files: DataFrame, k: int, group: Sequence[str] = (NAMES.area,))
 def read_files(
     spark: SparkSession, root: str, files: DataFrame, schema: T.StructType, tolerant: bool = True
 ) -> DataFrame:
-    """The rows of the listed files.
+    """The rows of the listed files, by one scan of the folders they lie in.
 
-    A short list is opened by path, so nothing else of the table is touched. A longer one
-    stays distributed: the scan is joined with it on the file and on the partition columns,
-    by which Spark can still prune partitions.
+    The folders are the values of the listing's first partition, such as the days; inside them
+    the scan keeps the listed files by name. Files that vanished since are skipped.
     """
-    reader = _reader(spark, schema, tolerant).option("basePath", root)
-    listed = files.select("file_path").limit(MAX_LISTED_FILES + 1).collect()
-    if not listed:
+    first = files.columns[0]
+    days = [r[0] for r in files.select(first).distinct().collect()]
+    folders = ",".join(f"/{first}={NULL_FOLDER if d is None else d}" for d in days)
+    if not folders:
         return spark.createDataFrame([], schema)
-    if len(listed) <= MAX_LISTED_FILES:
-        return reader.parquet(*[row.file_path for row in listed]).select(*schema.names)
-    partitions = [c for c in files.columns if c in schema.names]
-    table = reader.parquet(root).select("*", F.col("_metadata.file_path").alias("file_uri"))
-    wanted = files.select("file_uri", *partitions)
-    return table.join(wanted, ["file_uri", *partitions], "left_semi").select(*schema.names)
+    reader = _reader(spark, schema, tolerant).option("basePath", root)
+
+    def load() -> DataFrame:
+        table = reader.parquet(f"{root}{{{folders}}}")
+        named = table.select("*", F.col("_metadata.file_path").alias("file_uri"))
+        return named.join(files.select("file_uri"), "file_uri", "left_semi")
+
+    return _or_empty(spark, load, schema)
 
 
 def sample_read(table: DataFrame) -> DataFrame:
-    """One row: number of rows, the columns, and the first record as JSON."""
-    record = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
-    position = F.struct("_metadata.file_path", "_metadata.row_index")
-    rows = table.select(record.alias("record"), position.alias("position"))
-    return rows.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.lit(",".join(table.columns)).alias("columns"),
-        F.min_by("record", "position").alias("first_record"),
+    """One row: number of rows, the columns, and the first record as JSON.
+
+    The count and the file whose name comes first need no column, so Parquet answers them from
+    its footers. The record is the first one of that file, and only that file is opened for it.
+    """
+    record = F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("first_record")
+    counted = table.agg(
+        F.count(F.lit(1)).alias("row_count"), F.lit(",".join(table.columns)).alias("columns")
     )
+    if not table.inputFiles():
+        return counted.withColumn("first_record", F.lit(None).cast("string"))
+    name = table.agg(F.min("_metadata.file_path")).first()[0]
+    opened = table.where(F.col("_metadata.file_path") == name)
+    first = opened.orderBy("_metadata.row_index").limit(1).select(record)
+    return counted.withColumn("first_record", first.scalar())

@@ -5,20 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import partial
+from functools import partial, reduce
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from blotter.operators.alerts import critical_alerts
-from blotter.operators.cells import COUNT, fold_to_days, hour_cells, merge_cells
+from blotter.operators.cells import fold_to_days, hour_cells, merge_cells
 from blotter.operators.envelope import fact_rows, topic_rows
 from blotter.operators.rollups import correlation, density, statistics, temporal_profile
 from blotter.schema import (
     ALERT_THRESHOLDS,
     ALERTS,
+    BATCH_KEY,
     CATEGORY_UNIVERSE,
     CELL_SCHEMA,
     CELLS,
@@ -31,24 +31,25 @@ from blotter.schema import (
     TRIGGER_SECONDS,
     with_batch_key,
 )
+from blotter.session import file_system, remove_folder, subfolders
 from blotter.sinks.tables import (
     DAY,
     DAY_AREA,
-    GATHER,
     REBALANCE,
     append_rows,
-    layout_for,
-    replace_partitions,
+    replace_days,
     replace_table,
     write_batch,
 )
-from blotter.sources.tables import read_days, read_table
 
 CUMULATIVE = "cumulative"
 LAST_BATCH = "last-batch"
 
-# More touched days than this in one batch are matched by a join instead of by folder.
-MAX_TOUCHED_DAYS = 400
+# So many folders of cells of one level are folded into one of the next.
+FOLD = 32
+_LEVELS = 6
+# Names the session time zone that a job's days and hours were cut in.
+ZONE_FILE = "_time_zone"
 
 ROLLUPS = {
     STATISTICS: DAY,
@@ -67,11 +68,13 @@ class Job:
     batch touched are rebuilt from the cells. ``last-batch`` appends the facts and replaces
     each rollup table by the rollup of the latest batch alone.
 
-    ``refresh=False`` leaves the rollup tables to ``refresh_rollups`` on a schedule; with
-    short triggers over a long day this saves reading the day's cells every time.
+    The cells of ``fold`` batches are folded into one folder, ``fold`` of these into the next,
+    and so on, so that a refresh opens a number of folders that grows with the logarithm of
+    the batches of a day. ``refresh=False`` leaves the rollup tables to ``refresh_rollups`` on
+    a schedule.
 
-    ``fact_layout`` places the facts of large batches: the default rebalances them into few
-    files; ``as-is`` saves that shuffle where every source task fills whole files anyway.
+    ``fact_layout`` places the facts: the default rebalances them into few files; ``as-is``
+    saves that shuffle where every source task fills whole files anyway.
     """
 
     root: str
@@ -82,10 +85,13 @@ class Job:
     refresh: bool = True
     compression: str = "gzip"
     fact_layout: str = REBALANCE
+    fold: int = FOLD
 
     def __post_init__(self) -> None:
         if self.mode not in (CUMULATIVE, LAST_BATCH):
             raise ValueError(f"unknown mode {self.mode!r}")
+        if self.fold < 2:
+            raise ValueError("at least two folders are folded into one")
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -102,12 +108,115 @@ def derive_rollups(merged_hours: DataFrame, universe: int) -> dict[str, DataFram
     }
 
 
-def _stored_cells(spark: SparkSession, job: Job, touched: DataFrame) -> DataFrame:
-    schema = with_batch_key(CELL_SCHEMA)
-    days = [row[0] for row in touched.limit(MAX_TOUCHED_DAYS + 1).collect()]
-    if len(days) <= MAX_TOUCHED_DAYS:
-        return read_days(spark, job.path(CELLS), days, schema)
-    return read_table(spark, job.path(CELLS), schema).join(touched, NAMES.date, "left_semi")
+def check_zone(spark: SparkSession, job: Job) -> None:
+    """Refuse a session whose time zone is not the one the tables were written in.
+
+    Days and hours of stored rows were cut in that zone; the first writer leaves its name.
+    """
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    system, path = file_system(spark, f"{job.root}/{ZONE_FILE}")
+    if system.exists(path):
+        stream = system.open(path)
+        try:
+            written = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        if written != zone:
+            raise ValueError(f"the tables were written in {written}, the session is in {zone}")
+        return
+    out = system.create(path, True)
+    out.write(bytearray(zone, "utf-8"))
+    out.close()
+
+
+# ------------------------------------------------------- folders of cells
+# "<stream>-<batch>" holds one batch, "<stream>-L<level>-<block>" a folded block of them.
+
+
+def batch_key(stream_id: str, batch_id: int) -> str:
+    return f"{stream_id}-{batch_id:012d}"
+
+
+def _block_key(stream_id: str, level: int, block: int) -> str:
+    return batch_key(stream_id, block) if level == 0 else f"{stream_id}-L{level}-{block:012d}"
+
+
+def _parsed_key(key: str) -> tuple[str, int, int]:
+    """Stream, level and block of a folder key."""
+    stream, _, block = key.rpartition("-")
+    head, _, level = stream.rpartition("-L")
+    if head and level.isdigit():
+        return head, int(level), int(block)
+    return stream, 0, int(block)
+
+
+def valid_keys(keys: Sequence[str], fold: int) -> list[str]:
+    """The keys that together hold every batch once: none that lies in a stored larger block."""
+    known = {_parsed_key(k): k for k in keys}
+    return [
+        key
+        for (stream, level, block), key in known.items()
+        if not any(
+            (stream, up, block // fold ** (up - level)) in known
+            for up in range(level + 1, _LEVELS + 1)
+        )
+    ]
+
+
+def _day_folders(spark: SparkSession, job: Job, day: str) -> list[str]:
+    """The batch keys of the cell folders of a day."""
+    names = subfolders(spark, f"{job.path(CELLS)}/{NAMES.date}={day}")
+    return [n.partition("=")[2] for n in names if n.startswith(f"{BATCH_KEY}=")]
+
+
+def _cells_of(spark: SparkSession, job: Job, day: str, keys: Sequence[str]) -> DataFrame | None:
+    root = job.path(CELLS)
+    paths = [f"{root}/{NAMES.date}={day}/{BATCH_KEY}={key}" for key in keys]
+    if not paths:
+        return None
+    reader = spark.read.schema(with_batch_key(CELL_SCHEMA)).option("basePath", root)
+    return reader.parquet(*paths)
+
+
+def stored_cells(spark: SparkSession, job: Job, days: Sequence[str]) -> DataFrame:
+    """The hour cells of the given days, every batch once."""
+    parts = [
+        _cells_of(spark, job, day, valid_keys(_day_folders(spark, job, day), job.fold))
+        for day in days
+    ]
+    empty = spark.createDataFrame([], with_batch_key(CELL_SCHEMA))
+    return reduce(DataFrame.unionByName, [p for p in parts if p is not None], empty)
+
+
+def fold_cells(
+    spark: SparkSession, job: Job, stream_id: str, batch_id: int, days: Sequence[str]
+) -> None:
+    """Fold the blocks that ended before this batch, and drop what lies in a larger block.
+
+    Batches before this one are committed and never rerun, so a block is folded when the next
+    one begins. Its folder replaces the smaller ones by its mere presence; they are deleted
+    afterwards, and after a failure in between the next batch of the day deletes them.
+    """
+    for day in days:
+        found = _day_folders(spark, job, day)
+        for level in range(1, _LEVELS + 1):
+            size = job.fold**level
+            held = {_parsed_key(k): k for k in found}
+            ended: dict[int, list[str]] = {}
+            for (stream, at, block), key in held.items():
+                over = (block // job.fold + 1) * size <= batch_id
+                if stream == stream_id and at == level - 1 and over:
+                    ended.setdefault(block // job.fold, []).append(key)
+            for block, keys in ended.items():
+                if (stream_id, level, block) not in held:
+                    cells = _cells_of(spark, job, day, keys).drop(BATCH_KEY)
+                    key = _block_key(stream_id, level, block)
+                    write_batch(
+                        merge_cells(cells), job.path(CELLS), key, DAY, job.compression
+                    )
+                    found.append(key)
+        for key in set(found) - set(valid_keys(found, job.fold)):
+            remove_folder(spark, f"{job.path(CELLS)}/{NAMES.date}={day}/{BATCH_KEY}={key}")
 
 
 def _together(spark: SparkSession, writes: Sequence[Callable[[], None]]) -> None:
@@ -122,26 +231,30 @@ def write_rollups(
     spark: SparkSession,
     job: Job,
     merged_hours: DataFrame,
-    write: Callable[..., None] = replace_partitions,
+    days: Sequence[str] | None = None,
 ) -> None:
-    """Derive and write the four rollup tables of a set of merged hour cells."""
-    layout = layout_for(merged_hours.count())
-    _together(
-        spark,
-        [
-            partial(write, rows, job.path(table), ROLLUPS[table], job.compression, layout)
-            for table, rows in derive_rollups(merged_hours, job.universe).items()
-        ],
-    )
+    """Derive and write the four rollup tables of a set of merged hour cells.
+
+    With ``days`` these days are replaced as a whole and no other one is touched; without, the
+    tables are replaced.
+    """
+
+    def write(table: str, rows: DataFrame) -> None:
+        place = job.path(table), ROLLUPS[table]
+        if days is None:
+            replace_table(rows, *place, job.compression)
+        else:
+            replace_days(rows, place[0], days, place[1], job.compression)
 
+    tables = derive_rollups(merged_hours, job.universe)
+    _together(spark, [partial(write, *item) for item in tables.items()])
 
-def refresh_rollups(spark: SparkSession, job: Job, touched: DataFrame) -> None:
-    """Rebuild the rollup tables of the days in ``touched`` from the stored cells."""
-    merged = merge_cells(_stored_cells(spark, job, touched)).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
+
+def refresh_rollups(spark: SparkSession, job: Job, days: Sequence[str]) -> None:
+    """Rebuild the rollup tables of the given days from the stored cells."""
+    merged = merge_cells(stored_cells(spark, job, days)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_rollups(spark, job, merged)
+        write_rollups(spark, job, merged, days)
     finally:
         merged.unpersist()
 
@@ -152,14 +265,12 @@ def write_micro_batch(job: Job, batch: DataFrame, stream_id: str, batch_id: int)
     The batch is persisted, so the source is read once for all writes.
     """
     spark = batch.sparkSession
+    check_zone(spark, job)
     batch.persist(StorageLevel.MEMORY_AND_DISK)
     hours = hour_cells(batch).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        size = hours.agg(
-            F.count(F.lit(1)).alias("cells"), F.coalesce(F.sum(COUNT), F.lit(0)).alias("rows")
-        ).first()
-        fact_layout = GATHER if layout_for(size.rows) == GATHER else job.fact_layout
-        cell_layout = layout_for(size.cells)
+        # The days of one batch; the null day of a clock that is missing has no folder.
+        days = [r[0] for r in hours.select(NAMES.date).distinct().collect() if r[0] is not None]
         facts = fact_rows(batch)
         alerts = critical_alerts(fold_to_days(hours), job.thresholds)
         paths = job.path(FACTS), job.path(CELLS), job.path(ALERTS)
@@ -168,20 +279,21 @@ def write_micro_batch(job: Job, batch: DataFrame, stream_id: str, batch_id: int)
         if job.topic_writer is not None:
             writes.append(partial(job.topic_writer, topic_rows(batch)))
         if job.mode == CUMULATIVE:
-            key = f"{stream_id}-{batch_id:012d}"
+            key = batch_key(stream_id, batch_id)
             writes += [
-                partial(write_batch, facts, paths[0], key, DAY_AREA, codec, fact_layout),
-                partial(write_batch, hours, paths[1], key, DAY, codec, cell_layout),
-                partial(write_batch, alerts, paths[2], key, DAY_AREA, codec, cell_layout),
+                partial(write_batch, facts, paths[0], key, DAY_AREA, codec, job.fact_layout),
+                partial(write_batch, hours, paths[1], key, DAY, codec),
+                partial(write_batch, alerts, paths[2], key, DAY_AREA, codec, days=days),
             ]
             _together(spark, writes)
+            fold_cells(spark, job, stream_id, batch_id, days)
             if job.refresh:
-                refresh_rollups(spark, job, hours.select(NAMES.date).distinct())
+                refresh_rollups(spark, job, days)
         else:
             writes += [
-                partial(append_rows, facts, paths[0], DAY_AREA, codec, fact_layout),
-                partial(replace_table, alerts, paths[2], DAY_AREA, codec, cell_layout),
-                partial(write_rollups, spark, job, hours, replace_table),
+                partial(append_rows, facts, paths[0], DAY_AREA, codec, job.fact_layout),
+                partial(replace_table, alerts, paths[2], DAY_AREA, codec),
+                partial(write_rollups, spark, job, hours),
             ]
             _together(spark, writes)
     finally:
@@ -189,6 +301,14 @@ def write_micro_batch(job: Job, batch: DataFrame, stream_id: str, batch_id: int)
         batch.unpersist()
 
 
+def stream_id_of(batch: DataFrame) -> str:
+    """The id Spark keeps in the checkpoint of the running query."""
+    stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not stream_id:
+        raise RuntimeError("the batch carries no stream id; its rows could not be told apart")
+    return stream_id
+
+
 def start(
     records: DataFrame,
     job: Job,
@@ -204,8 +324,7 @@ def start(
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        write_micro_batch(job, batch, stream_id, batch_id)
+        write_micro_batch(job, batch, stream_id_of(batch), batch_id)
 
     writer = (
         records.writeStream.foreachBatch(on_batch)

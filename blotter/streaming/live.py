@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from blotter.operators.feeds import live_rows, new_rows
+from blotter.functions import seconds
+from blotter.operators.feeds import first_per_id, live_rows
 from blotter.schema import BATCH_KEY, INCIDENT_TTL_SECONDS
 from blotter.sinks.tables import write_batch
 from blotter.sources.tables import read_days
+from blotter.streaming.job import batch_key, stream_id_of
 
 _SALTS = 32
 # The feed is stored by arrival, in buckets one time to live wide.
@@ -41,42 +43,66 @@ def read_live(
     """
     epoch = int(reference.timestamp())
     buckets = [str(_bucket(epoch - back, ttl_seconds)) for back in (ttl_seconds, 0)]
-    stored = T.StructType(
+    rows = read_days(
+        spark, path, dict.fromkeys(buckets), _feed_schema(schema), partition=BUCKET
+    )
+    return live_rows(rows, F.lit(reference), ttl_seconds, clock)
+
+
+def _feed_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType(
         schema.fields
         + [T.StructField(BUCKET, T.StringType()), T.StructField(BATCH_KEY, T.StringType())]
     )
-    rows = read_days(spark, path, dict.fromkeys(buckets), stored, partition=BUCKET)
-    return live_rows(rows, F.lit(reference), ttl_seconds, clock)
 
 
 def write_live_batch(
     batch: DataFrame,
     path: str,
-    batch_key: str,
+    key: str,
     ids: Sequence[str],
     ttl_seconds: int = INCIDENT_TTL_SECONDS,
     clock: str = "added_at",
+    tie: Sequence[str] | None = None,
 ) -> None:
     """Store the rows of one batch whose id is not live; a rerun replaces its own rows.
 
-    ``clock`` is the arrival time of the batch. Repeats inside the batch fold to one row
-    before the join with the live ids, so a hot id costs one row.
+    The batch is taken in slices of arrival time one time to live wide, which are the buckets
+    of the feed, in their order: a batch of a few seconds is one or two slices, a catch-up as
+    many as it spans. In a slice a row counts if no row of its id was kept less than the
+    time to live before it, and of those the first one is kept. Kept times of an id are at least
+    the time to live apart, so a slice keeps one row per id, and only the slice's own bucket
+    and the one before it are read. Equal times are decided by the ``tie`` columns, by default
+    all columns, so a rerun keeps the same rows. Rows without an arrival time are left out.
     """
-    batch.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = batch.sparkSession
+    epoch = F.unix_seconds(F.col(clock).cast("timestamp"))
+    bucket = (epoch - F.pmod(epoch, F.lit(ttl_seconds))).cast("string")
+    rows = batch.where(F.col(clock).isNotNull()).withColumn(BUCKET, bucket)
+    rows.persist(StorageLevel.MEMORY_AND_DISK)
+    order = list(batch.columns if tie is None else tie)
+    schema = _feed_schema(batch.schema)
+    last = F.max("__kept").alias("__last")
+    named = [F.col(i).alias(f"__{i}") for i in ids]
+    same = [F.col(i).eqNullSafe(F.col(f"__{i}")) for i in ids]
     try:
-        newest = batch.agg(F.max(F.col(clock).cast("timestamp"))).first()[0]
-        if newest is None:
-            return
-        live = read_live(batch.sparkSession, path, batch.schema, newest, ttl_seconds, clock)
-        others = live.where(F.col(BATCH_KEY) != batch_key)
-        fresh = new_rows(batch, others, list(ids), clock)
-        epoch = F.unix_seconds(F.col(clock).cast("timestamp"))
-        bucketed = fresh.withColumn(
-            BUCKET, (epoch - F.pmod(epoch, F.lit(ttl_seconds))).cast("string")
-        )
-        write_batch(bucketed, path, batch_key, (BUCKET,))
+        slices = sorted(int(r[0]) for r in rows.select(BUCKET).distinct().collect())
+        for at in slices:
+            near = [str(at - ttl_seconds), str(at)]
+            stored = read_days(spark, path, near, schema, partition=BUCKET)
+            # An earlier attempt of this batch may lie in this bucket; it is written anew.
+            others = stored.where(
+                (F.col(BATCH_KEY) != key) | (F.col(BUCKET) != str(at))
+            ).withColumn("__kept", F.col(clock))
+            kept = others.groupBy(*named).agg(last)
+            part = rows.where(F.col(BUCKET) == str(at)).join(kept, same, "left")
+            free = F.col("__last").isNull() | (
+                F.col(clock) >= F.col("__last") + seconds(ttl_seconds)
+            )
+            fresh = first_per_id(part.where(free), list(ids), clock, order)
+            write_batch(fresh.select(*batch.columns, BUCKET), path, key, (BUCKET,))
     finally:
-        batch.unpersist()
+        rows.unpersist()
 
 
 def start_live_feed(
@@ -87,12 +113,13 @@ def start_live_feed(
     ttl_seconds: int = INCIDENT_TTL_SECONDS,
     clock: str = "added_at",
     trigger_seconds: int | None = 6,
+    tie: Sequence[str] | None = None,
 ) -> StreamingQuery:
     """Keep the stored feed up to date with a stream of points."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        write_live_batch(batch, path, f"{stream_id}-{batch_id:012d}", ids, ttl_seconds, clock)
+        key = batch_key(stream_id_of(batch), batch_id)
+        write_live_batch(batch, path, key, ids, ttl_seconds, clock, tie)
 
     writer = points.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     if trigger_seconds is None:

@@ -1,5 +1,7 @@
+import random
 from collections import Counter
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -9,10 +11,17 @@ from blotter.operators import cells, rollups
 from blotter.operators.alerts import critical_alerts
 from blotter.operators.envelope import decode_records
 from blotter.plans.rebuild import rebuild_rollups
-from blotter.plans.reports import density_records, density_report, live_alerts, live_incidents
+from blotter.plans.reports import (
+    density_records,
+    density_report,
+    live_alerts,
+    live_incidents,
+    report_areas,
+)
 from blotter.schema import (
     ALERT_SCHEMA,
     ALERTS,
+    CELLS,
     CORRELATION,
     CORRELATION_SCHEMA,
     DENSITY,
@@ -25,11 +34,19 @@ from blotter.schema import (
     TEMPORAL,
     TEMPORAL_SCHEMA,
 )
-from blotter.sinks import tables as sink_tables
+from blotter.session import remove_folder, shared_folder, subfolders
 from blotter.sinks.tables import AS_IS, REBALANCE
 from blotter.sources.streams import read_file_stream, topic_options
 from blotter.sources.tables import read_table
-from blotter.streaming.job import CUMULATIVE, LAST_BATCH, Job, start, write_micro_batch
+from blotter.streaming.job import (
+    CUMULATIVE,
+    LAST_BATCH,
+    Job,
+    start,
+    stream_id_of,
+    valid_keys,
+    write_micro_batch,
+)
 from blotter.streaming.live import dedupe_live, observe_feed, read_live, start_live_feed
 from blotter.streaming.live import write_live_batch
 from blotter.streaming.progress import batch_volume, recent_volume
@@ -148,8 +165,7 @@ def test_last_batch_mode_keeps_only_the_last_batch(spark, lots, source, tmp_path
 
 
 @pytest.mark.parametrize("layout", [REBALANCE, AS_IS])
-def test_large_batches_keep_all_rows(spark, lots, tmp_path, monkeypatch, layout):
-    monkeypatch.setattr(sink_tables, "SMALL_ROWS", 0)
+def test_large_batches_keep_all_rows(spark, lots, tmp_path, layout):
     job = Job(str(tmp_path / "out"), thresholds=THRESHOLDS, fact_layout=layout)
     batch = decoded(spark.createDataFrame(lots[1], SOURCE_SCHEMA)).repartition(4)
     write_micro_batch(job, batch, "s", 0)
@@ -212,14 +228,16 @@ def test_reports_over_the_stored_tables(spark, source, tmp_path):
     job = Job(str(tmp_path / "out"), thresholds=THRESHOLDS)
     run(spark, source, job, tmp_path / "check")
     now = START + timedelta(seconds=25)
-    points = live_incidents(spark, job.root, "2025-08-04", now, ttl_seconds=10)
+    points = live_incidents(spark, job.root, now, ttl_seconds=10)
     assert sorted(r.id for r in points.collect()) == sorted(f"I{i}" for i in range(16, 26))
 
     late = START + timedelta(seconds=59)
-    feed = live_alerts(spark, job.root, "2025-08-05", late, ttl_seconds=300).collect()
+    feed = live_alerts(spark, job.root, late, ttl_seconds=300).collect()
     assert feed and all(r.is_critical and r.severity == "CRÍTICA" for r in feed)
     ages = [r.time_ago for r in feed]
     assert ages == sorted(ages)
+    poll = live_incidents(spark, job.root, now, ttl_seconds=10, files_per_area=1)
+    assert {r.id for r in poll.collect()} <= {r.id for r in points.collect()}
 
     ranked, summary = density_report(density_records(spark, job.root, "2025-08-05", late))
     ranked, summary = ranked.collect(), summary.first()
@@ -227,10 +245,136 @@ def test_reports_over_the_stored_tables(spark, source, tmp_path):
     assert summary.total_crimes == sum(r.total_crimes for r in ranked) == 30
     assert summary.districts_analyzed == 2
 
+    # A replay under a new checkpoint stores every alert again; the feed shows it once.
+    run(spark, source, job, tmp_path / "again")
+    assert live_alerts(spark, job.root, late, ttl_seconds=300).count() == len(feed)
+
+
+def small_batch(spark, first, count, at, **changes):
+    """One batch of messages that all arrive at ``at``."""
+    found = [message(first + i, "robo", ["Norte", "Sur", "Centro"][i % 3], at) for i in range(count)]
+    for old, new in changes.items():
+        found = [(k, bytearray(v.replace(old.encode(), new.encode())), *r) for k, v, *r in found]
+    return decoded(spark.createDataFrame(found, SOURCE_SCHEMA))
+
+
+def test_reports_keep_every_live_row_of_many_batches(spark, tmp_path):
+    """More batches than a poll would read files, over midnight."""
+    job = Job(str(tmp_path / "out"), thresholds={"robo": 2}, refresh=False)
+    before = set(Path(shared_folder(spark)).iterdir())
+    for b in range(11):
+        at = START + timedelta(seconds=6 * b)
+        write_micro_batch(job, small_batch(spark, 9 * b, 9, at), "s", b)
+    now = START + timedelta(seconds=61)
+    found = live_incidents(spark, job.root, now, ttl_seconds=70)
+    assert sorted(r.id for r in found.collect()) == sorted(f"I{i}" for i in range(99))
+    assert live_alerts(spark, job.root, now, ttl_seconds=300).count() == 33
+    rebuild_rollups(spark, job)
+    for day in ("2025-08-04", "2025-08-05"):
+        ranked, summary = density_report(density_records(spark, job.root, day, now))
+        assert ranked.count() == summary.first().districts_analyzed == 3
+    assert set(Path(shared_folder(spark)).iterdir()) == before
+    assert {r.district for r in report_areas(spark, job.root, "2025-08-04").collect()} == {
+        "Norte", "Sur", "Centro",
+    }
+    assert report_areas(spark, job.root, "1999-01-01").count() == 3
+
+
+def test_points_without_an_id_are_all_kept(spark, tmp_path):
+    job = Job(str(tmp_path / "out"), refresh=False)
+    at = START
+    none = [decode_records(spark.createDataFrame(
+        [(r[0], bytearray(bytes(r[1]).replace(f'"crime_id":"I{i}",'.encode(), own)), *r[2:])
+         for i, r in enumerate(message(i, "robo", "Norte", at) for i in range(4))],
+        SOURCE_SCHEMA), clock=F.col("kafka_timestamp")) for own in (b"", b'"crime_id":null,')]
+    own = small_batch(spark, 50, 2, at)
+    write_micro_batch(job, none[0].unionByName(none[1]).unionByName(own).unionByName(own), "s", 0)
+    found = live_incidents(spark, job.root, at, ttl_seconds=60).collect()
+    assert len(found) == 4 + 4 + 2
+    assert len({r.id for r in found if r.id and r.id.startswith("crime_")}) == 4
+
+
+def test_rebuild_keeps_days_and_drops_stale_rows(spark, lots, tmp_path):
+    job = Job(str(tmp_path / "out"), thresholds=THRESHOLDS)
+    write_micro_batch(job, decoded(spark.createDataFrame(lots[1], SOURCE_SCHEMA)), "s", 0)
+    whole = {t: rows(stored(spark, job, t)) for t in TABLES}
+    assert {r["date_partition"] for r in whole[STATISTICS]} == {"2025-08-04", "2025-08-05"}
+    rebuild_rollups(spark, job, ["2025-08-05"])
+    assert {t: rows(stored(spark, job, t)) for t in TABLES} == whole
+    # A session in another zone would cut other days and hours.
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Bogota")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            rebuild_rollups(spark, job, ["2025-08-05"])
+        days = cells.day_cells(read_table(spark, job.path(FACTS), FACT_SCHEMA))
+        counted = {(r.date_partition, r.district, r.crime_type, r.n) for r in days.collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert counted == {
+        (r["date_partition"], r["district"], r["crime_type"], r["crime_count"])
+        for r in whole[STATISTICS]
+    }
+    # Facts of one area and of one whole day go.
+    for gone in (
+        f"{job.path(FACTS)}/date_partition=2025-08-04/district=Sur",
+        f"{job.path(FACTS)}/date_partition=2025-08-05",
+    ):
+        remove_folder(spark, gone)
+    rebuild_rollups(spark, job, ["2025-08-04", "2025-08-05"])
+    for table in TABLES:
+        left = {(r["date_partition"], r["district"]) for r in rows(stored(spark, job, table))}
+        assert left == {("2025-08-04", "Norte")}
+
+
+def test_refresh_opens_few_folders_however_many_batches(spark, tmp_path):
+    job = Job(str(tmp_path / "out"), fold=3)
+    seen = []
+    for b in range(31):
+        batch = small_batch(spark, b, 2, START.replace(hour=10))
+        for _ in range(2 if b in (9, 10, 27) else 1):
+            write_micro_batch(job, batch, "s", b)
+        folders = subfolders(spark, f"{job.path(CELLS)}/date_partition=2025-08-04")
+        seen.append(len(folders))
+    assert max(seen) <= 3 * 4 and seen[-1] <= 9
+    assert sum(r.crime_count for r in stored(spark, job, STATISTICS).collect()) == 62
+
+
+def test_folders_of_larger_blocks_hide_smaller_ones():
+    keys = ["s-000000000000", "s-000000000004", "s-L1-000000000000", "t-000000000000", "s-L2-000000000001"]
+    assert sorted(valid_keys(keys, 4)) == sorted(set(keys) - {"s-000000000000"})
+    assert valid_keys(["s-000000000017", "s-L2-000000000001"], 4) == ["s-L2-000000000001"]
+
+
+def test_batches_without_a_stream_id_are_refused(spark):
+    with pytest.raises(RuntimeError, match="stream id"):
+        stream_id_of(spark.range(1))
+
 
 # --------------------------------------------------------------- live feed
 
 
+def test_live_feed_of_batches_wider_than_the_time_to_live(spark, tmp_path):
+    """A catch-up batch keeps what the same rows keep one by one; ties do not depend on order."""
+    rng = random.Random(3)
+    data = sorted((START + timedelta(seconds=rng.randrange(400)), rng.choice("aabc"), i) for i in range(120))
+    expected, last = [], {}
+    for at, who, i in data:
+        if who not in last or (at - last[who]).total_seconds() >= 60:
+            last[who] = at
+            expected.append((who, at, i))
+    path = str(tmp_path / "feed")
+    schema = "id string, added_at timestamp, n long"
+    for b, part in enumerate((data[:40], data[40:])):
+        lot = [(who, at, i) for at, who, i in part]
+        for _ in range(2):  # each batch runs twice, in another order
+            rng.shuffle(lot)
+            frame = spark.createDataFrame(lot, schema).repartition(3)
+            write_live_batch(frame, path, f"s-{b:012d}", ["id"], ttl_seconds=60)
+    found = spark.read.schema(schema).parquet(path)
+    assert sorted((r.id, r.added_at, r.n) for r in found.collect()) == sorted(expected)
+
+
 def arrivals(spark, data):
     return spark.createDataFrame(data, "id string, added_at timestamp")
 

@@ -7,9 +7,15 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from blotter.schema import FACT_SCHEMA, with_batch_key
-from blotter.session import shared_folder
-from blotter.sinks.tables import append_rows, replace_partitions, replace_table, write_batch
-from blotter.sources import tables
+from blotter.session import remove_folder, shared_folder, subfolders, work_folders
+from blotter.sinks.tables import (
+    DAY_AREA,
+    append_rows,
+    replace_days,
+    replace_partitions,
+    replace_table,
+    write_batch,
+)
 from blotter.sources.tables import (
     discover_areas,
     file_census,
@@ -82,10 +88,7 @@ def test_census_and_areas(spark, lots):
     assert discover_areas(none).count() == 0
 
 
-@pytest.mark.parametrize("by_path", [True, False])
-def test_latest_files(spark, lots, monkeypatch, by_path):
-    if not by_path:
-        monkeypatch.setattr(tables, "MAX_LISTED_FILES", 1)
+def test_latest_files(spark, lots):
     schema = with_batch_key(FACT_SCHEMA)
     files = list_files(spark, lots, KEYS)
     newest = latest_files(files, 2, group=["date_partition", "district"])
@@ -96,6 +99,38 @@ def test_latest_files(spark, lots, monkeypatch, by_path):
     assert read_files(spark, lots, files.where("false"), schema).columns == schema.names
 
 
+def test_null_areas_and_vanished_files(spark, tmp_path):
+    """Rows of a null area are read like any other, and a file removed after the listing is
+    skipped."""
+    root = str(tmp_path / "facts")
+    data = [("a", "2025-08-04", None), ("b", "2025-08-04", "Sur"), ("c", None, "Sur")]
+    write_batch(facts(spark, data), root, "lot-0")
+    schema = with_batch_key(FACT_SCHEMA)
+    files = list_files(spark, root, KEYS).cache()
+    assert files.count() == 3
+    assert payloads(read_files(spark, root, files, schema)) == ["a", "b", "c"]
+    scan = read_files(spark, root, files, schema)
+    next(Path(root).glob("date_partition=2025-08-04/district=Sur/*/*.parquet")).unlink()
+    assert payloads(read_files(spark, root, files, schema)) == ["a", "c"]
+    assert payloads(scan) == ["a", "c"]
+    files.unpersist()
+
+
+def test_batch_rerun_and_whole_days_leave_nothing_stale(spark, tmp_path):
+    day, after = "2025-08-04", "2025-08-05"
+    root = str(tmp_path / "batch")
+    write_batch(facts(spark, [("a", day, "N"), ("b", day, "S")]), root, "s-1", days=[day])
+    write_batch(facts(spark, [("z", day, "S")]), root, "s-2", days=[day])
+    write_batch(facts(spark, [("a", day, "N")]), root, "s-1", days=[day])
+    assert payloads(read_table(spark, root, FACT_SCHEMA)) == ["a", "z"]
+    root = str(tmp_path / "days")
+    replace_table(facts(spark, [("a", day, "N"), ("b", day, "S"), ("c", after, "N")]), root, DAY_AREA)
+    replace_days(facts(spark, [("d", day, "S"), ("e", "2025-08-06", "S")]), root, [day], DAY_AREA)
+    assert payloads(read_table(spark, root, FACT_SCHEMA)) == ["c", "d"]
+    replace_days(facts(spark, []), root, [after], DAY_AREA)
+    assert payloads(read_table(spark, root, FACT_SCHEMA)) == ["d"]
+
+
 def test_corrupt_file_yields_no_rows(spark, lots):
     victim = next(Path(lots).glob("date_partition=2025-08-05/district=Sur/*/*.parquet"))
     victim.write_bytes(b"not parquet")
@@ -113,7 +148,15 @@ def test_sample_read(spark, lots):
     sample = sample_read(read_table(spark, lots, FACT_SCHEMA)).first()
     assert sample.row_count == 6
     assert sample.columns.split(",") == FACT_SCHEMA.names
-    assert '"crime_data":"a0"' in sample.first_record
+    assert '"crime_data":"' in sample.first_record
+    empty = sample_read(read_table(spark, lots + "-absent", FACT_SCHEMA)).first()
+    assert (empty.row_count, empty.first_record) == (0, None)
+
+
+def test_sample_counts_without_reading_columns(spark, lots):
+    table = read_table(spark, lots, FACT_SCHEMA)
+    text = table.agg(F.count(F.lit(1)))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in text
 
 
 def test_append_twice_doubles_and_batch_twice_does_not(spark, tmp_path):
@@ -166,6 +209,17 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_work_folders_go_also_on_failure(spark):
+    with pytest.raises(RuntimeError, match="stop"), work_folders(spark, "x", 2) as paths:
+        for path in paths:
+            spark.range(3).write.parquet(f"{path}/part=1")
+        assert subfolders(spark, paths[0]) == ["part=1"]
+        raise RuntimeError("stop")
+    assert not any(Path(path).exists() for path in paths)
+    assert subfolders(spark, paths[0]) == []
+    remove_folder(spark, paths[0])
+
+
 def test_no_local_folder_on_a_cluster():
     def session(master):
         context = SimpleNamespace(master=master)
