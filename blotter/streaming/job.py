@@ -38,6 +38,7 @@ from blotter.sinks.tables import (
     REBALANCE,
     append_rows,
     replace_days,
+    replace_partitions,
     replace_table,
     write_batch,
 )
@@ -232,17 +233,20 @@ def write_rollups(
     job: Job,
     merged_hours: DataFrame,
     days: Sequence[str] | None = None,
+    grown: bool = False,
 ) -> None:
     """Derive and write the four rollup tables of a set of merged hour cells.
 
     With ``days`` these days are replaced as a whole and no other one is touched; without, the
-    tables are replaced.
+    tables are replaced. Cells that have only ``grown`` leave no stale partition to look for.
     """
 
     def write(table: str, rows: DataFrame) -> None:
         place = job.path(table), ROLLUPS[table]
         if days is None:
             replace_table(rows, *place, job.compression)
+        elif grown:
+            replace_partitions(rows, *place, job.compression)
         else:
             replace_days(rows, place[0], days, place[1], job.compression)
 
@@ -250,11 +254,13 @@ def write_rollups(
     _together(spark, [partial(write, *item) for item in tables.items()])
 
 
-def refresh_rollups(spark: SparkSession, job: Job, days: Sequence[str]) -> None:
+def refresh_rollups(
+    spark: SparkSession, job: Job, days: Sequence[str], grown: bool = False
+) -> None:
     """Rebuild the rollup tables of the given days from the stored cells."""
     merged = merge_cells(stored_cells(spark, job, days)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_rollups(spark, job, merged, days)
+        write_rollups(spark, job, merged, days, grown)
     finally:
         merged.unpersist()
 
@@ -280,15 +286,18 @@ def write_micro_batch(job: Job, batch: DataFrame, stream_id: str, batch_id: int)
             writes.append(partial(job.topic_writer, topic_rows(batch)))
         if job.mode == CUMULATIVE:
             key = batch_key(stream_id, batch_id)
+            rerun = any(key in _day_folders(spark, job, day) for day in days)
             writes += [
                 partial(write_batch, facts, paths[0], key, DAY_AREA, codec, job.fact_layout),
                 partial(write_batch, hours, paths[1], key, DAY, codec),
-                partial(write_batch, alerts, paths[2], key, DAY_AREA, codec, days=days),
+                partial(
+                    write_batch, alerts, paths[2], key, DAY_AREA, codec, days=days if rerun else ()
+                ),
             ]
             _together(spark, writes)
             fold_cells(spark, job, stream_id, batch_id, days)
             if job.refresh:
-                refresh_rollups(spark, job, days)
+                refresh_rollups(spark, job, days, grown=not rerun)
         else:
             writes += [
                 partial(append_rows, facts, paths[0], DAY_AREA, codec, job.fact_layout),
