@@ -33,12 +33,12 @@ from blotter.llm.common import discard, only, stored
 from blotter.llm.components import connected_components
 
 COSINE = 0.98
-RECALL = 0.999
+RECALL = 0.9999
 LEADS = 3
 PROJECTIONS = 16
 SEED = 20_260
 # Window half-widths in spreads of a pair at the bound.
-LEAD_SPREADS, SPREADS = 3.5, 2.5
+LEAD_SPREADS, SPREADS = 4.0, 3.0
 CELL_ROWS = 1024
 # Pairs looked at in one go.
 SLAB_PAIRS = 1 << 20
