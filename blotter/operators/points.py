@@ -12,8 +12,10 @@ _DOC = "__doc"
 
 def _text_or_default(path: str, default: Column) -> Column:
     """The field as text. The default replaces a missing field, not an explicit null."""
+    text = F.try_variant_get(_DOC, path, "string")
+    # Only a field without text is looked up again.
     missing = F.try_variant_get(_DOC, path, "variant").isNull()
-    return F.when(missing, default).otherwise(F.try_variant_get(_DOC, path, "string"))
+    return F.when(text.isNotNull(), text).when(missing, default)
 
 
 def _parsed(facts: DataFrame, clock: Column | None, names: Names) -> DataFrame:

@@ -118,6 +118,8 @@ ORACLES: dict[str, str] = {
         FROM inc""",
     "topic_envelope": f"""WITH {_INC}
         SELECT 'INC-' || incident_id AS key, district, value AS lat,
+          date_trunc('millisecond', processing_time) AS processing_time,
+          date_trunc('millisecond', processing_time) AS kafka_timestamp,
           CAST(incident_id % 3 AS INTEGER) AS kafka_partition, incident_id AS kafka_offset
         FROM inc""",
     "json_default_filter": """

@@ -121,7 +121,9 @@ def fact_projection(spark, sf_dir):
 def topic_envelope(spark, sf_dir):
     rows = envelope.topic_rows(_records(spark, sf_dir))
     value = F.from_json(
-        "value", f"{NAMES.payload} string, kafka_partition int, kafka_offset bigint"
+        "value",
+        f"{NAMES.payload} string, processing_time timestamp, kafka_timestamp timestamp, "
+        "kafka_partition int, kafka_offset bigint",
     )
     inner = F.from_json(
         f"value.{NAMES.payload}",
@@ -134,6 +136,8 @@ def topic_envelope(spark, sf_dir):
         "key",
         "record.location.district",
         "record.location.coordinates.lat",
+        F.col("processing_time").cast("timestamp_ntz").alias("processing_time"),
+        F.col("kafka_timestamp").cast("timestamp_ntz").alias("kafka_timestamp"),
         "kafka_partition",
         "kafka_offset",
     )
