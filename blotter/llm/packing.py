@@ -29,11 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from blotter.llm.common import discard, file_bytes, only, stored
+from blotter.llm.common import file_bytes, only, stored
 from blotter.llm.word_ids import word_ids
 
 END_ID = 1
-SLICES = 64
+# The pieces of one length are ranked in slices of about so many.
+SLICE_ROWS = 100_000
 COST_UNITS = 4096
 # Runs are broadcast up to this many (40 bytes each); beyond it they are joined by shuffle.
 MAX_BROADCAST_RUNS = 200_000
@@ -194,11 +195,10 @@ def pack(pieces: DataFrame, capacity: Capacity = Capacity()) -> DataFrame:
     is fixed by the order of their columns inside a slice. Empty input gives an empty result.
     """
     own = [F.col(f"`{c}`") for c in pieces.columns]
-    slice_ = F.pmod(F.xxhash64(*own), F.lit(SLICES)).cast("int")
-    sliced = stored(pieces.withColumn("_slice", slice_), "pieces")
-    per_slice = sliced.groupBy("length", "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    salt = F.xxhash64(F.monotonically_increasing_id(), *own)
+    kept = stored(pieces.withColumn("_salt", salt), "pieces")
     # At most as many rows as a sequence has tokens, whatever the corpus.
-    counts = {r["length"]: r["n"] for r in per_slice.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
+    counts = {r["length"]: r["count"] for r in kept.groupBy("length").count().collect()}
     if counts and (min(counts) < 1 or max(counts) > capacity.tokens):
         raise ValueError("a piece is empty or longer than a sequence")
     runs = best_fit(counts, capacity)
@@ -210,6 +210,9 @@ def pack(pieces: DataFrame, capacity: Capacity = Capacity()) -> DataFrame:
     )
     if len(runs) <= MAX_BROADCAST_RUNS:
         table = F.broadcast(table)
+    slices = -(-max(counts.values(), default=1) // SLICE_ROWS)
+    sliced = kept.withColumn("_slice", F.pmod("_salt", F.lit(slices)).cast("int"))
+    per_slice = sliced.groupBy("length", "_slice").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("length").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     base = per_slice.select(
         "length", "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base")

@@ -8,7 +8,8 @@ block, ``checkpoints`` the bit offset of every document's start and of every ``E
 ``payload`` the codes. A document is never split; a very long one is a block of its own.
 
 Documents are tokenised once and stored in the shared folder, counted, and dealt to parts by
-ranges of the id that hold about ``PART_TOKENS`` each; a part is one task and one file.
+ranges of the id; a part is one task and one file. There are as many parts as shuffle partitions
+are set, within the bounds of ``LEAST_PART_TOKENS`` and ``MOST_PART_TOKENS`` ids for a part.
 """
 
 from __future__ import annotations
@@ -28,7 +29,9 @@ END_ID = 1
 IDS = 1 << 16
 EVERY = 512
 BLOCK_TOKENS = 1 << 18
-PART_TOKENS = 1 << 23
+# A part is one task: at most this many ids, and no fewer than that for the sake of more tasks.
+MOST_PART_TOKENS = 1 << 27
+LEAST_PART_TOKENS = 1 << 20
 _BLOCKS = (
     "part int, block int, first long, doc_ids array<long>, n_tokens array<long>, "
     "checkpoints array<long>, payload binary"
@@ -87,22 +90,13 @@ def write_token_files(
         1
     ).write.parquet(f"{path}/codes")
     total = tokens.agg(F.sum("n")).first()[0] or 0
-    parts = int(-(-total // PART_TOKENS)) or 1
-    cuts = tokens.select(
-        F.percentile_approx("doc_id", [i / parts for i in range(1, parts)] or [0.5], 10 * max(parts, 1000))
-    ).first()[0]
-    cuts = sorted(set(cuts or [])) if parts > 1 else []
-    # Searching in a literal array stays in the JVM; its length is the number of parts.
-    part = F.lit(0)
-    if cuts:
-        lower = F.array(*map(F.lit, cuts))
-        part = F.when(F.col("doc_id").isNull(), 0).otherwise(
-            F.size(F.filter(lower, lambda c: c < F.col("doc_id")))
-        )
+    wished = min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // LEAST_PART_TOKENS))
+    parts = max(1, int(wished), int(-(-total // MOST_PART_TOKENS)))
     dealt = (
-        tokens.withColumn("part", part.cast("int"))
-        .repartitionById(len(cuts) + 1, "part")
+        tokens.select("doc_id", "ids")
+        .repartitionByRange(parts, "doc_id")
         .sortWithinPartitions("doc_id", "ids")
+        .withColumn("part", F.spark_partition_id())
     )
     sent = spark.sparkContext.broadcast(lengths)
     dealt.select("part", "doc_id", "ids").mapInArrow(_blocks(sent), _BLOCKS).write.option(

@@ -142,7 +142,7 @@ def test_lengths_stay_in_the_limit():
 
 
 def test_files_come_back_in_order(spark, tmp_path, words, monkeypatch):
-    monkeypatch.setattr(token_files, "PART_TOKENS", 300)
+    monkeypatch.setattr(token_files, "LEAST_PART_TOKENS", 300)
     monkeypatch.setattr(token_files, "BLOCK_TOKENS", 100)
     docs = odd_docs(spark).union(
         spark.createDataFrame([(100 + i, "word " * (i % 7) + str(i)) for i in range(200)], "doc_id long, text string")
@@ -280,6 +280,7 @@ def test_pieces_of_odd_documents(spark, words):
 
 def test_runs_beyond_the_broadcast_bound_are_joined(spark, monkeypatch):
     monkeypatch.setattr(packing, "MAX_BROADCAST_RUNS", 0)
+    monkeypatch.setattr(packing, "SLICE_ROWS", 3)  # the pieces of a length fall into slices
     pieces = spark.range(500).select("id", (F.col("id") % 37 + 1).alias("length"))
     rows = pack(pieces, Capacity(40)).collect()
     assert len(rows) == 500 and len({(r["sequence_id"], r["offset"]) for r in rows}) == 500
