@@ -7,8 +7,9 @@ query's window on a projection reaches ``half`` to both sides; a pair collides o
 when one lies in the other's window.
 
 ``leads`` projections also deal the work: their axis is cut into cells of one window's width, so
-a query's window meets at most two cells per lead, and each query visits those cells. Inside a cell
-the vectors are sorted on every projection, the pairs in the query-centred windows of the leads
+a query's window meets at most two cells per lead. Each vector is a query in its own cell and
+visits those of the others that come after its own, so a pair across cells is met once and
+counts for both. Inside a cell the vectors are sorted on every projection, the pairs in the query-centred windows of the leads
 are enumerated and their collisions on the other ``projections`` are counted; a pair drops out as
 soon as it cannot reach the count any more. The count is calibrated: the largest one that a pair
 at distance r exactly still reaches with probability ``recall``. What passes is verified by
@@ -40,6 +41,8 @@ SEED = 20_260
 # Window half-widths in spreads of a pair at the bound.
 LEAD_SPREADS, SPREADS = 4.0, 3.0
 CELL_ROWS = 1024
+# What a row is in its cell.
+HOME, QUERY, VISITOR = 0, 1, 2
 # Pairs looked at in one go.
 SLAB_PAIRS = 1 << 20
 
@@ -128,10 +131,10 @@ def _neighbours(classes: DataFrame, cosine: float, recall: float) -> DataFrame:
     """(a, b, n): forest edges a, b; and with b null, n vectors linked to class a."""
     spread = math.sqrt(2 - 2 * cosine)
     half = LEAD_SPREADS * spread
-    schema = "label string, cell long, home boolean, node long, copies long, raw binary"
+    schema = "label string, cell long, role int, node long, copies long, raw binary"
 
     def visit(batches):
-        """Each vector in its home cell, and as a query in all cells its lead windows meet."""
+        """Each vector in its own cell, and as a visitor in later cells its lead windows meet."""
         for batch in batches:
             lists = batch.column("embedding")
             dims = np.diff(lists.offsets.to_numpy())
@@ -144,15 +147,20 @@ def _neighbours(classes: DataFrame, cosine: float, recall: float) -> DataFrame:
                 low = np.floor((lead - half) / (2 * half)).astype(np.int64)
                 raw = _rows(vectors)
                 columns = [part.column(n) for n in ("label", "node", "copies")]
-                yield _placed(columns, _cells(home, dim), True, raw)
+                own = _cells(home, dim)
+                everyone = np.arange(len(at))
+                yield _placed(columns, own, HOME, raw, everyone)
+                yield _placed(columns, own, QUERY, raw, everyone)
                 for corner in range(1 << LEADS):
                     step = np.array([corner >> i & 1 for i in range(LEADS)])
-                    yield _placed(columns, _cells(low + step, dim), False, raw)
+                    other = _cells(low + step, dim)
+                    yield _placed(columns, other, VISITOR, raw, np.flatnonzero(other > own))
 
     rows = classes.select(F.col("label").cast("string").alias("label"), "node", "copies", "embedding")
     placed = rows.mapInArrow(visit, schema)
+    home = F.col("role") == HOME
     sizes = placed.groupBy("label", "cell").agg(
-        F.count(F.when(F.col("home"), 1)).alias("homes"), F.count(F.when(~F.col("home"), 1)).alias("queries")
+        F.count_if(home).alias("homes"), F.count_if(~home).alias("queries")
     )
     sizes = sizes.where("homes > 0").select(
         "label",
@@ -160,9 +168,9 @@ def _neighbours(classes: DataFrame, cosine: float, recall: float) -> DataFrame:
         F.ceil(F.col("homes") / CELL_ROWS).cast("int").alias("home_pieces"),
         F.ceil(F.col("queries") / CELL_ROWS).cast("int").alias("query_pieces"),
     )
-    own = F.pmod(F.xxhash64("node"), F.when(F.col("home"), F.col("home_pieces")).otherwise(F.col("query_pieces")))
+    own = F.pmod(F.xxhash64("node"), F.when(home, F.col("home_pieces")).otherwise(F.col("query_pieces")))
     others = F.sequence(
-        F.lit(0), F.when(F.col("home"), F.col("query_pieces")).otherwise(F.col("home_pieces")) - 1
+        F.lit(0), F.when(home, F.col("query_pieces")).otherwise(F.col("home_pieces")) - 1
     )
     dealt = (
         placed.join(sizes, ["label", "cell"])
@@ -171,9 +179,9 @@ def _neighbours(classes: DataFrame, cosine: float, recall: float) -> DataFrame:
         .select(
             "label",
             "cell",
-            F.when(F.col("home"), F.col("own")).otherwise(F.col("other")).alias("home_piece"),
-            F.when(F.col("home"), F.col("other")).otherwise(F.col("own")).alias("query_piece"),
-            "home",
+            F.when(home, F.col("own")).otherwise(F.col("other")).alias("home_piece"),
+            F.when(home, F.col("other")).otherwise(F.col("own")).alias("query_piece"),
+            "role",
             "node",
             "copies",
             "raw",
@@ -184,46 +192,49 @@ def _neighbours(classes: DataFrame, cosine: float, recall: float) -> DataFrame:
     window = SPREADS * spread
 
     def compare(piece: pa.Table) -> pa.Table:
-        is_home = piece.column("home").to_numpy()
+        role = piece.column("role").to_numpy()
         node, copies = piece.column("node").to_numpy(), piece.column("copies").to_numpy()
         unit = scaled(_matrix(piece.column("raw"), single))
         proj = unit @ directions(unit.shape[1], LEADS + PROJECTIONS)
-        homes, queries = np.flatnonzero(is_home), np.flatnonzero(~is_home)
+        homes, queries = np.flatnonzero(role == HOME), np.flatnonzero(role != HOME)
         homes = homes[np.argsort(proj[homes, 0])]
-        near = np.zeros(len(queries), np.int64)
+        near = np.zeros(len(node), np.int64)  # by row
         left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         sorted_lead = proj[homes, 0]
         start = np.searchsorted(sorted_lead, proj[queries, 0] - half, "left")
         stop = np.searchsorted(sorted_lead, proj[queries, 0] + half, "right")
         for first, last in _slabs(stop - start):
             width = (stop - start)[first:last]
-            q = np.repeat(np.arange(first, last), width)
-            h = np.arange(len(q)) - np.repeat(np.cumsum(width) - width, width) + np.repeat(start[first:last], width)
-            a, b = queries[q], homes[h]
+            a = np.repeat(queries[first:last], width)
+            skipped = np.repeat(np.cumsum(width) - width - start[first:last], width)
+            b = homes[np.arange(len(a)) - skipped]
             for i in range(1, LEADS):
                 met = np.abs(proj[a, i] - proj[b, i]) <= half
-                q, a, b = q[met], a[met], b[met]
+                a, b = a[met], b[met]
             differ = node[a] != node[b]
-            q, a, b = q[differ], a[differ], b[differ]
+            a, b = a[differ], b[differ]
             missed = np.zeros(len(a), np.int8)
             for i in range(LEADS, LEADS + PROJECTIONS):
                 missed += np.abs(proj[a, i] - proj[b, i]) > window
                 able = missed <= PROJECTIONS - need
                 if not able.all():
-                    q, a, b, missed = q[able], a[able], b[able], missed[able]
+                    a, b, missed = a[able], b[able], missed[able]
             for lo in range(0, len(a), 1 << 14):
                 hi = lo + (1 << 14)
                 linked = np.einsum("ij,ij->i", unit[a[lo:hi]], unit[b[lo:hi]]) >= cosine
-                np.add.at(near, q[lo:hi][linked], copies[b[lo:hi][linked]])
-                left.append(a[lo:hi][linked])
-                right.append(b[lo:hi][linked])
+                one, two = a[lo:hi][linked], b[lo:hi][linked]
+                np.add.at(near, one, copies[two])
+                visited = role[one] == VISITOR
+                np.add.at(near, two[visited], copies[one[visited]])
+                left.append(one)
+                right.append(two)
             if len(left) > 16:
                 left, right = _forest(node, left, right)
         left, right = _forest(node, left, right)
-        counted = near > 0
-        none = pa.nulls(int(counted.sum()), pa.int64())
+        counted = np.flatnonzero(near)
+        none = pa.nulls(len(counted), pa.int64())
         edge = pa.table({"a": node[left[0]], "b": node[right[0]], "n": pa.nulls(len(left[0]), pa.int64())})
-        count = pa.table({"a": node[queries[counted]], "b": none, "n": near[counted]})
+        count = pa.table({"a": node[counted], "b": none, "n": near[counted]})
         return pa.concat_tables([edge, count])
 
     return dealt.groupBy("label", "cell", "home_piece", "query_piece").applyInArrow(
@@ -259,13 +270,15 @@ def _matrix(column: pa.ChunkedArray, single: bool) -> np.ndarray:
     return np.frombuffer(b"".join(rows), "f4" if single else "f8").reshape(len(rows), -1)
 
 
-def _placed(columns, cell: np.ndarray, home: bool, raw: pa.Array) -> pa.RecordBatch:
+def _placed(columns, cell: np.ndarray, role: int, raw: pa.Array, some: np.ndarray) -> pa.RecordBatch:
+    """The chosen vectors in the given role."""
     label, node, copies = columns
-    flag = pa.array(np.full(len(cell), home))
-    return pa.RecordBatch.from_arrays(
+    flag = pa.array(np.full(len(cell), role, np.int32))
+    rows = pa.RecordBatch.from_arrays(
         [label, pa.array(cell), flag, node, copies, raw],
-        ["label", "cell", "home", "node", "copies", "raw"],
+        ["label", "cell", "role", "node", "copies", "raw"],
     )
+    return rows.take(pa.array(some))
 
 
 def _slabs(widths: np.ndarray):
