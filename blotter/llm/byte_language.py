@@ -6,9 +6,10 @@ run over them, each filter keeps its maximum over the window, and a softmax laye
 languages; a document's probabilities are the softmax of its windows' mean scores, weighted by
 their bytes.
 
-Training takes a bounded sample on the driver: about ``PER_LANGUAGE`` rows of each of the most
-frequent ``LANGUAGES`` languages, chosen by a hash of their id, ``WINDOWS_PER_DOC`` windows each,
-spread over the whole text and cut out in tasks. The gradient of a maximum reaches one position, so a step costs little more than the
+Training takes a bounded sample on the driver: about ``PER_LANGUAGE`` texts of every language, or
+equal shares of ``SAMPLE_ROWS`` when there are many languages, but about ``LEAST_ROWS`` each and
+never none. Texts are chosen by a hash of themselves, equal ones once, ``WINDOWS_PER_DOC`` windows
+each, spread over the whole text and cut out in tasks. The gradient of a maximum reaches one position, so a step costs little more than the
 forward pass. For prediction embedding and filters are multiplied out into look-up tables for
 single bytes and byte pairs. Prediction is one pass over all documents, no shuffle.
 """
@@ -20,14 +21,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blotter.llm.common import fresh_name, hashed_share, only
+from blotter.llm.common import fresh_name, only
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 EMBEDDING = 8
 PER_LANGUAGE = 300
-LANGUAGES = 64
+SAMPLE_ROWS = 64 * 300
+LEAST_ROWS = 10
 WINDOWS_PER_DOC = 6
 EPOCHS = 4
 RATE = 0.01
@@ -139,8 +141,8 @@ class Tables:
             self.pairs.append(pairs)
             self.singles.append(single[-1] if width % 2 else None)
 
-    def scores(self, found: np.ndarray) -> np.ndarray:
-        out = np.empty((len(found), len(self.languages)), np.float32)
+    def hidden(self, found: np.ndarray) -> np.ndarray:
+        out = np.empty((len(found), len(self.shift)), np.float32)
         for at in range(0, len(found), SLAB):
             batch = found[at : at + SLAB]
             joined = batch[:, :-1].astype(np.int32) << 8 | batch[:, 1:]
@@ -153,19 +155,22 @@ class Tables:
                 if single is not None:
                     heights += single.take(batch[:, width - 1 :], 0)
                 peaks.append(heights.max(1))
-            hidden = np.maximum(np.concatenate(peaks, 1) + self.shift, 0)
-            out[at : at + SLAB] = hidden @ self.dense + self.bias
+            out[at : at + SLAB] = np.maximum(np.concatenate(peaks, 1) + self.shift, 0)
         return out
 
+    def scores(self, found: np.ndarray) -> np.ndarray:
+        return self.hidden(found) @ self.dense + self.bias
+
     def predict(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Index of the best language and its probability, for texts with bytes."""
         cut = [windows(t) for t in texts]
         sizes = np.concatenate([s for _, s in cut]).astype(np.float64)
         starts = np.cumsum([0, *(len(s) for _, s in cut[:-1])])
-        scores = np.concatenate([self.scores(f) for f in grouped([f for f, _ in cut])])
-        total = np.add.reduceat(scores * sizes[:, None], starts, axis=0)
+        # The mean of the scores is the score of the mean, whose size does not grow with the languages.
+        hidden = np.concatenate([self.hidden(f) for f in grouped([f for f, _ in cut])])
+        total = np.add.reduceat(hidden * sizes[:, None], starts, axis=0)
         mean = total / np.add.reduceat(sizes, starts)[:, None]
-        chances = softmax(mean)
+        chances = softmax(mean @ self.dense + self.bias)
         best = chances.argmax(1)
         return best, chances[np.arange(len(best)), best]
 
@@ -192,14 +197,21 @@ def softmax(scores: np.ndarray) -> np.ndarray:
 
 
 def training_windows(rows: DataFrame) -> DataFrame:
-    """(lang, window, size) of the sample; ``rows`` has doc_id, body and lang."""
-    usable = rows.where("lang IS NOT NULL")
-    ids = usable.select("lang", "doc_id").distinct()
-    # About LANGUAGES x PER_LANGUAGE rows at most; the texts themselves stay in their tasks.
-    kept = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
-    kept = kept.orderBy(F.desc("docs"), "lang").limit(LANGUAGES).select("lang")
-    chosen = hashed_share(ids.join(F.broadcast(kept), "lang"), "lang", PER_LANGUAGE)
-    chosen = chosen.limit(2 * LANGUAGES * PER_LANGUAGE)
+    """(lang, window, size) of the sample, each once; ``rows`` has body and lang."""
+    place = F.pmod(F.xxhash64(F.lit("sample"), "body"), F.lit(1 << 52)) / F.lit(float(1 << 52))
+    usable = rows.where("lang IS NOT NULL AND octet_length(body) > 0")
+    usable = usable.select("lang", "body", place.alias("_place"))
+    counts = usable.select("lang", "_place").distinct().groupBy("lang")
+    # One row per language, as the network has one class per language; the texts stay in their tasks.
+    found = counts.agg(F.count(F.lit(1)).alias("texts"), F.min("_place").alias("first")).collect()
+    about = max(LEAST_ROWS, min(PER_LANGUAGE, SAMPLE_ROWS // max(1, len(found))))
+    upto = pa.table(
+        {
+            "lang": pa.array([r["lang"] for r in found], pa.string()),
+            "_upto": pa.array([max(r["first"], about / r["texts"]) for r in found], pa.float64()),
+        }
+    )
+    shares = F.broadcast(rows.sparkSession.createDataFrame(upto))
 
     def cut(batches):
         for batch in batches:
@@ -216,15 +228,13 @@ def training_windows(rows: DataFrame) -> DataFrame:
                 ["lang", "window", "size"],
             )
 
-    texts = usable.join(F.broadcast(chosen), ["lang", "doc_id"], "left_semi").select("lang", "body")
-    texts = texts.where("octet_length(body) > 0")
-    return texts.mapInArrow(cut, "lang string, window binary, size int")
+    texts = usable.join(shares, "lang").where("_place <= _upto").select("lang", "body")
+    return texts.mapInArrow(cut, "lang string, window binary, size int").distinct()
 
 
 def train(rows: DataFrame) -> ByteNetwork | None:
     """A network from rows (doc_id, body, lang), or None if no row can teach."""
-    limit = 2 * LANGUAGES * PER_LANGUAGE * WINDOWS_PER_DOC  # repeated ids may add rows
-    sample = training_windows(rows).limit(limit).toPandas()
+    sample = training_windows(rows).toPandas()
     if not len(sample):
         return None
     sample = sample.sort_values(["lang", "window"], kind="stable")

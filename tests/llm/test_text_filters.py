@@ -260,6 +260,37 @@ def test_nothing_to_learn_from(spark):
     assert predict_languages(docs.limit(0), F.lit(True)).collect() == []
 
 
+def many_spoken(spark, languages, n):
+    """Invented languages of nine letters each; the later ones have fewer documents."""
+    rows = []
+    for k in range(languages):
+        rng = np.random.default_rng(1000 + k)
+        letters = rng.permutation(list("abcdefghijklmnopqrstuvwxyz"))[:9]
+        words = ["".join(rng.choice(letters, rng.integers(2, 8))) for _ in range(40)]
+        rows += [(len(rows) + i, " ".join(rng.choice(words, 60)), f"l-{k}") for i in range(n + (k < 64))]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def test_every_language_is_learnt(spark):
+    docs = many_spoken(spark, 80, 12)
+    rows = predict_languages(docs, F.col("doc_id") % 4 != 2).where("doc_id % 4 = 2").collect()
+    assert {r["lang"] for r in rows} == {f"l-{k}" for k in range(80)}
+    wrong = [r for r in rows if r["lang_pred"] != r["lang"]]
+    assert len(wrong) <= 0.02 * len(rows)
+
+
+def test_sample_is_shared_over_the_languages(spark, monkeypatch):
+    monkeypatch.setattr(byte_language, "SAMPLE_ROWS", 100)
+    monkeypatch.setattr(byte_language, "LEAST_ROWS", 3)
+    docs = many_spoken(spark, 20, 40).selectExpr("doc_id", "CAST(text AS BINARY) AS body", "lang")
+    once = docs.where("lang <> 'l-0'").union(docs.where("lang = 'l-0'").limit(1))
+    repeated = once.crossJoin(spark.range(3)).drop("id")
+    sample = byte_language.training_windows(repeated).collect()
+    assert {r["lang"] for r in sample} == {f"l-{k}" for k in range(20)}
+    # About five texts of two windows each for a language, and repeated rows teach once.
+    assert len({(r["lang"], bytes(r["window"])) for r in sample}) == len(sample) < 2 * 100 * 2
+
+
 def test_registered_language_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     found = QUERIES["op7_language_id"](spark, sf)
