@@ -14,9 +14,10 @@ short table of runs: the pieces of length s with ranks r..r+n go to the sequence
 offset. Ranks come from counts per length and slice, then row numbers inside a slice, so no
 length, however common, is ranked in one task.
 
-Attention cost is kept in units of 1/4096 of the capacity, rounded up per piece, so that a
-capacity is never exceeded and the free vectors stay few. Capacities that cannot bind (as many
-documents as tokens, the square of the tokens) are left out of the vector.
+Attention cost is kept in units of 1/4096 of the capacity (or of one part per token, if these are
+more), rounded up per piece, so that a capacity is never exceeded and the free vectors stay few.
+Documents and cost are part of the vector whenever they are given. As many documents as tokens and the square of the tokens fit whatever
+the tokens allow, rounding included: they are scored, but never force a further sequence.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ MAX_BROADCAST_RUNS = 200_000
 
 @dataclass(frozen=True)
 class Capacity:
-    """What a sequence holds; ``None`` documents or cost: as much as the tokens allow."""
+    """What a sequence holds; ``None`` documents or cost: any, and no part of the vector."""
 
     tokens: int = 4096
     documents: int | None = None
@@ -59,17 +60,21 @@ class Capacity:
             raise ValueError("a sequence holds at least one document")
 
     def binds(self) -> tuple[bool, bool, bool]:
-        documents = self.documents is not None and self.documents < self.tokens
-        cost = self.cost is not None and self.cost < self.tokens**2 * min(
-            self.tokens, self.documents or self.tokens
-        )
-        return True, documents, cost and self.cost is not None
+        return True, self.documents is not None, self.cost is not None
+
+    @classmethod
+    def of_tokens(cls, tokens: int) -> Capacity:
+        """All three capacities, of which documents and cost allow whatever the tokens allow."""
+        return cls(tokens, tokens, tokens**2)
+
+    def units(self) -> int:
+        return max(COST_UNITS, self.tokens)
 
     def full(self) -> np.ndarray:
-        return np.array([self.tokens, self.documents or 0, COST_UNITS], np.int64) * self.binds()
+        return np.array([self.tokens, self.documents or 0, self.units()], np.int64) * self.binds()
 
     def demand(self, length: int) -> np.ndarray:
-        cost = -(-length * length * COST_UNITS // self.cost) if self.cost else 0
+        cost = -(-length * length * self.units() // self.cost) if self.cost else 0
         return np.array([length, 1, cost], np.int64) * self.binds()
 
 

@@ -275,4 +275,4 @@ FROM parts LEFT JOIN best USING (rid)
 @query
 def op10_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return pack_documents(docs, public_tokenizers.path(WORDS), Capacity(CONTEXT_TOKENS))
+    return pack_documents(docs, public_tokenizers.path(WORDS), Capacity.of_tokens(CONTEXT_TOKENS))

@@ -249,6 +249,32 @@ def test_ordinary_lengths_fill_the_sequences():
     assert used <= 1.002 * sizes.sum() / 4096 + 1
 
 
+def test_registered_uses_score_all_capacities(spark, monkeypatch):
+    import corpus_pipeline
+    from blotter.llm import queries
+
+    used = []
+    for module in (queries, corpus_pipeline):
+        monkeypatch.setattr(module, "pack_documents", lambda docs, vocabulary, capacity: used.append(capacity))
+    QUERIES["op10_packing"](spark, SF)
+    corpus_pipeline.packing(spark, None, SF)
+    assert len(used) == 2
+    for capacity in used:
+        assert capacity.tokens == 4096 and capacity.full().all() and capacity.demand(7).all()
+
+
+@pytest.mark.parametrize("tokens", [100, 4095, 4096, 5000])
+def test_documents_and_cost_of_tokens_force_no_sequence(tokens):
+    capacity = Capacity.of_tokens(tokens)
+    rng = random.Random(tokens)
+    splits = [[1] * tokens, [tokens - 1, 1], [tokens], [tokens // 2, tokens - tokens // 2]]
+    for _ in range(200):
+        cuts = sorted(rng.sample(range(1, tokens), rng.randint(1, 60)))
+        splits.append([b - a for a, b in zip([0, *cuts], [*cuts, tokens], strict=True)])
+    for lengths in splits:
+        assert (sum(capacity.demand(n) for n in lengths) <= capacity.full()).all()
+
+
 def test_capacities_are_checked():
     for wrong in ({"tokens": 0}, {"rule": "x"}, {"tokens": 10, "cost": 99}, {"documents": 0}):
         with pytest.raises(ValueError):
