@@ -10,7 +10,10 @@ Training takes a bounded sample on the driver: about ``PER_LANGUAGE`` texts of e
 equal shares of ``SAMPLE_ROWS`` when there are many languages, but about ``LEAST_ROWS`` each and
 never none. Texts are chosen by a hash of themselves, equal ones once, ``WINDOWS_PER_DOC`` windows
 each, spread over the whole text and cut out in tasks. The gradient of a maximum reaches one position, so a step costs little more than the
-forward pass. For prediction embedding and filters are multiplied out into look-up tables for
+forward pass. A text in no learnt language can still score high, as the softmax only compares the
+learnt ones; so the sample also gives the chances of byte pairs, and for each language how far a
+window's mean log chance falls below the usual, learnt on one half and taken on the other.
+For prediction embedding and filters are multiplied out into look-up tables for
 single bytes and byte pairs. Prediction is one pass over all documents, no shuffle.
 """
 
@@ -34,6 +37,11 @@ WINDOWS_PER_DOC = 6
 EPOCHS = 4
 RATE = 0.01
 SEED = 7
+# Of a language's windows, the share that may lie lower than the bound before the margin, and the
+# least fall in bits that the bound starts from.
+LOWEST = 0.005
+MARGIN = 1.5
+LEAST_FALL = 1.0
 UNKNOWN = "und"
 # Windows that go through the network at once.
 SLAB = 64
@@ -126,6 +134,52 @@ class ByteNetwork:
         return Tables(self)
 
 
+class Pairs:
+    """How usual the byte pairs of a text are, and how unusual those of a learnt language get.
+
+    A deviation is the mean log2 chance of the pairs less the language's mean, times the root of
+    the share of a window that the text fills, so a short text has to be odder to fall out.
+    """
+
+    def __init__(self, found: np.ndarray, size: np.ndarray, label: np.ndarray, weight: np.ndarray, n: int):
+        half = np.zeros(len(found), bool)
+        half[::2] = True
+        usual = np.empty(len(found))
+        for part in (half, ~half):
+            table = self._learn(found[part], size[part], weight[part]) if part.any() else np.zeros(1 << 16)
+            usual[~part] = [self._mean(table, w[:s]) for w, s in zip(found[~part], size[~part], strict=True)]
+        self.table = self._learn(found, size, weight)
+        self.centre = np.array([np.median(usual[label == k]) for k in range(n)])
+        fallen = (usual - self.centre[label]) * np.sqrt(size / WINDOW)
+        lowest = [np.quantile(fallen[label == k], LOWEST, method="lower") for k in range(n)]
+        self.bound = MARGIN * np.minimum(lowest, -LEAST_FALL)
+
+    @staticmethod
+    def _learn(found: np.ndarray, size: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        seen = np.zeros(1 << 16)
+        inside = np.arange(WINDOW - 1)
+        for at in range(0, len(found), 4096):
+            some = found[at : at + 4096].astype(np.int32)
+            real = inside < size[at : at + 4096, None] - 1
+            seen += np.bincount(
+                (some[:, :-1] << 8 | some[:, 1:])[real],
+                np.broadcast_to(weight[at : at + 4096, None], real.shape)[real],
+                1 << 16,
+            )
+        return np.log2(0.99 * seen / max(seen.sum(), 1e-9) + 0.01 / (1 << 16))
+
+    @staticmethod
+    def _mean(table: np.ndarray, text: np.ndarray) -> float:
+        joined = text[:-1].astype(np.int32) << 8 | text[1:]
+        return float(table.take(joined).mean()) if len(joined) else 0.0
+
+    def usual(self, text: bytes, language: int) -> bool:
+        if len(text) < 2:
+            return True
+        fallen = self._mean(self.table, np.frombuffer(text, np.uint8)) - self.centre[language]
+        return bool(fallen * min(1.0, len(text) / WINDOW) ** 0.5 >= self.bound[language])
+
+
 class Tables:
     """The network with embedding and filters multiplied out, for prediction."""
 
@@ -245,6 +299,7 @@ def train(rows: DataFrame) -> ByteNetwork | None:
     weight = 1.0 / np.bincount(label)[label]
     network = ByteNetwork(languages)
     network.fit(found, label, weight * len(label))
+    network.pairs = Pairs(found, sample["size"].to_numpy(), label, weight, len(languages))
     return network
 
 
@@ -258,9 +313,14 @@ def predict_languages(
     doc_id: str = "doc_id",
     text: str = "text",
     lang: str = "lang",
+    least: float | None = None,
 ) -> DataFrame:
     """``docs`` plus lang_pred and lang_score.
 
+    With ``least``, only rows whose language is known: it is not ``und``, its score lies at least
+    that share of the way from chance (one by the number of languages) to 1, and the text's byte
+    pairs are as usual as those of the language's sample.
+
     Learns from the rows where ``learn_from`` holds and the language is not null, and predicts from
     the text alone. Null texts and texts without a letter are ``und`` with score 0, and so is
     everything when no row can teach. Rows, repeated or not, keep their columns; added names that
@@ -277,6 +337,7 @@ def predict_languages(
         tables = sent.value.tables() if sent.value else None
         for batch in batches:
             lang_pred, score = [UNKNOWN] * batch.num_rows, [0.0] * batch.num_rows
+            known = [False] * batch.num_rows
             texts = batch.column(at_text).to_pylist()
             able = [i for i, t in enumerate(texts) if tables and t and has_letter(t)]
             for at in range(0, len(able), 256):
@@ -284,17 +345,23 @@ def predict_languages(
                 best, chance = tables.predict([texts[i].encode() for i in some])
                 for i, b, c in zip(some, best.tolist(), chance.tolist(), strict=True):
                     lang_pred[i], score[i] = tables.languages[b], min(1.0, max(0.0, c))
-            yield pa.RecordBatch.from_arrays(
+                    if least is not None:
+                        chance_alone = 1 / len(tables.languages)
+                        clear = score[i] >= chance_alone + least * (1 - chance_alone)
+                        known[i] = clear and sent.value.pairs.usual(texts[i].encode(), b)
+            out = pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(lang_pred, pa.string()), pa.array(score, pa.float64())],
                 [*batch.schema.names, named, scored],
             )
+            yield out if least is None else out.filter(pa.array(known, pa.bool_()))
 
     return docs.mapInArrow(run, schema)
 
 
-def keep_known_languages(docs: DataFrame, least: float = 0.3) -> DataFrame:
-    """Documents with a letter whose language is predicted with at least ``least``; own columns."""
-    named, scored = fresh_name(docs.columns, "lang_pred"), fresh_name(docs.columns, "lang_score")
-    found = predict_languages(docs, fold(F.col("doc_id"), 4) != 2)
-    kept = found.where((F.col(named) != UNKNOWN) & (F.col(scored) >= least))
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+def keep_known_languages(docs: DataFrame, least: float = 1 / 15) -> DataFrame:
+    """Documents with a letter in a learnt language (see ``predict_languages``); own columns.
+
+    A score of 1/15 of the way is 0.3 with four languages.
+    """
+    found = predict_languages(docs, fold(F.col("doc_id"), 4) != 2, least=least)
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns])

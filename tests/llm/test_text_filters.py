@@ -253,6 +253,22 @@ def test_languages_of_clear_and_odd_texts(spark):
     assert not {9000, 9001, 9002} & {r["doc_id"] for r in kept.collect()}
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_gibberish_goes_and_clean_documents_stay(spark, few):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    docs = docs.where("lang IN ('en', 'de')") if few else docs
+    rng, rows = random.Random(3), []
+    for i in range(40):
+        dumps = ["".join(rng.choices("0123456789abcdef", k=600))]
+        dumps += ["".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=600))]
+        dumps += [" ".join("".join(rng.choices("абвгдежзиклмнопрст", k=rng.randint(2, 9))) for _ in range(80))]
+        rows += [(-1 - 3 * i - k, dump, None) for k, dump in enumerate(dumps)]
+    kept = keep_known_languages(docs.union(spark.createDataFrame(rows, docs.schema))).collect()
+    assert not [r["doc_id"] for r in kept if r["doc_id"] < 0]
+    clean = [r["doc_id"] for r in docs.collect() if any(map(str.isalpha, r["text"] or ""))]
+    assert len(clean) > 90 and len([r for r in kept if r["doc_id"] >= 0]) >= 0.99 * len(clean)
+
+
 def test_nothing_to_learn_from(spark):
     docs = spoken(spark, 2)
     found = predict_languages(docs.withColumn("lang", F.lit(None).cast("string")), F.lit(True)).collect()
