@@ -589,10 +589,10 @@ def latest_files_overall(spark, sf_dir):
 
 @query
 def sample_read_of_table(spark, sf_dir):
-    """Count, columns and first record of a table whose one file is in order of the id."""
+    """Count, columns and first record of a table whose files are in order of the id."""
     path = work_folder(spark, "sample")
     ordered = _fact_rows(spark, sf_dir).orderBy(F.col("crime_data").cast("long"))
-    ordered.coalesce(1).write.parquet(path)
+    ordered.write.parquet(path)
     sample = sample_read(read_table(spark, path, FACT_SCHEMA))
     first = [
         F.get_json_object("first_record", f"$.{name}").alias(name)

@@ -110,3 +110,20 @@ def test_day_scan_lists_only_its_folder(spark, incidents, tmp_path):
     assert re.search(r"PartitionFilters: \[[^\]]*2024-01-02", pruned)
     listing = plan(list_files(spark, root, day="2024-01-02"))
     assert "content" not in re.search(r"ReadSchema: (.*)", listing).group(1)
+
+
+def test_sampled_table_is_written_by_several_tasks(spark, monkeypatch):
+    from blotter.plans import queries as registered
+
+    files = []
+    read = registered.sample_read
+    monkeypatch.setattr(registered, "sample_read", lambda t: files.extend(t.inputFiles()) or read(t))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        row = registered.sample_read_of_table(spark, "/root/testdata/sf0.001").first()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    assert len(files) > 1
+    assert row["row_count"] == events.count()
+    assert int(row["crime_data"]) == events.selectExpr("min(event_id)").first()[0]
