@@ -3,24 +3,29 @@
 Fingerprints have 64 bits and link at ``threshold`` or fewer differing bits. The bits are grouped
 into partitions, correlated bits together; partition i gets its own threshold t_i >= -1 (-1: not
 used), and as long as the t_i add up to threshold - partitions + 1 every linked pair differs in
-some partition i by at most t_i bits. The t_i come from a dynamic programme over the numbers of
-candidate pairs that each partition would bring at each threshold, counted on all fingerprints.
+some partition i by at most t_i bits. The t_i come from a dynamic programme over what each
+partition would cost at each threshold: rows moved and pairs compared, from the counts of its
+values over all fingerprints.
 
 Documents are folded to distinct fingerprints first, so exact copies are one node. A fingerprint
-is put into one bucket for each used partition, and into further buckets up to t_i flipped bits
-away. Buckets are dealt in pieces of at most ``BUCKET_ROWS`` rows: a larger one is cut into slices
-that meet pairwise, in different tasks. A task compares within its pieces, keeps pairs
-that pass the exact check and emits a spanning forest of them, never all pairs.
+is put into one bucket for each used partition, and probes further buckets up to t_i flipped bits
+away where the counts say that one is met. A bucket of more than ``BUCKET_ROWS`` rows is never
+compared as it is: the principle is applied to it again, with the bits that differ inside it dealt
+to threshold + 1 masks, as two linked fingerprints agree on one of them. Each round fixes a share of the
+bits that still differ, and distinct fingerprints that agree on all but ten bits fit into a
+bucket, so the rounds end. Tasks keep pairs that pass the exact check and emit a spanning forest of
+them, never all pairs.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from blotter.llm.blocks import spanning_roots
@@ -32,8 +37,10 @@ SEED = 42
 SHINGLE = 3
 THRESHOLD = 3
 PARTITIONS = 4
-# Rows of one piece of a bucket; pairs of pieces are compared in one task.
+# Rows of a bucket that one task compares pair by pair; at least 2^10.
 BUCKET_ROWS = 4096
+# What moving a row through a shuffle costs, in comparisons of a pair.
+ROW_COST = 200.0
 # Rows a task gathers before it compares.
 SLAB_ROWS = 200_000
 
@@ -63,16 +70,18 @@ def fingerprint(text: bytes) -> int:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
+    """(doc_id, mark, fp): the fingerprint and a 64-bit hash of the text, as signed longs."""
     rows = only(docs, doc_id=doc_id, body=text).withColumn("body", F.col("body").cast("binary"))
+    rows = rows.select("doc_id", F.xxhash64("body").alias("mark"), "body")
 
     def run(batches):
         for batch in batches:
-            found = [fingerprint(t) if t else 0 for t in batch.column(1).to_pylist()]
+            found = [fingerprint(t) if t else 0 for t in batch.column(2).to_pylist()]
             fps = pa.array(np.array(found, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), fps], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], fps], ["doc_id", "mark", "fp"])
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, mark long, fp long")
 
 
 # --------------------------------------------------------------- partitions
@@ -121,11 +130,11 @@ def group_bits(correlation: np.ndarray, partitions: int = PARTITIONS) -> list[li
     return groups
 
 
-def gathered(fp: Column, bits: list[int]) -> Column:
-    """The value of the given bits of a long, as a long."""
-    value = F.lit(0).cast("long")
+def gathered(fp: np.ndarray, bits: list[int]) -> np.ndarray:
+    """The values of the given bits of unsigned fingerprints."""
+    value = np.zeros(len(fp), np.int64)
     for place, bit in enumerate(bits):
-        value = value.bitwiseOR(F.shiftleft(F.shiftrightunsigned(fp, bit).bitwiseAND(F.lit(1)), place))
+        value |= ((fp >> np.uint64(bit)) & np.uint64(1)).astype(np.int64) << place
     return value
 
 
@@ -134,35 +143,51 @@ def flips(width: int, most: int) -> list[int]:
     return [sum(1 << b for b in c) for k in range(most + 1) for c in combinations(range(width), k)]
 
 
-def candidate_counts(buckets: DataFrame, groups: list[list[int]], most: int) -> np.ndarray:
-    """Candidate pairs by partition and threshold 0..most over all fingerprints.
+def value_counts(fps: DataFrame, groups: list[list[int]]) -> list[np.ndarray]:
+    """How often every value of every partition occurs over all fingerprints.
 
-    ``buckets`` has one row (part, value) per fingerprint and partition. The counted values of a
-    partition, at most 2^width of them, are summed against themselves shifted by every mask.
+    Tasks send the counts of the values they met, which are summed by value; at most
+    2^width numbers a partition (4 times 65,536) reach the driver, whatever the input.
     """
-    widths = [len(g) for g in groups]
-
-    def estimate(key, histogram):
-        part = key[0].as_py()
-        counts = np.zeros(1 << widths[part])
-        counts[histogram.column("value").to_numpy()] = histogram.column("n").to_numpy()
-        values = np.flatnonzero(counts)
-        sums = [0.0] * (most + 1)
-        for mask in flips(widths[part], most):
-            sums[mask.bit_count()] += float(counts[values] @ counts[values ^ mask])
-        n = pa.array(np.cumsum(sums))
-        return pa.table({"part": pa.array([part] * (most + 1), pa.int32()), "t": np.arange(most + 1), "n": n})
-
-    counted = buckets.groupBy("part", "value").agg(F.count(F.lit(1)).alias("n"))
-    rows = counted.groupBy("part").applyInArrow(estimate, "part int, t long, n double").collect()
-    found = np.zeros((len(groups), most + 1))
-    for row in rows:
-        found[row["part"], row["t"]] = row["n"]
+    base = np.concatenate([[0], np.cumsum([1 << len(g) for g in groups])])
+
+    def count(batches):
+        total = np.zeros(base[-1], np.int64)
+        for batch in batches:
+            fp = batch.column(0).to_numpy().view(np.uint64)
+            for first, bits in zip(base, groups, strict=False):
+                total[first : first + (1 << len(bits))] += np.bincount(
+                    gathered(fp, bits), minlength=1 << len(bits)
+                )
+        met = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(total[met])], ["at", "n"])
+
+    added = fps.mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    total = np.zeros(base[-1], np.int64)
+    total[added["at"].to_numpy()] = added["n"].to_numpy()
+    return np.split(total, base[1:-1])
+
+
+def costs(counts: list[np.ndarray], most: int) -> np.ndarray:
+    """Cost by partition and threshold 0..most: rows that meet another and pairs compared.
+
+    A pair is counted in bucket and probe order; of a bucket that is split again a row is
+    compared with some ``BUCKET_ROWS`` others.
+    """
+    found = np.zeros((len(counts), most + 1))
+    for i, count in enumerate(counts):
+        values = np.flatnonzero(count)
+        n, at = count[values], [0.0] * (most + 1)
+        for mask in flips(int(len(count)).bit_length() - 1, most):
+            met = count[values ^ mask]
+            rows = n @ (met > 0) if mask else n @ (n > 1)
+            at[mask.bit_count()] += ROW_COST * float(rows) + float(n @ np.minimum(met, BUCKET_ROWS))
+        found[i] = np.cumsum(at)
     return found
 
 
 def allocate(counts: np.ndarray, threshold: int) -> list[int]:
-    """Thresholds per partition, -1 upwards, with the required sum and the fewest candidates."""
+    """Thresholds per partition, -1 upwards, with the required sum and the least cost."""
     parts, most = counts.shape[0], counts.shape[1] - 1
     need = threshold - parts + 1
     best: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
@@ -181,63 +206,112 @@ def allocate(counts: np.ndarray, threshold: int) -> list[int]:
 
 
 def link_fingerprints(fps: DataFrame, threshold: int = THRESHOLD, partitions: int = PARTITIONS) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints that join whatever is linked; a column ``fp``."""
+    """Edges (a, b) between distinct fingerprints that join whatever is linked; a column ``fp``.
+
+    Any data give exact results; a null fingerprint is not allowed, an empty table has no edges.
+    """
+    dealt, kept = deal_buckets(fps, threshold, partitions)
+    near = dealt.repartition("bucket").sortWithinPartitions("bucket")
+    edges = stored(near.mapInArrow(_compare(threshold), "a long, b long"), "simhash")
+    discard(*kept)
+    return edges
+
+
+def deal_buckets(fps: DataFrame, threshold: int, partitions: int = PARTITIONS) -> tuple[DataFrame, list[DataFrame]]:
+    """Rows (bucket, fp) in buckets of at most ``BUCKET_ROWS``; two linked fingerprints share one.
+
+    Also the stored frames that the rows come from, to be discarded after use.
+    """
     groups = group_bits(bit_correlations(fps), partitions)
-    homes = fps.select(
-        "fp",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("part"), gathered(F.col("fp"), bits).alias("value"))
-                    for i, bits in enumerate(groups)
-                ]
-            )
-        ).alias("home"),
-    ).select("home.part", "home.value", "fp")
+    counts = value_counts(fps, groups)
     # Up to one flipped bit is offered to the programme; more would cost more probes than pairs.
-    counts = candidate_counts(homes.select("part", "value"), groups, most=1)
-    thresholds = allocate(counts, threshold)
-    used = [i for i, t in enumerate(thresholds) if t >= 0]
-    rows = homes.where(F.col("part").isin(used)).withColumn("probe", F.lit(False))
-    for i in used:
-        masks = flips(len(groups[i]), thresholds[i])[1:]
-        if masks:
-            probes = homes.where(F.col("part") == i).select(
-                "part",
-                F.explode(F.transform(F.array(*map(F.lit, masks)), lambda m: m.bitwiseXOR(F.col("value")))).alias("value"),
-                "fp",
-                F.lit(True).alias("probe"),
+    thresholds = allocate(costs(counts, most=1), threshold)
+    coming = [_coming(c, t) for c, t in zip(counts, thresholds, strict=True)]
+    sent = fps.sparkSession.sparkContext.broadcast((counts, coming))
+    ready = [fps.mapInArrow(_place(groups, thresholds, sent, large=False), "bucket long, fp long")]
+    kept = []
+    if any((c > BUCKET_ROWS).any() for c in coming):
+        large = stored(
+            fps.mapInArrow(_place(groups, thresholds, sent, large=True), "bucket long, fp long"), "buckets"
+        )
+        while not large.isEmpty():
+            split = stored(_split(large, threshold), "buckets")
+            sizes = split.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+            met = split.join(sizes, "bucket")
+            ready.append(met.where(F.col("n") <= BUCKET_ROWS).select("bucket", "fp"))
+            discard(large)
+            large = stored(met.where(F.col("n") > BUCKET_ROWS).select("bucket", "fp"), "buckets")
+            kept.append(split)
+        kept.append(large)
+    # Two buckets of one number are compared as one, which the exact check makes harmless.
+    return reduce(DataFrame.unionByName, ready), kept
+
+
+def _coming(count: np.ndarray, threshold: int) -> np.ndarray:
+    """Rows and probes that come to every bucket; none to one that is at home to nobody."""
+    total = np.zeros_like(count)
+    if threshold >= 0:
+        values = np.arange(len(count))
+        for mask in flips(int(len(count)).bit_length() - 1, threshold):
+            total += count[values ^ mask]
+    total[count == 0] = 0
+    return total
+
+
+def _place(groups: list[list[int]], thresholds: list[int], sent, large: bool):
+    """Rows and probes of the buckets where something is met, either the large ones or the rest."""
+
+    def run(batches):
+        counts, coming = sent.value
+        wanted = [(c > BUCKET_ROWS) if large else (c > 1) & (c <= BUCKET_ROWS) for c in coming]
+        base = np.concatenate([[0], np.cumsum([len(c) for c in counts])])
+        for batch in batches:
+            signed = batch.column(0).to_numpy()
+            buckets, rows = [], []
+            for i, threshold in enumerate(thresholds):
+                if threshold < 0:
+                    continue
+                value = gathered(signed.view(np.uint64), groups[i])
+                for mask in flips(len(groups[i]), threshold):
+                    there = value ^ mask
+                    met = wanted[i][there]
+                    buckets.append(there[met] + base[i])
+                    rows.append(signed[met])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(buckets)), pa.array(np.concatenate(rows))], ["bucket", "fp"]
             )
-            rows = rows.unionByName(probes)
-    return compare_buckets(rows, threshold)
+
+    return run
 
 
-def compare_buckets(rows: DataFrame, threshold: int) -> DataFrame:
-    """Compare the rows (part, value, fp, probe) of each bucket; edges (a, b).
+def _split(large: DataFrame, threshold: int) -> DataFrame:
+    """Large buckets split again: every row once for each of threshold + 1 masks of its bucket.
 
-    The size of a bucket only decides into how many slices it is dealt, not what is compared.
+    The bits are dealt by how evenly they divide the bucket, the most dividing one to the first
+    mask, the next to the second and so on; bits that are the same in all rows change nothing.
     """
-    sizes = rows.groupBy("part", "value").agg(
-        F.count(F.lit(1)).alias("n"), F.bool_or(~F.col("probe")).alias("met")
-    )
-    slices = F.ceil(F.col("n") / BUCKET_ROWS).cast("int")
-    meant = rows.join(
-        sizes.where("n > 1 and met").select("part", "value", slices.alias("slices")), ["part", "value"]
-    )
-    own = F.pmod(F.xxhash64("fp"), F.col("slices")).cast("int")
-    # Slice s meets slice o in the cell (smaller, larger).
-    cells = F.transform(
-        F.sequence(F.lit(0), F.col("slices") - 1),
-        lambda o: F.struct(F.least(o, "own").alias("low"), F.greatest(o, "own").alias("high")),
-    )
-    dealt = (
-        meant.withColumn("own", own)
-        .withColumn("cell", F.explode(cells))
-        .select(F.xxhash64("part", "value", "cell").alias("bucket"), "fp", "probe", "own")
+    ones = [
+        F.sum(F.shiftrightunsigned("fp", b).bitwiseAND(F.lit(1).cast("long"))).alias(f"b{b}") for b in range(BITS)
+    ]
+    stats = large.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), *ones)
+    names = [f"m{j}" for j in range(threshold + 1)]
+
+    def masks(batches):
+        for batch in batches:
+            n = batch.column(1).to_numpy()[:, None].astype(np.float64)
+            set_ = np.stack([c.to_numpy() for c in batch.columns[2:]], axis=1)
+            order = np.argsort(-(set_ * (n - set_)), axis=1, kind="stable").astype(np.uint64)
+            dealt = [
+                np.bitwise_or.reduce(np.uint64(1) << order[:, j :: len(names)], axis=1).view(np.int64)
+                for j in range(len(names))
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, dealt)], ["bucket", *names])
+
+    dealt = stats.mapInArrow(masks, "bucket long, " + ", ".join(f"{m} long" for m in names))
+    parts = F.array(
+        *[F.xxhash64("bucket", F.lit(j), F.col("fp").bitwiseAND(F.col(m))) for j, m in enumerate(names)]
     )
-    # Two buckets of one hash value are compared as one, which the exact check makes harmless.
-    near = dealt.repartition("bucket").sortWithinPartitions("bucket")
-    return near.mapInArrow(_compare(threshold), "a long, b long")
+    return large.join(dealt, "bucket").select(F.explode(parts).alias("bucket"), "fp")
 
 
 def _compare(threshold: int):
@@ -287,6 +361,23 @@ def _forest(n: int, left: list[np.ndarray], right: list[np.ndarray]) -> tuple[li
     return [linked], [root[linked]]
 
 
+def _classes(marked: DataFrame, threshold: int) -> DataFrame:
+    """(fp, component, least): the component of every fingerprint, stored, and the smallest
+    (doc_id, mark) of its rows that have an id."""
+    row = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "mark"))
+    nodes = stored(marked.groupBy("fp").agg(F.min(row).alias("least")).repartition(F.col("fp")), "simhash")
+    edges = link_fingerprints(nodes.select("fp"), threshold)
+    grouped = connected_components(edges)
+    classes = stored(
+        nodes.join(grouped.withColumnRenamed("node", "fp"), "fp", "left").select(
+            "fp", F.coalesce("component", "fp").alias("component"), "least"
+        ),
+        "simhash",
+    )
+    discard(edges, nodes)
+    return classes
+
+
 def simhash_groups(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD
 ) -> DataFrame:
@@ -298,36 +389,44 @@ def simhash_groups(
     ignored; an empty table gives an empty result.
     """
     marked = stored(fingerprints(docs, doc_id, text), "simhash")
-    nodes = stored(
-        marked.groupBy("fp").agg(F.min("doc_id").alias("least")).repartition(F.col("fp")), "simhash"
-    )
-    edges = stored(link_fingerprints(nodes.select("fp"), threshold), "simhash")
-    grouped = connected_components(edges)
-    classes = nodes.join(grouped.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component")
-    )
-    smallest = classes.groupBy("component").agg(F.min("least").alias("component_id"))
+    classes = _classes(marked, threshold)
+    smallest = classes.groupBy("component").agg(F.min("least.doc_id").alias("component_id"))
     named = stored(classes.join(smallest, "component").select("fp", "component_id"), "simhash")
-    discard(edges, nodes)
+    discard(classes)
     return marked.join(named, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
 def keep_one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with the smallest id of their group, with their own columns.
+    """Of every group the row with the smallest id, with its own columns.
 
-    Of repeated rows (same id, same text) one stays. Rows without an id are all kept.
+    If one id stands for several texts of a group, the text with the smallest hash stays; of
+    repeated rows (same id, same text) one stays. Rows without an id are all kept. Null and empty
+    texts are texts like any other. Extra columns pass, whatever their names; an empty table
+    stays empty. Texts are not moved to look for repeated rows: only rows whose (id, text)
+    repeats are ranked.
     """
-    groups = simhash_groups(docs, doc_id, text)
-    head, again = fresh_name(docs.columns, "head"), fresh_name(docs.columns, "again")
-    heads = groups.where(F.col("doc_id") == F.col("component_id"))
-    heads = heads.select(F.col("doc_id").alias(head)).distinct()
-    same = Window.partitionBy(head, F.xxhash64(f"`{text}`")).orderBy(head)
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    kept = docs.join(heads, F.col(f"`{doc_id}`") == F.col(head)).withColumn(
-        again, F.row_number().over(same)
-    )
-    return kept.where(F.col(again) == 1).select(*own).unionByName(
-        docs.where(F.col(f"`{doc_id}`").isNull())
+    head, mark, again = (fresh_name(docs.columns, n) for n in ("head", "mark", "again"))
+    marked = stored(fingerprints(docs, doc_id, text), "simhash")
+    classes = _classes(marked, THRESHOLD)
+    least = F.min("least").alias("least")
+    firsts = classes.groupBy("component").agg(least).where("least IS NOT NULL").select("least.*")
+    repeats = marked.groupBy("doc_id", "mark").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    heads = stored(
+        firsts.join(repeats, ["doc_id", "mark"], "left").select(
+            F.col("doc_id").alias(head), F.col("mark").alias(mark), "rows"
+        ),
+        "simhash",
     )
+    discard(classes, marked)
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    body = F.xxhash64(F.col(f"`{text}`").cast("binary"))
+    same = (F.col(f"`{doc_id}`") == F.col(head)) & (body == F.col(mark))
+    kept = docs.join(heads.where("rows IS NULL").drop("rows"), same).select(*own)
+    several = heads.where("rows IS NOT NULL").drop("rows")
+    if not several.isEmpty():
+        order = Window.partitionBy(head, mark).orderBy(F.monotonically_increasing_id())
+        ranked = docs.join(several, same).withColumn(again, F.row_number().over(order))
+        kept = kept.unionByName(ranked.where(F.col(again) == 1).select(*own))
+    return kept.unionByName(docs.where(F.col(f"`{doc_id}`").isNull()))

@@ -184,7 +184,7 @@ def some_docs(seed, n):
 
 
 def test_groups_match_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(simhash_links, "BUCKET_ROWS", 8)  # buckets fall into slices
+    monkeypatch.setattr(simhash_links, "BUCKET_ROWS", 8)  # buckets are split again and again
     odd = [(900, None), (901, ""), (902, " \t\n"), (903, "A\x1cb"), (904, "a\x1cB"), (905, "ok"), (906, "OK ")]
     docs = some_docs(3, 150)
     check_groups(spark, [*docs, *odd, docs[0], (907, "long " * 200_000)])
@@ -229,6 +229,59 @@ def test_one_per_group_keeps_columns_and_rows_without_id(spark):
     assert sorted((r[0] or -1, r[2]) for r in kept.collect()) == [(-1, "d"), (2, "b"), (9, "c")]
 
 
+def test_one_per_group_of_a_repeated_id_with_two_texts(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(200)) for x in "ab")
+    rows = [(3, a, 1), (5, b, 2), (5, a, 3), (7, "", 4), (8, None, 5), (7, "", 6), (None, b, 7)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, mark long")
+    kept = simhash_links.keep_one_per_group(frame).collect()
+    texts = sorted((r[0] or -1, r[1]) for r in kept)
+    assert texts == [(-1, b), (3, a), (5, b), (7, "")]
+    assert simhash_links.keep_one_per_group(frame.limit(0)).collect() == []
+
+
+def dealt_work(spark, fps):
+    signed = [(f - (1 << 64) if f >> 63 else f,) for f in fps]
+    frame = spark.createDataFrame(signed, "fp long").repartition(8)
+    dealt, _ = simhash_links.deal_buckets(frame, 3)
+    sizes = [r["count"] for r in dealt.groupBy("bucket").count().collect()]
+    assert max(sizes) <= simhash_links.BUCKET_ROWS
+    return frame, sum(sizes) / len(fps), sum(n * (n - 1) // 2 for n in sizes) / len(fps)
+
+
+def reached(fps):
+    """Smallest fingerprint of the component of every fingerprint, breadth first."""
+    left, root = np.array(sorted(fps), np.uint64), {}
+    while len(left):
+        head, todo, left = int(left[0]), [left[0]], left[1:]
+        while todo:
+            at = todo.pop()
+            root[int(at)] = head
+            close = np.bitwise_count(left ^ at) <= 3
+            todo += list(left[close])
+            left = left[~close]
+    return root
+
+
+def test_work_on_one_group_of_near_copies_grows_in_proportion(spark, monkeypatch):
+    """20,000 distinct fingerprints around one centre, beside as many that are alone."""
+    monkeypatch.setattr(simhash_links, "BUCKET_ROWS", 1024)
+    rng = random.Random(7)
+    centre, made = rng.getrandbits(64), {}
+    for n in (5_000, 20_000):
+        near = set()
+        while len(near) < n:
+            near.add(centre ^ sum(1 << b for b in rng.sample(range(64), rng.choice([1, 2, 3, 4]))))
+        made[n] = sorted(near) + [rng.getrandbits(64) for _ in range(n)]
+    _, few_rows, few_pairs = dealt_work(spark, made[5_000])
+    frame, rows, pairs = dealt_work(spark, made[20_000])
+    # The fewer bits differ, the less a round splits, but the fewer fingerprints there are.
+    assert few_rows < rows <= 16 and pairs <= 2 * few_pairs
+    edges = simhash_links.link_fingerprints(frame).collect()
+    links = [(a & (1 << 64) - 1, b & (1 << 64) - 1) for a, b in edges]
+    assert all((a ^ b).bit_count() <= 3 for a, b in links)
+    assert closure(made[20_000], links) == reached(made[20_000])
+
+
 @pytest.mark.parametrize("name", ["op5_simhash_groups"])
 def test_registered_groups_match_brute_force(spark, name):
     from blotter.llm.queries import QUERIES
