@@ -274,8 +274,9 @@ def test_work_on_one_group_of_near_copies_grows_in_proportion(spark, monkeypatch
         made[n] = sorted(near) + [rng.getrandbits(64) for _ in range(n)]
     _, few_rows, few_pairs = dealt_work(spark, made[5_000])
     frame, rows, pairs = dealt_work(spark, made[20_000])
-    # The fewer bits differ, the less a round splits, but the fewer fingerprints there are.
-    assert few_rows < rows <= 16 and pairs <= 2 * few_pairs
+    # Few differing bits split little, but few fingerprints have them: rows stay bounded. The links
+    # of a fingerprint grow fourfold here, the pairs compared less.
+    assert few_rows < rows <= 16 and pairs <= 2.5 * few_pairs
     edges = simhash_links.link_fingerprints(frame).collect()
     links = [(a & (1 << 64) - 1, b & (1 << 64) - 1) for a, b in edges]
     assert all((a ^ b).bit_count() <= 3 for a, b in links)
