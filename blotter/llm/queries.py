@@ -13,12 +13,15 @@ from blotter.llm.chat_trees import chain_nodes, format_records, read_records
 from blotter.llm.common import stored, table
 from blotter.llm.decontaminate import find_contamination, hit_words
 from blotter.llm.embedding_links import link_vectors
+from blotter.llm.filter_audit import audit_filters
 from blotter.llm.line_quality import score_quality
 from blotter.llm.packing import Capacity, pack_documents
 from blotter.llm.piece_counts import count_tokens
 from blotter.llm.simhash_links import simhash_groups
 from blotter.llm.token_files import token_digests, write_token_files
 from blotter.llm.url_rules import ALLOW, BLOCK, judge_urls
+from blotter.llm.whitening import whiten
+from blotter.llm.winnowing import compare_edits
 from blotter.session import work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -276,3 +279,76 @@ FROM parts LEFT JOIN best USING (rid)
 def op10_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return pack_documents(docs, public_tokenizers.path(WORDS), Capacity.of_tokens(CONTEXT_TOKENS))
+
+
+# -------------------------------------------------------------- 11: whitening
+
+
+@query
+def op11_embedding_whitening(spark, sf_dir):
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+# ----------------------------------------------------------- 12: filter audit
+
+
+@query
+def op12_filter_audit(spark, sf_dir):
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op12_filter_audit"] = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents
+), split AS (
+    SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+        min(doc_id) OVER (PARTITION BY t) AS first_id
+    FROM docs
+), marks AS (
+    SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic
+    FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), failed AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+        CAST(len(w) < 200 AS INT)
+        + 2 * CAST(100 * len(list_distinct(w)) < 50 * len(w) AS INT)
+        + 4 * CAST(100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) AS INT)
+        + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INT)
+        + 16 * CAST(coalesce(doc_id > first_id, false) AS INT) AS mask
+    FROM split LEFT JOIN marks USING (doc_id)
+), cells AS (
+    SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY ALL
+), f AS (
+    SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(c, b)
+), orders AS (
+    SELECT f1.c || f2.c || f3.c || f4.c || f5.c AS filter_order,
+        [f1.b, f2.b, f3.b, f4.b, f5.b] AS bits
+    FROM f f1, f f2, f f3, f f4, f f5
+    WHERE len(list_distinct([f1.b, f2.b, f3.b, f4.b, f5.b])) = 5
+), steps AS (
+    SELECT filter_order, CAST(s AS INT) AS step, bits[s] AS bit,
+        CAST(coalesce(list_sum(bits[1 : s - 1]), 0) AS INT) AS before
+    FROM orders, range(1, 6) r(s)
+), counted AS (
+    SELECT part, filter_order, step, bit,
+        sum(n) FILTER (mask & (before | bit) = 0) AS kept,
+        sum(n) FILTER (mask & before = 0 AND mask & bit <> 0) AS removed,
+        sum(n) FILTER (mask & before <> 0 AND mask & bit <> 0) AS redundant,
+        sum(n) FILTER (mask = bit) AS unique_fails,
+        sum(good) FILTER (mask & before = 0 AND mask & bit <> 0) AS good_lost,
+        sum(toxic) FILTER (mask & before = 0 AND mask & bit <> 0) AS toxic_lost
+    FROM cells, steps GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+    CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+    CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+    CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM counted
+"""
+
+# ---------------------------------------------------- 13: document fingerprints
+
+
+@query
+def op13_document_fingerprints(spark, sf_dir):
+    return compare_edits(table(spark, sf_dir, "documents"))
