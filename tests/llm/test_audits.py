@@ -1,0 +1,260 @@
+"""Filter audit and document fingerprints against brute force."""
+
+import hashlib
+import random
+import re
+import struct
+from collections import Counter
+from fractions import Fraction
+from itertools import combinations, permutations
+from math import factorial
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from blotter.llm import filter_audit, winnowing
+from blotter.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string"
+LABELS = "doc_id long, quality int, toxic int"
+
+# ------------------------------------------------------------- filter audit
+
+
+def failures(rows):
+    """(doc_id, part, set of failed filters) of rows (doc_id, text, lang)."""
+    out = []
+    for doc_id, text, lang in rows:
+        text = text or ""
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+        failed = set()
+        if len(words) < 200:
+            failed.add("A")
+        if 100 * len(set(words)) < 50 * len(words):
+            failed.add("B")
+        if 100 * sum("A" <= c <= "Z" for c in text) > 3 * len(text):
+            failed.add("C")
+        if set(text) & set("#$%&*|"):
+            failed.add("D")
+        if doc_id is not None and any(i is not None and i < doc_id and (t or "") == text for i, t, _ in rows):
+            failed.add("E")
+        out.append((doc_id, lang or "", failed))
+    return out
+
+
+def brute_audit(rows, labels):
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, t in labels if t == 1 and i is not None}
+    failed = failures(rows)
+    out = {}
+    for part in {p for _, p, _ in failed}:
+        mine = [(i, f) for i, p, f in failed if p == part]
+        total: Counter = Counter()
+        for order in permutations("ABCDE"):
+            left = mine
+            for step, name in enumerate(order, 1):
+                gone = [(i, f) for i, f in left if name in f]
+                left = [(i, f) for i, f in left if name not in f]
+                total[name] += len(gone)
+                out[part, "".join(order), step] = [
+                    len(left),
+                    len(gone),
+                    sum(name in f for _, f in mine) - len(gone),
+                    sum(f == {name} for _, f in mine),
+                    sum(i in good for i, _ in gone),
+                    sum(i in toxic for i, _ in gone),
+                ]
+        for (p, order, step), values in out.items():
+            if p == part:
+                values.append(total[order[step - 1]])
+    return out
+
+
+def check_audit(spark, rows, labels, frame=None):
+    frame = spark.createDataFrame(rows, DOCS).repartition(3) if frame is None else frame
+    found = filter_audit.audit_filters(frame, spark.createDataFrame(labels, LABELS)).collect()
+    got = {(r[0], r[1], r[2]): list(r[3:]) for r in found}
+    assert len(got) == len(found) and got == brute_audit(rows, labels)
+
+
+def some_texts(n, seed=1):
+    rng = random.Random(seed)
+    out = []
+    for _ in range(n):
+        words = rng.choices([f"w{i}" for i in range(rng.choice([20, 400]))], k=rng.choice([3, 199, 200, 260]))
+        if rng.random() < 0.4:
+            words += ["ABCDEFG"] * rng.randrange(1, 12)
+        if rng.random() < 0.3:
+            words.append(rng.choice("#$%&*|"))
+        out.append(rng.choice([" ", "\n", "\t \x0b"]).join(words))
+    return out
+
+
+def test_audit_matches_brute_force(spark):
+    rng = random.Random(2)
+    texts = some_texts(60)
+    rows = [(i, rng.choice(texts), rng.choice(["en", "de", None, ""])) for i in range(150)]
+    rows += [(None, texts[0], "en"), (None, texts[0], "en"), (7, rows[7][1], "fr"), rows[3], (400, None, "de"), (401, "", "de")]
+    labels = [(i, rng.choice([0, 1, None]), rng.choice([0, 1])) for i in range(0, 140, 2)]
+    labels += [(4, 1, 0), (4, 0, None), (None, 1, 1), (9999, 1, 1)]
+    check_audit(spark, rows, labels)
+
+
+def test_audit_of_a_long_text_and_a_group_of_copies(spark):
+    rows = [(i, "Same text", "en") for i in range(300)] + [(1000, "long " * 300_000, "en")]
+    check_audit(spark, rows, [(0, 1, 1), (5, 1, 0)])
+
+
+def test_audit_of_nothing_and_clashing_columns(spark):
+    rows = [(1, "a b", "en"), (2, "a b", "en")]
+    frame = spark.createDataFrame(rows, DOCS).withColumns({"failed": F.lit("x"), "good": F.lit(1), "n": F.lit(2)})
+    check_audit(spark, rows, [], frame)
+    empty = spark.createDataFrame([], LABELS)
+    assert filter_audit.audit_filters(frame.limit(0), empty).collect() == []
+
+
+def test_shapley_values_are_exact():
+    rng = random.Random(5)
+    for n in (1, 2, 3, 5):
+        cells = {mask: rng.randrange(50) for mask in range(1 << n)}
+        removals = filter_audit.coalition_removals(cells, n)
+        assert removals == [sum(c for m, c in cells.items() if m & s) for s in range(1 << n)]
+        for i, value in enumerate(filter_audit.shapley_values(removals)):
+            direct = Fraction(0)
+            others = [j for j in range(n) if j != i]
+            for size in range(n):
+                for chosen in combinations(others, size):
+                    s = sum(1 << j for j in chosen)
+                    share = Fraction(factorial(size) * factorial(n - size - 1), factorial(n))
+                    direct += share * (removals[s | 1 << i] - removals[s])
+            assert value == direct
+
+
+# ------------------------------------------------------------- fingerprints
+
+
+def signed(n):
+    return n - (1 << 64) if n >> 63 else n
+
+
+def xx(text):
+    return xxhash.xxh64_intdigest(text.encode(), 42)
+
+
+def chained(values, seed=42):
+    for v in values:
+        seed = xxhash.xxh64_intdigest(struct.pack("<Q", v), seed)
+    return seed
+
+
+def turned(x, by):
+    by %= 64
+    return (x << by | x >> (64 - by)) & ((1 << 64) - 1)
+
+
+def brute_winnow(text, k=winnowing.K, w=winnowing.W):
+    hashes = [xx(x) for x in re.split(r"[\x20\x09-\x0D]+", (text or "").lower()) if x]
+    if not hashes:
+        return [], []
+    if len(hashes) < k:
+        grams = [chained(hashes)]
+    else:
+        grams = []
+        for i in range(len(hashes) - k + 1):
+            value = 0
+            for j in range(k):
+                value ^= turned(hashes[i + j], k - 1 - j)
+            grams.append(value)
+    grams = [signed(g) for g in grams]
+    chosen = set()
+    for start in range(max(1, len(grams) - w + 1)):
+        window = range(start, min(start + w, len(grams)))
+        least = min(grams[i] for i in window)
+        chosen.add(max(i for i in window if grams[i] == least))
+    return [grams[i] for i in sorted(chosen)], sorted(chosen)
+
+
+def brute_digest(hashes):
+    out = ""
+    for seed in (1, 2):
+        first = xxhash.xxh64_intdigest(struct.pack("<i", seed), 42)
+        out += f"{chained([h % (1 << 64) for h in hashes], first):016x}"
+    return out
+
+
+def brute_likeness(a, b):
+    a, b = set(a), set(b)
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def check_edits(found, rows):
+    order = sorted(
+        rows, key=lambda r: (r[0] is None, -(r[0] or 0), signed(xx(r[1] or "")))
+    )
+    expected = []
+    for (doc_id, text), (_, after) in zip(order, order[1:] + order[:1], strict=True):
+        text, after = text or "", after or ""
+        third = len(text) // 3
+        edited = text[: len(text) - third] + after[:third]
+        own, changed, following = (brute_winnow(t)[0] for t in (text, edited, after))
+        digest = hashlib.sha256(edited.encode()).hexdigest()
+        near = brute_likeness(own, changed), brute_likeness(own, following)
+        expected.append((doc_id, len(text), digest, brute_digest(own), brute_digest(changed), *near))
+    key = lambda r: [str(x) for x in r]
+    assert sorted(map(tuple, found), key=key) == sorted(expected, key=key)
+
+
+ODD = ["", " \t\n", "one", "two words", "a b c d", "a b c d e", "a b c d e f g h", "日本 語 " * 9, "x " * 40, "É é 𝒳 z " * 5]
+
+
+def test_winnow_matches_brute_force(spark):
+    texts = [*some_texts(20, 3), *ODD, None]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for k, w in ((5, 4), (1, 1), (2, 3), (7, 6), (8, 2), (3, 1)):
+        for r in winnowing.fingerprint_documents(frame, k, w).collect():
+            hashes, positions = brute_winnow(texts[r["doc_id"]], k, w)
+            assert (r["hashes"], r["positions"]) == (hashes, positions)
+            assert r["fingerprint"] == brute_digest(hashes)
+
+
+def test_a_shared_run_is_always_found(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(40):
+        run = [f"s{rng.randrange(30)}" for _ in range(winnowing.K + winnowing.W - 1)]
+        for side in range(2):
+            before, after = ([f"{side}x{rng.randrange(999)}" for _ in range(rng.randrange(30))] for _ in "ab")
+            rows.append((2 * i + side, " ".join(before + run + after)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: set(r["hashes"]) for r in winnowing.fingerprint_documents(frame).collect()}
+    assert all(found[2 * i] & found[2 * i + 1] for i in range(40))
+
+
+def test_edits_in_many_ranges(spark):
+    rng = random.Random(4)
+    texts = [*some_texts(25, 6), *ODD, None]
+    rows = [(rng.randrange(-500, 500), rng.choice(texts)) for _ in range(200)]
+    rows += [(None, "no id"), (None, None), (3, "again"), (3, "again"), (3, "other")]
+    rows += [(-(1 << 63), "least"), ((1 << 63) - 1, "greatest"), (9999, "long " * 50_000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    frame = frame.withColumns({"range": F.lit("x"), "turn": F.lit(1), "hashes": F.lit(2)})
+    check_edits(winnowing.compare_edits(frame).collect(), rows)
+
+
+def test_edits_of_one_document_and_of_none(spark):
+    frame = spark.createDataFrame([(1, "a b c d e f g h i")], "doc_id long, text string")
+    check_edits(winnowing.compare_edits(frame).collect(), [(1, "a b c d e f g h i")])
+    assert winnowing.compare_edits(frame.limit(0)).collect() == []
+    nameless = [(None, "x y"), (None, "z")]
+    check_edits(winnowing.compare_edits(spark.createDataFrame(nameless, "doc_id long, text string")).collect(), nameless)
+
+
+@pytest.mark.parametrize("name", ["op13_document_fingerprints"])
+def test_registered_fingerprints_match_brute_force_without_python(spark, name):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    found = QUERIES[name](spark, SF)
+    plan = found._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    check_edits(found.collect(), [tuple(r) for r in docs.collect()])
