@@ -7,7 +7,7 @@ from blotter.functions.scores import (
     severity_label,
     variety_ratio,
 )
-from blotter.functions.text import anonymous_id, area_from_message, fold_key
+from blotter.functions.text import anonymous_id, area_from_message, collated, fold_key
 from blotter.functions.time import (
     age_label,
     age_seconds,
@@ -22,6 +22,7 @@ __all__ = [
     "age_seconds",
     "anonymous_id",
     "area_from_message",
+    "collated",
     "day_key",
     "density_score",
     "diversity_index",

@@ -32,3 +32,11 @@ def fold_key(text: Column, fold_accents: bool = True) -> Column:
     """Lower-case lookup key, by default without accents."""
     lowered = F.lower(text)
     return F.translate(lowered, ACCENTED, PLAIN) if fold_accents else lowered
+
+
+def collated(text: Column, collation: str) -> Column:
+    """The text under one of Spark's collations, as a key to join, group or sort by.
+
+    ``UNICODE_CI_AI`` ignores letter case and all accents, not only the listed ones.
+    """
+    return F.collate(text, collation)

@@ -23,7 +23,8 @@ def _count(df: DataFrame, keys: list[Column], clock: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(COUNT), F.max(clock).alias(LAST))
 
 
-def _day(records: DataFrame, names: Names) -> Column:
+def day_of(records: DataFrame, names: Names = NAMES) -> Column:
+    """The stored date of the records as a date, or else that of their clock."""
     if names.date in records.columns:
         return F.col(names.date).try_cast("date")
     return F.to_date(names.clock)
@@ -43,7 +44,7 @@ def hour_cells(
     cells = _count(
         records,
         [
-            _day(records, names).alias(_DAY),
+            day_of(records, names).alias(_DAY),
             F.col(names.area),
             F.col(names.category),
             F.hour(clock).alias("hour"),
@@ -67,7 +68,7 @@ def day_cells(records: DataFrame, names: Names = NAMES) -> DataFrame:
     """One row per date, area and category, straight from the facts."""
     cells = _count(
         records,
-        [_day(records, names).alias(_DAY), F.col(names.area), F.col(names.category)],
+        [day_of(records, names).alias(_DAY), F.col(names.area), F.col(names.category)],
         names.clock,
     )
     return cells.select(

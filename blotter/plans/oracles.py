@@ -46,14 +46,30 @@ _ALERTS = f"""{_DAYS}, alerts AS (
     'ALERTA: ' || n || ' casos de ' || crime_type || ' en ' || district AS alert_message
   FROM days WHERE n >= {_case("crime_type", EVENT_THRESHOLDS)})"""
 
-_LOTS = """lots AS (
-  SELECT *, CAST((processing_time >= TIMESTAMP '2024-01-08 06:00:00')::INT
-    + (processing_time >= TIMESTAMP '2024-01-15 12:00:00')::INT
-    + (processing_time >= TIMESTAMP '2024-01-23 18:00:00')::INT AS BIGINT) AS lot FROM inc)"""
+# A lot is the number of quantiles of the clock, in whole hours, before an event's hour.
+_LOTS = """hours AS (
+  SELECT date_trunc('hour', processing_time) AS h, count(*) AS n
+  FROM inc WHERE processing_time IS NOT NULL GROUP BY h),
+  upto AS (SELECT h, sum(n) OVER (ORDER BY h) AS c, sum(n) OVER () AS t FROM hours),
+  cuts AS (
+  SELECT min(h) FILTER (4 * c >= t) AS c1, min(h) FILTER (4 * c >= 2 * t) AS c2,
+    min(h) FILTER (4 * c >= 3 * t) AS c3 FROM upto),
+  numbered AS (
+  SELECT inc.*, coalesce((date_trunc('hour', processing_time) > c1)::INT, 0)
+    + coalesce((date_trunc('hour', processing_time) > c2)::INT, 0)
+    + coalesce((date_trunc('hour', processing_time) > c3)::INT, 0) AS number FROM inc, cuts),
+  lots AS (
+  SELECT *, CAST(dense_rank() OVER (ORDER BY number) - 1 AS BIGINT) AS lot FROM numbered)"""
+
+
+def _timed(ctes: str) -> str:
+    """The same tables without events that have no clock, as no stored table has them."""
+    return ctes.replace("FROM events)", "FROM events WHERE ts IS NOT NULL)")
+
 
 _LOT_ALERTS = f"""{_INC}, {_LOTS}, counted AS (
   SELECT lot, date_partition, district, crime_type, count(*) AS n,
-    max(processing_time) AS last_time FROM lots GROUP BY ALL),
+    max(processing_time) AS last_time FROM lots WHERE processing_time IS NOT NULL GROUP BY ALL),
   alerts AS (
   SELECT date_partition, district, crime_type, n AS crime_count, last_time AS alert_time,
     TRUE AS is_critical, 'CRITICAL' AS alert_level,
@@ -331,16 +347,16 @@ ORACLES: dict[str, str] = {
     "replaced_table": f"WITH {_DAYS} SELECT {_STATISTICS} FROM days",
     "replaced_partitions": f"WITH {_DAYS} SELECT {_STATISTICS} FROM days",
     # streaming
-    "stream_rollup": f"WITH {_DAYS} SELECT {_STATISTICS} FROM days",
-    "stream_temporal": f"""WITH {_INC}
+    "stream_rollup": f"WITH {_timed(_DAYS)} SELECT {_STATISTICS} FROM days",
+    "stream_temporal": f"""WITH {_timed(_INC)}
         SELECT crime_type, CAST(hour(processing_time) AS INT) AS hour,
           CAST(dayofweek(processing_time) + 1 AS INT) AS day_of_week,
           count(*) AS crimes_per_hour, CAST(hour(processing_time) AS DOUBLE) AS avg_hour,
           max(processing_time) AS last_crime_time, date_partition, district
         FROM inc GROUP BY ALL""",
-    "stream_density": f"""WITH {_DENSITY}
+    "stream_density": f"""WITH {_timed(_DENSITY)}
         SELECT * EXCLUDE (crime_type_counts) FROM density""",
-    "stream_correlation": f"""WITH {_DAYS}
+    "stream_correlation": f"""WITH {_timed(_DAYS)}
         SELECT date_partition, district,
           string_agg(crime_type, ',' ORDER BY crime_type) AS crime_types_in_area,
           CAST(sum(n) AS BIGINT) AS total_crimes_in_area,
@@ -352,15 +368,16 @@ ORACLES: dict[str, str] = {
     "stream_last_batch": f"""WITH {_INC}, {_LOTS}
         SELECT date_partition, district, crime_type, count(*) AS crime_count,
           max(processing_time) AS last_updated
-        FROM lots WHERE lot = (SELECT max(lot) FROM lots) GROUP BY ALL""",
-    "stream_facts": f"""WITH {_INC}
+        FROM lots WHERE lot = (SELECT max(lot) FROM lots) AND processing_time IS NOT NULL
+        GROUP BY ALL""",
+    "stream_facts": f"""WITH {_timed(_INC)}
         SELECT 'INC-' || incident_id AS crime_id, processing_time, crime_type, cedula_hash,
           date_partition, district FROM inc""",
-    "stream_resumed_and_replayed": f"""WITH {_INC}
+    "stream_resumed_and_replayed": f"""WITH {_timed(_INC)}
         SELECT date_partition, 2 * count(*) AS facts FROM inc GROUP BY ALL""",
     "stream_live_feed": """
         WITH RECURSIVE kept(id, added_at) AS (
-          SELECT user_id, min(ts) FROM events GROUP BY user_id
+          SELECT user_id, min(ts) FROM events WHERE ts IS NOT NULL GROUP BY user_id
           UNION ALL
           SELECT k.id, min(e.ts) FROM kept k
           JOIN events e ON e.user_id = k.id AND e.ts >= k.added_at + INTERVAL 4 DAY
@@ -372,7 +389,32 @@ ORACLES: dict[str, str] = {
         FROM lots GROUP BY lot""",
     "trigger_volumes": f"""WITH {_INC}, {_LOTS}
         SELECT lot AS batch_id, count(*) AS input_rows FROM lots GROUP BY ALL""",
-    "stream_dedupe": "SELECT DISTINCT user_id AS id FROM events",
+    "stream_dedupe": """
+        SELECT DISTINCT user_id AS id FROM events WHERE ts IS NOT NULL
+        UNION ALL SELECT user_id FROM events WHERE ts IS NULL""",
+    "stream_replay_once": f"""WITH {_timed(_INC)}
+        SELECT date_partition, count(*) AS facts, count(*) AS counted FROM inc GROUP BY ALL""",
+    "stream_reporters": f"""WITH {_timed(_INC)}
+        SELECT date_partition, district, crime_type,
+          count(DISTINCT cedula_hash) AS reporters FROM inc GROUP BY ALL""",
+    "stream_expired": """
+        WITH RECURSIVE kept(id, added) AS (
+          SELECT user_id, min(ts) FROM events WHERE ts IS NOT NULL GROUP BY user_id
+          UNION ALL
+          SELECT k.id, min(e.ts) FROM kept k
+          JOIN events e ON e.user_id = k.id AND e.ts >= k.added + INTERVAL 4 DAY
+          GROUP BY k.id, k.added)
+        SELECT id, added, added + INTERVAL 4 DAY AS expired FROM kept
+        WHERE added + INTERVAL 4 DAY <= (SELECT date_trunc('millisecond', max(ts)) FROM events)
+          OR EXISTS (SELECT 1 FROM events e WHERE e.user_id = kept.id
+            AND e.ts >= kept.added + INTERVAL 4 DAY)""",
+    "stream_windowed_alerts": f"""WITH {_timed(_WINDOWS)}
+        SELECT window_start, district, crime_type, n AS crime_count,
+          last_time AS alert_time, TRUE AS is_critical, 'CRITICAL' AS alert_level,
+          'ALERTA: ' || n || ' casos de ' || crime_type || ' en ' || district
+            AS alert_message
+        FROM days WHERE n >= {_case("crime_type", WINDOW_THRESHOLDS)}
+          AND window_start + INTERVAL 6 HOUR <= {_NOW}""",
     # reports
     "report_incidents": f"""WITH {_POINTS}
         SELECT id, lat, lon, type, district, timestamp FROM points
@@ -397,6 +439,66 @@ ORACLES: dict[str, str] = {
     "quarantine": f"""WITH {_INC}
         SELECT 'INC-' || incident_id AS crime_id, crime_type, district FROM inc
         WHERE incident_id % 7 = 0""",
+    # commits, compaction and versions
+    "compacted_facts": f"""WITH {_timed(_INC)}, seen AS (
+          SELECT date_partition, district, count(*) AS facts, sum(incident_id)::BIGINT AS ids,
+            count(DISTINCT incident_id % 4) AS lots FROM inc GROUP BY ALL),
+        whole AS (SELECT date_partition, max(lots) > 1 AS several FROM (
+          SELECT date_partition, count(DISTINCT incident_id % 4) AS lots FROM inc GROUP BY ALL)
+          GROUP BY ALL)
+        SELECT phase, date_partition, district, facts, ids,
+          CASE WHEN phase IN ('before', 'interrupted') OR NOT several THEN lots ELSE 1 END
+            AS batch_keys
+        FROM seen JOIN whole USING (date_partition),
+          (VALUES ('before'), ('interrupted'), ('packed'), ('swept')) v(phase)""",
+    "manifest_census": f"""WITH {_timed(_INC)}
+        SELECT date_partition, district, count(DISTINCT hour(processing_time) >= 12) AS file_count,
+          count(*) AS row_count,
+          CASE WHEN max(hour(processing_time)) >= 12 THEN 'lot-000000000001'
+            ELSE 'lot-000000000000' END AS newest_key,
+          min(processing_time) AS least, max(processing_time) AS greatest
+        FROM inc GROUP BY ALL""",
+    "manifest_latest_files": f"""WITH {_timed(_INC)}, halves AS (
+          SELECT *, hour(processing_time) >= 12 AS late,
+            bool_or(hour(processing_time) >= 12) OVER (PARTITION BY date_partition, district)
+              AS has_late FROM inc)
+        SELECT CAST(incident_id AS VARCHAR) AS crime_data, district, date_partition,
+          CASE WHEN late THEN 'lot-000000000001' ELSE 'lot-000000000000' END AS batch_key
+        FROM halves WHERE late = has_late""",
+    "manifest_pruned_scan": f"""WITH {_timed(_INC)}, files AS (
+          SELECT date_partition, district, hour(processing_time) // 6 AS lot,
+            min(processing_time) AS least, max(processing_time) AS greatest FROM inc GROUP BY ALL)
+        SELECT CAST(incident_id AS VARCHAR) AS crime_data, district, processing_time,
+          'lot-00000000000' || (hour(processing_time) // 6) AS batch_key,
+          (SELECT count(*) FROM files WHERE greatest > {_SIX_HOURS_AGO}) AS files_opened
+        FROM inc WHERE processing_time > {_SIX_HOURS_AGO}""",
+    "skipped_file_ledger": f"""WITH {_timed(_INC)}, files AS (
+          SELECT date_partition, district,
+            'lot-00000000000' || (hour(processing_time) // 12) AS batch_key, count(*) AS row_count
+          FROM inc WHERE date_partition = (SELECT max(date_partition) FROM inc) GROUP BY ALL),
+        hit AS (
+          SELECT *, CASE WHEN district = 'Center' THEN 'corrupt' ELSE 'vanished' END AS reason
+          FROM files WHERE (district = 'Center' AND batch_key = 'lot-000000000000')
+            OR (district = 'North' AND batch_key = 'lot-000000000001'))
+        SELECT *, (SELECT count(*) FROM inc) - (SELECT sum(row_count) FROM hit)::BIGINT AS rows_left,
+          (SELECT count(*) FROM inc) AS rows_listed FROM hit""",
+    "snapshot_versions": f"""WITH {_timed(_DAYS)}, recent AS (
+          SELECT DISTINCT date_partition AS d FROM inc ORDER BY 1 DESC LIMIT 2)
+        SELECT phase, date_partition, district, crime_type,
+          CASE WHEN phase = 'whole' OR (phase = 'two days' AND date_partition IN (FROM recent))
+            THEN n ELSE 2 * n END AS crime_count
+        FROM days, (VALUES ('doubled'), ('two days'), ('whole')) v(phase)""",
+    "category_lookup_collated": f"""
+        SELECT event_id AS incident_id, upper(translate(event_type, 'ciehuo', 'çïêĥüö')) AS type,
+          {_case("strip_accents(lower(translate(event_type, 'ciehuo', 'çïêĥüö')))", EVENT_COLORS,
+                 "'#666666'")} AS color FROM events""",
+    "category_counts_collated": """
+        WITH spelt AS (
+          SELECT event_type, CASE event_id % 4 WHEN 0 THEN event_type WHEN 1 THEN upper(event_type)
+            WHEN 2 THEN translate(event_type, 'ciehuo', 'çïêĥüö')
+            ELSE upper(translate(event_type, 'ciehuo', 'çïêĥüö')) END AS type FROM events)
+        SELECT min(type) AS type, count(DISTINCT type) AS spellings, count(*) AS n
+        FROM spelt GROUP BY event_type""",
     # orders
     "order_statistics": f"WITH {_ORDERS} SELECT {_STATISTICS} FROM days",
     "order_density": f"""WITH {_ORDERS}

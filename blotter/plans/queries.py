@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from blotter.functions import age_label, age_seconds, area_from_message, minute_bucket, seconds
 from blotter.operators import alerts, cells, density, envelope, feeds, lookups, ranking, rollups
@@ -23,6 +25,8 @@ from blotter.schema import (
     FACT_SCHEMA,
     FACTS,
     NAMES,
+    REPORTERS,
+    REPORTERS_SCHEMA,
     SOURCE_SCHEMA,
     STATISTICS,
     STATISTICS_SCHEMA,
@@ -30,8 +34,15 @@ from blotter.schema import (
     TEMPORAL_SCHEMA,
     with_batch_key,
 )
-from blotter.session import cut_lineage, work_folder
+from blotter.session import cut_lineage, file_system, remove_folder, work_folder, work_folders
+from blotter.sinks.commits import file_rows, write_commit
+from blotter.sinks.compaction import compact, sweep
+from blotter.sinks.keys import batch_key
+from blotter.sinks.snapshots import publish
 from blotter.sinks.tables import append_rows, replace_partitions, replace_table, write_batch
+from blotter.sources import commits
+from blotter.sources.commits import live_files
+from blotter.sources.skipped import set_aside, skipped_files
 from blotter.sources.streams import read_file_stream
 from blotter.sources.tables import (
     discover_areas,
@@ -40,12 +51,15 @@ from blotter.sources.tables import (
     list_files,
     read_days,
     read_files,
+    read_listed,
     read_table,
     sample_read,
 )
 from blotter.streaming import job as streaming_job
+from blotter.streaming.expiry import expired_markers
 from blotter.streaming.live import BUCKET, dedupe_live, observe_feed, start_live_feed
 from blotter.streaming.progress import batch_volume, recent_volume
+from blotter.streaming.windows import finished_alerts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -629,29 +643,56 @@ def replaced_partitions(spark, sf_dir):
 
 # ---------------------------------------------------------------- streaming
 
-# The events arrive in four files, cut inside a day, one file per micro-batch.
-CUTS = ("2024-01-08 06:00:00", "2024-01-15 12:00:00", "2024-01-23 18:00:00")
+# The events arrive in lots of about equal size, cut by the clock.
+LOTS = 4
 FEED_TTL = 4 * DAY
-_JOBS: dict[tuple, streaming_job.Job] = {}
 
 
-def _write_lots(spark: SparkSession, sf_dir: str, path: str, lots: range) -> None:
-    """Some of the four files, in order of time; the stream takes them in order of writing."""
-    events = ev.table(spark, sf_dir, "events")
-    lot = sum((F.col("ts") >= F.lit(cut).cast("timestamp_ntz")).cast("int") for cut in CUTS)
+def _lot(spark: SparkSession, sf_dir: str) -> Column:
+    """The lot of an event: how many quantiles of the clock, in whole hours, lie before its hour.
+
+    Events without a clock are in the first lot. One row per hour of the data is put in order.
+    """
+    events = ev.table(spark, sf_dir, "events").where("ts IS NOT NULL")
+    hours = events.groupBy(F.date_trunc("hour", "ts").alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    run = hours.select(
+        "hour",
+        F.sum("n").over(Window.orderBy("hour")).alias("upto"),
+        F.sum("n").over(everything).alias("all"),
+    )
+    quantiles = [
+        F.min(F.when(LOTS * F.col("upto") >= i * F.col("all"), F.col("hour"))) for i in range(1, LOTS)
+    ]
+    cuts = run.agg(*quantiles).first()
+    after = [F.date_trunc("hour", "ts") > F.lit(c) for c in cuts if c is not None]
+    return sum((F.coalesce(a, F.lit(False)).cast("int") for a in after), F.lit(0))
+
+
+def _each_lot(
+    spark: SparkSession,
+    sf_dir: str,
+    path: str,
+    start: Callable[[], StreamingQuery],
+    lots: Iterable[int] = range(LOTS),
+) -> list[StreamingQuery]:
+    """Add the lots to the folder one by one, each in as many files as Spark writes, and let a
+    resumed stream drain each: one micro-batch a lot. Lots without rows are left out."""
+    lot, runs = _lot(spark, sf_dir), []
     for i in lots:
-        events.where(lot == i).coalesce(1).write.mode("append").parquet(path)
+        part = ev.table(spark, sf_dir, "events").where(lot == i)
+        if not part.isEmpty():
+            part.write.mode("append").parquet(path)
+            runs.append(start())
+            runs[-1].awaitTermination()
+    return runs
 
 
-def _event_stream(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
-    schema = ev.table(spark, sf_dir, "events").schema
-    if path is None:
-        path = work_folder(spark, "lots")
-        _write_lots(spark, sf_dir, path, range(4))
-    return read_file_stream(spark, path, schema, max_files_per_batch=1)
+def _event_stream(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    return read_file_stream(spark, path, ev.table(spark, sf_dir, "events").schema)
 
 
-def _record_stream(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+def _record_stream(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
     raw = ev.source_rows(ev.as_incidents(_event_stream(spark, sf_dir, path)))
     typed = raw.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     return envelope.decode_records(
@@ -659,30 +700,37 @@ def _record_stream(spark: SparkSession, sf_dir: str, path: str | None = None) ->
     )
 
 
-def _new_job(spark: SparkSession, mode: str) -> streaming_job.Job:
+def _new_job(spark: SparkSession, mode: str, **options) -> streaming_job.Job:
     return streaming_job.Job(
         root=work_folder(spark, "stream"),
         mode=mode,
         thresholds=ev.EVENT_THRESHOLDS,
         universe=ev.EVENT_UNIVERSE,
         fold=2,
+        pack_every=2,
+        **options,
+    )
+
+
+def _drain(
+    spark: SparkSession, sf_dir: str, path: str, job: streaming_job.Job, checkpoint: str = "checkpoint"
+) -> StreamingQuery:
+    return streaming_job.start(
+        _record_stream(spark, sf_dir, path), job, f"{job.root}-{checkpoint}", trigger_seconds=None
     )
 
 
-def _run_job(spark: SparkSession, sf_dir: str, mode: str) -> streaming_job.Job:
-    """A job that has taken all events in four batches; run once per session and tables."""
-    key = (spark.sparkContext.applicationId, sf_dir, mode)
-    if key not in _JOBS:
-        job = _new_job(spark, mode)
-        streaming_job.start(
-            _record_stream(spark, sf_dir), job, f"{job.root}-checkpoint", trigger_seconds=None
-        ).awaitTermination()
-        _JOBS[key] = job
-    return _JOBS[key]
+def _run_job(spark: SparkSession, sf_dir: str, mode: str, **options) -> streaming_job.Job:
+    """A job that has taken all events, a micro-batch for each lot."""
+    job = _new_job(spark, mode, **options)
+    with work_folders(spark, "lots") as [path]:
+        _each_lot(spark, sf_dir, path, partial(_drain, spark, sf_dir, path, job))
+    remove_folder(spark, f"{job.root}-checkpoint")
+    return job
 
 
-def _stored(spark: SparkSession, sf_dir: str, table: str, schema) -> DataFrame:
-    job = _run_job(spark, sf_dir, streaming_job.CUMULATIVE)
+def _stored(spark: SparkSession, sf_dir: str, table: str, schema, **options) -> DataFrame:
+    job = _run_job(spark, sf_dir, streaming_job.CUMULATIVE, **options)
     return _plain(read_table(spark, job.path(table), schema))
 
 
@@ -731,30 +779,75 @@ def stream_facts(spark, sf_dir):
     return _plain(facts.select(payload, *facts.drop("crime_data", "kafka_timestamp").columns))
 
 
+def _facts_per_day(spark: SparkSession, job: streaming_job.Job) -> DataFrame:
+    facts = read_table(spark, job.path(FACTS), FACT_SCHEMA)
+    return facts.groupBy("date_partition").agg(F.count(F.lit(1)).alias("facts"))
+
+
 @query
 def stream_resumed_and_replayed(spark, sf_dir):
-    """Facts per day after a timed run over two files, a resumed one over all four and a replay
+    """Facts per day after a timed run over two lots, a resumed one over all and a replay
     under a new checkpoint: every row twice, none more."""
-    path, job = work_folder(spark, "lots"), _new_job(spark, streaming_job.CUMULATIVE)
-    _write_lots(spark, sf_dir, path, range(2))
-    timed = streaming_job.start(
-        _record_stream(spark, sf_dir, path), job, f"{job.root}-checkpoint", trigger_seconds=1
+    job = _new_job(spark, streaming_job.CUMULATIVE)
+
+    def timed() -> StreamingQuery:
+        query = streaming_job.start(
+            _record_stream(spark, sf_dir, path), job, f"{job.root}-checkpoint", trigger_seconds=1
+        )
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+        return query
+
+    with work_folders(spark, "lots") as [path]:
+        _each_lot(spark, sf_dir, path, timed, range(LOTS // 2))
+        _each_lot(spark, sf_dir, path, partial(_drain, spark, sf_dir, path, job), range(LOTS // 2, LOTS))
+        _drain(spark, sf_dir, path, job, "replay").awaitTermination()
+    return _facts_per_day(spark, job)
+
+
+@query
+def stream_replay_once(spark, sf_dir):
+    """Facts and counted rows per day when a replay under a new checkpoint meets what two lots have
+    stored already: only offsets that are not stored are written, so every row is there once."""
+    job = _new_job(spark, streaming_job.CUMULATIVE, once=True, topic="incidents")
+    with work_folders(spark, "lots") as [path]:
+        _each_lot(spark, sf_dir, path, partial(_drain, spark, sf_dir, path, job), range(LOTS // 2))
+        replayed = partial(_drain, spark, sf_dir, path, job, "replay")
+        _each_lot(spark, sf_dir, path, replayed, range(LOTS // 2, LOTS))
+    counted = read_table(spark, job.path(STATISTICS), STATISTICS_SCHEMA).groupBy("date_partition")
+    return _facts_per_day(spark, job).join(
+        counted.agg(F.sum("crime_count").alias("counted")), "date_partition", "full"
     )
-    try:
-        timed.processAllAvailable()
-    finally:
-        timed.stop()
-    _write_lots(spark, sf_dir, path, range(2, 4))
-    for checkpoint in (f"{job.root}-checkpoint", f"{job.root}-replay"):
-        streaming_job.start(
-            _record_stream(spark, sf_dir, path), job, checkpoint, trigger_seconds=None
-        ).awaitTermination()
-    facts = read_table(spark, job.path(FACTS), FACT_SCHEMA)
-    return facts.groupBy("date_partition").agg(F.count(F.lit(1)).alias("facts"))
 
 
-def _arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ev.as_incidents(_event_stream(spark, sf_dir)).select(
+@query
+def stream_reporters(spark, sf_dir):
+    """Distinct reporters over all batches, from mergeable cells on their exact path."""
+    rows = _stored(spark, sf_dir, REPORTERS, REPORTERS_SCHEMA, reporters=streaming_job.EXACT)
+    return rows.select("date_partition", "district", "crime_type", "reporters")
+
+
+def _to_files(
+    spark: SparkSession, sf_dir: str, made: Callable[[DataFrame], DataFrame], schema: str
+) -> tuple[DataFrame, list[StreamingQuery]]:
+    """What a stream over the arrivals writes, append mode, and its runs."""
+    out = work_folder(spark, "out")
+
+    def start() -> StreamingQuery:
+        stream = made(_event_stream(spark, sf_dir, path))
+        sink = stream.writeStream.format("parquet").option("path", out)
+        return sink.option("checkpointLocation", f"{out}-checkpoint").trigger(availableNow=True).start()
+
+    with work_folders(spark, "lots") as [path]:
+        runs = _each_lot(spark, sf_dir, path, start)
+    remove_folder(spark, f"{out}-checkpoint")
+    return spark.read.schema(schema).parquet(out) if runs else spark.createDataFrame([], schema), runs
+
+
+def _as_arrivals(events: DataFrame) -> DataFrame:
+    return ev.as_incidents(events).select(
         F.col("user_id").alias("id"), F.col("processing_time").cast("timestamp").alias("added_at")
     )
 
@@ -763,37 +856,63 @@ def _arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_live_feed(spark, sf_dir):
     """A reporter is stored on first arrival and again after each time to live of four days."""
     path = work_folder(spark, "feed")
-    start_live_feed(
-        _arrivals(spark, sf_dir),
-        path,
-        f"{path}-checkpoint",
-        ttl_seconds=FEED_TTL,
-        trigger_seconds=None,
-    ).awaitTermination()
-    stored = spark.read.schema(f"id bigint, added_at timestamp, {BUCKET} string").parquet(path)
-    return _plain(stored.select("id", "added_at"))
-
-
-def _observed(spark: SparkSession, sf_dir: str):
-    """A finished query over the four files that counts what passes."""
-    noon = "hour(added_at) >= 12"
-    path = work_folder(spark, "observed")
-    running = (
-        observe_feed(_arrivals(spark, sf_dir), "feed", expired=noon)
-        .writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", f"{path}-checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    running.awaitTermination()
-    return running
+
+    def start() -> StreamingQuery:
+        return start_live_feed(
+            _as_arrivals(_event_stream(spark, sf_dir, lots)),
+            path,
+            f"{path}-checkpoint",
+            ttl_seconds=FEED_TTL,
+            trigger_seconds=None,
+        )
+
+    with work_folders(spark, "lots") as [lots]:
+        _each_lot(spark, sf_dir, lots, start)
+    remove_folder(spark, f"{path}-checkpoint")
+    schema = spark.createDataFrame([], f"id bigint, added_at timestamp, {BUCKET} string").schema
+    return _plain(read_table(spark, path, schema).select("id", "added_at"))
+
+
+@query
+def stream_expired(spark, sf_dir):
+    """Stays in the live set that a later arrival or the watermark has ended, with their end."""
+    rows, _ = _to_files(
+        spark,
+        sf_dir,
+        lambda events: expired_markers(_as_arrivals(events), FEED_TTL),
+        "id bigint, added timestamp, expired timestamp",
+    )
+    return _plain(rows)
+
+
+@query
+def stream_windowed_alerts(spark, sf_dir):
+    """Alerts of the six-hour windows that the watermark has finished, each window once."""
+    rows, _ = _to_files(
+        spark,
+        sf_dir,
+        lambda events: finished_alerts(ev.as_incidents(events), 6 * HOUR, ev.WINDOW_THRESHOLDS),
+        "window_start timestamp, district string, crime_type string, crime_count bigint, "
+        "alert_time timestamp, is_critical boolean, alert_level string, alert_message string",
+    )
+    return _plain(rows)
+
+
+def _observed(spark: SparkSession, sf_dir: str) -> list[StreamingQuery]:
+    """Finished runs over the lots that count what passes."""
+    _, runs = _to_files(
+        spark,
+        sf_dir,
+        lambda events: observe_feed(_as_arrivals(events), "feed", expired="hour(added_at) >= 12"),
+        "id bigint, added_at timestamp",
+    )
+    return runs
 
 
 @query
 def observed_feed(spark, sf_dir):
     """Rows that passed and rows of the afternoon, as each batch's own metrics tell."""
-    found = [p.observedMetrics["feed"] for p in _observed(spark, sf_dir).recentProgress]
+    found = [p.observedMetrics["feed"] for run in _observed(spark, sf_dir) for p in run.recentProgress]
     rows = [(int(m["added_count"]), int(m["expired_count"])) for m in found]
     counts = spark.createDataFrame(rows, "added_count bigint, expired_count bigint")
     return counts.where("added_count > 0")
@@ -802,25 +921,22 @@ def observed_feed(spark, sf_dir):
 @query
 def trigger_volumes(spark, sf_dir):
     """Input rows of every trigger with rows, as the running query reports them."""
-    volumes = recent_volume(_observed(spark, sf_dir))
+    volumes = [v for run in _observed(spark, sf_dir) for v in recent_volume(run)]
     rows = [(v["batch_id"], v["input_rows"]) for v in volumes]
     return spark.createDataFrame(rows, "batch_id bigint, input_rows bigint").where("input_rows > 0")
 
 
 @query
 def stream_dedupe(spark, sf_dir):
-    """With a time to live longer than the data each reporter passes once, in its first batch."""
-    path = work_folder(spark, "dedupe")
-    running = (
-        dedupe_live(_arrivals(spark, sf_dir), ["id"], 31 * DAY)
-        .writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", f"{path}-checkpoint")
-        .trigger(availableNow=True)
-        .start()
+    """With a time to live longer than the data each reporter passes once, in its first batch;
+    rows without a time are in no window and all pass."""
+    rows, _ = _to_files(
+        spark,
+        sf_dir,
+        lambda events: dedupe_live(_as_arrivals(events), ["id"], 1000 * DAY),
+        "id bigint, added_at timestamp",
     )
-    running.awaitTermination()
-    return spark.read.schema("id bigint, added_at timestamp").parquet(path).select("id")
+    return rows.select("id")
 
 
 # ----------------------------------------------------------------- reports
@@ -892,6 +1008,183 @@ def quarantine(spark, sf_dir):
     )
 
 
+# ------------------------------------------- commits, compaction and versions
+
+_KEYED = ("date_partition", "district", "batch_key")
+
+
+def _commit_lots(spark: SparkSession, sf_dir: str, lot: Column, lots: int) -> str:
+    """Root of a job whose facts were written and committed in so many batches."""
+    root = work_folder(spark, "commits")
+    rows = _fact_rows(spark, sf_dir).withColumn("__lot", lot).where("date_partition IS NOT NULL")
+    days = [r[0] for r in rows.select("date_partition").distinct().collect()]
+    for i in range(lots):
+        key = batch_key("lot", i)
+        write_batch(rows.where(F.col("__lot") == i).drop("__lot"), f"{root}/{FACTS}", key)
+        part = file_rows(spark, root, FACTS, FACT_SCHEMA, NAMES.clock, key, days)
+        write_commit(spark, root, key, [part])
+    return root
+
+
+def _id_number() -> Column:
+    return F.col("crime_data").cast("bigint")
+
+
+@query
+def compacted_facts(spark, sf_dir):
+    """Rows, ids and batch keys per day and area before a compaction, after one that was
+    interrupted before its commit, after a whole one, and after the old folders are deleted."""
+    root = _commit_lots(spark, sf_dir, _id_number() % 4, 4)
+    path = f"{root}/{FACTS}"
+    days = [r[0] for r in live_files(spark, path).select("date_partition").distinct().collect()]
+
+    def seen(phase: str) -> DataFrame:
+        facts = read_table(spark, path, FACT_SCHEMA).groupBy("date_partition", "district")
+        keys = live_files(spark, path).groupBy("date_partition", "district")
+        return cut_lineage(
+            facts.agg(F.count(F.lit(1)).alias("facts"), F.sum(_id_number()).alias("ids"))
+            .join(
+                keys.agg(F.count_distinct("batch_key").alias("batch_keys")),
+                ["date_partition", "district"],
+            )
+            .withColumn("phase", F.lit(phase))
+        )
+
+    def pack(number: int, **options) -> None:
+        tables = {FACTS: (FACT_SCHEMA, NAMES.clock)}
+        compact(spark, root, tables, days, "lot", number, running=False, **options)
+
+    def interrupt() -> None:
+        raise InterruptedError
+
+    phases = [seen("before")]
+    try:
+        pack(4, before_commit=interrupt)
+    except InterruptedError:
+        phases.append(seen("interrupted"))
+    pack(4)
+    phases.append(seen("packed"))
+    sweep(spark, path, grace_seconds=0)
+    phases.append(seen("swept"))
+    return reduce(DataFrame.unionByName, phases)
+
+
+@query
+def manifest_census(spark, sf_dir):
+    """Files, newest lot, rows and clock bounds of each day and area, from the commits alone."""
+    root = _commit_lots(spark, sf_dir, (F.hour("processing_time") >= 12).cast("int"), 2)
+    census = commits.manifest_census(live_files(spark, f"{root}/{FACTS}"))
+    newest = F.regexp_extract("newest_file", "batch_key=([^/]*)", 1).alias("newest_key")
+    return _plain(
+        census.where("total_bytes > 0").select(
+            "date_partition", "district", "file_count", "row_count", newest, "least", "greatest"
+        )
+    )
+
+
+@query
+def manifest_latest_files(spark, sf_dir):
+    """Rows of the newest file of each day and area, found in the commits: no folder is listed."""
+    root = _commit_lots(spark, sf_dir, (F.hour("processing_time") >= 12).cast("int"), 2)
+    path = f"{root}/{FACTS}"
+    newest = latest_files(live_files(spark, path), 1, group=_KEYED[:2])
+    rows = read_listed(spark, path, newest, with_batch_key(FACT_SCHEMA))
+    return rows.select("crime_data", "district", "date_partition", "batch_key")
+
+
+@query
+def manifest_pruned_scan(spark, sf_dir):
+    """Facts of the last six hours, of files that can hold some, with the files' lots."""
+    root = _commit_lots(spark, sf_dir, F.floor(F.hour("processing_time") / 6).cast("int"), 4)
+    path = f"{root}/{FACTS}"
+    now = _newest(_feed(spark, sf_dir).withColumn("added_at", F.col("added_at").cast("timestamp")))
+    files = live_files(spark, path, since=now - seconds(6 * HOUR), until=now)
+    rows = read_listed(spark, path, files, with_batch_key(FACT_SCHEMA))
+    live = feeds.live_rows(rows, now, 6 * HOUR, "processing_time")
+    opened = files.agg(F.count_distinct(*_KEYED).alias("files_opened"))
+    return _plain(
+        live.select("crime_data", "district", "processing_time", "batch_key").crossJoin(opened)
+    )
+
+
+@query
+def skipped_file_ledger(spark, sf_dir):
+    """Of facts in two lots, one file of the newest day is broken and one is deleted: both are
+    named with their reason and rows, and rows read and rows skipped add up."""
+    root = _commit_lots(spark, sf_dir, (F.hour("processing_time") >= 12).cast("int"), 2)
+    path = f"{root}/{FACTS}"
+    files = live_files(spark, path)
+    newest = files.agg(F.max("date_partition")).first()[0]
+    for area, key, content in (("Center", batch_key("lot", 0), b"no footer"), ("North", batch_key("lot", 1), None)):
+        hit = files.where(
+            (F.col("date_partition") == newest) & (F.col("district") == area) & (F.col("batch_key") == key)
+        )
+        for row in hit.collect():
+            system, where = file_system(spark, row.file_path)
+            system.delete(where, False)
+            if content:
+                out = system.create(where, True)
+                out.write(bytearray(content))
+                out.close()
+    skipped = cut_lineage(skipped_files(spark, path, files, FACT_SCHEMA))
+    set_aside(spark, path, skipped)
+    read = read_listed(spark, path, files, FACT_SCHEMA, tolerant=True)
+    sums = read.agg(F.count(F.lit(1)).alias("rows_left")).crossJoin(
+        files.agg(F.sum("row_count").alias("rows_listed"))
+    )
+    return skipped.select("date_partition", "district", "batch_key", "reason", "row_count").crossJoin(sums)
+
+
+@query
+def snapshot_versions(spark, sf_dir):
+    """Doubled counts are replaced, first two days by the right ones, then the whole table; each
+    reader sees the version it began with."""
+    path = work_folder(spark, "versions")
+    incidents = ev.incidents(spark, sf_dir).where("processing_time IS NOT NULL")
+
+    def counted(records: DataFrame) -> DataFrame:
+        rows = rollups.statistics(cells.day_cells(records))
+        return rows.withColumn("last_updated", F.col("last_updated").cast("timestamp"))
+
+    def reader(phase: str) -> DataFrame:
+        rows = read_table(spark, path, STATISTICS_SCHEMA).withColumn("phase", F.lit(phase))
+        return rows.select("phase", "date_partition", "district", "crime_type", "crime_count")
+
+    publish(counted(incidents.unionByName(incidents)), path)
+    readers = [reader("doubled")]
+    day = F.col("date_partition")
+    days = counted(incidents).select(day).distinct().orderBy(day.desc()).limit(2)
+    publish(counted(incidents), path, [r[0] for r in days.collect()])
+    readers.append(reader("two days"))
+    publish(counted(incidents), path)
+    readers.append(reader("whole"))
+    return reduce(DataFrame.unionByName, readers)
+
+
+@query
+def category_lookup_collated(spark, sf_dir):
+    """Accents that no list names, in capitals: a collation finds the plain keys."""
+    rows = ev.incidents(spark, sf_dir).select(
+        "incident_id", F.upper(F.translate("crime_type", "ciehuo", "çïêĥüö")).alias("type")
+    )
+    return lookups.category_attribute(rows, "type", ev.EVENT_COLORS, collation="UNICODE_CI_AI")
+
+
+@query
+def category_counts_collated(spark, sf_dir):
+    """Four spellings of every category count as one."""
+    spelt = F.translate("crime_type", "ciehuo", "çïêĥüö")
+    turn = F.col("incident_id") % 4
+    rows = ev.incidents(spark, sf_dir).select(
+        F.when(turn == 0, F.col("crime_type"))
+        .when(turn == 1, F.upper("crime_type"))
+        .when(turn == 2, spelt)
+        .otherwise(F.upper(spelt))
+        .alias("type")
+    )
+    return lookups.collated_counts(rows)
+
+
 # ------------------------------------------------------- a second vocabulary
 
 

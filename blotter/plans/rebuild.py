@@ -7,10 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from blotter.operators.cells import hour_cells
+from blotter.operators.rollups import reporter_cells
 from blotter.schema import FACT_SCHEMA, FACTS
 from blotter.session import cut_lineage, work_folders
 from blotter.sources.tables import read_days, read_table
-from blotter.streaming.job import Job, check_zone, write_rollups
+from blotter.streaming.job import (
+    EXACT,
+    NO_REPORTERS,
+    Job,
+    check_zone,
+    derive_reporters,
+    derive_rollups,
+    write_rollups,
+)
 
 
 def rebuild_rollups(
@@ -29,4 +38,7 @@ def rebuild_rollups(
     else:
         facts = read_days(spark, job.path(FACTS), days, FACT_SCHEMA)
     with work_folders(spark, "rebuild") as [path]:
-        write_rollups(spark, job, cut_lineage(hour_cells(facts), path), days)
+        tables = derive_rollups(cut_lineage(hour_cells(facts), path), job.universe)
+        if job.reporters != NO_REPORTERS:
+            tables |= derive_reporters(job, reporter_cells(facts, job.reporters == EXACT))
+        write_rollups(spark, job, tables, days)

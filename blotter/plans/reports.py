@@ -39,12 +39,14 @@ from blotter.schema import (
     NAMES,
     with_batch_key,
 )
+from blotter.sources.commits import has_commits, live_files
 from blotter.sources.tables import (
     discover_areas,
     latest_files,
     list_files,
     read_days,
     read_files,
+    read_listed,
 )
 
 _BY_BATCH = (NAMES.date, NAMES.area, BATCH_KEY)
@@ -82,6 +84,12 @@ def _recent(
     """
     days = touched_days(spark, now, ttl_seconds)
     stored = with_batch_key(schema) if BATCH_KEY in partitions else schema
+    if has_commits(spark, path):
+        # The commits know which files can hold live rows; no other one is listed or opened.
+        files = live_files(spark, path, days, now - seconds(ttl_seconds), now)
+        if files_per_area is not None:
+            files = latest_files(files, files_per_area, (NAMES.date, NAMES.area))
+        return live_rows(read_listed(spark, path, files, stored, tolerant=True), now, ttl_seconds, clock)
     if files_per_area is None:
         rows = read_days(spark, path, days, stored, tolerant=True)
     else:
@@ -178,5 +186,7 @@ def density_report(
 
 def report_areas(spark: SparkSession, root: str, day: str) -> DataFrame:
     """The areas with stored facts on a day, or the fallback list while there are none."""
-    files = list_files(spark, f"{root}/{FACTS}", _BY_BATCH, day)
-    return discover_areas(files, FALLBACK_AREAS)
+    path = f"{root}/{FACTS}"
+    if has_commits(spark, path):
+        return discover_areas(live_files(spark, path, [day]), FALLBACK_AREAS)
+    return discover_areas(list_files(spark, path, _BY_BATCH, day), FALLBACK_AREAS)

@@ -80,6 +80,12 @@ DENSITY = "density-analysis"
 ALERTS = "real-time-alerts"
 CORRELATION = "correlation-analysis"
 CELLS = "hour-cells"
+REPORTER_CELLS = "reporter-cells"
+REPORTERS = "reporter-analysis"
+# What each batch has committed: its files and the source offsets it took.
+COMMITS = "commits"
+# The tables whose rows count only once they are committed.
+COMMITTED = (FACTS, ALERTS)
 # ----------------------------------------------------------------------------
 
 _BIGINT, _BINARY, _BOOLEAN, _DOUBLE = T.LongType(), T.BinaryType(), T.BooleanType(), T.DoubleType()
@@ -171,6 +177,29 @@ CELL_SCHEMA = _struct(
     date_partition=_STRING,
 )
 
+REPORTERS_SCHEMA = _struct(
+    district=_STRING, crime_type=_STRING, reporters=_BIGINT, date_partition=_STRING
+)
+
+# One row per file, per key that a compaction replaced on a day, and per run of source offsets.
+COMMIT_SCHEMA = _struct(
+    kind=_STRING,
+    table=_STRING,
+    key=_STRING,
+    date_partition=_STRING,
+    district=_STRING,
+    file_uri=_STRING,
+    modified=_TIME,
+    file_size=_BIGINT,
+    row_count=_BIGINT,
+    least=_TIME,
+    greatest=_TIME,
+    topic=_STRING,
+    source_partition=_INT,
+    first_offset=_BIGINT,
+    last_offset=_BIGINT,
+)
+
 
 def with_batch_key(schema: T.StructType) -> T.StructType:
     """The same table with the partition column of the idempotent sinks."""

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
@@ -44,9 +46,29 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="blotter-")
 
 
+# Folders of this process that are deleted when it ends, with the session that made them.
+_OWNED: dict[str, SparkSession] = {}
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder name below the shared folder."""
-    return f"{shared_folder(spark)}/blotter-{purpose}-{uuid.uuid4().hex}"
+    """A fresh folder name below the shared folder.
+
+    Whoever asks for it deletes it when nothing reads it any more; what is left, such as the
+    tables behind a result that is still to be read, goes when the process ends.
+    """
+    path = f"{shared_folder(spark)}/blotter-{purpose}-{uuid.uuid4().hex}"
+    _OWNED[path] = spark
+    return path
+
+
+@atexit.register
+def remove_owned() -> None:
+    """Delete all folders that this process made and still owns."""
+    for path, spark in list(_OWNED.items()):
+        try:
+            remove_folder(spark, path)
+        except Exception:  # the JVM may be gone already
+            _OWNED.pop(path, None)
 
 
 def cut_lineage(df: DataFrame, path: str | None = None) -> DataFrame:
@@ -69,6 +91,40 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder and all below it; an absent one is fine."""
     system, where = file_system(spark, path)
     system.delete(where, True)
+    _OWNED.pop(path, None)
+
+
+def folder_age(spark: SparkSession, path: str) -> float:
+    """Seconds since a folder was last changed; 0 if it is absent."""
+    system, where = file_system(spark, path)
+    if not system.exists(where):
+        return 0.0
+    return max(0.0, time.time() - system.getFileStatus(where).getModificationTime() / 1000)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; None if it is absent."""
+    system, where = file_system(spark, path)
+    if not system.exists(where):
+        return None
+    stream = system.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, in place of an older one."""
+    system, where = file_system(spark, path)
+    out = system.create(where, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, where = file_system(spark, path)
+    return system.exists(where)
 
 
 def subfolders(spark: SparkSession, path: str) -> list[str]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from blotter.schema import BATCH_KEY, NAMES
 from blotter.session import file_system, remove_folder
-from blotter.sources.tables import list_files
+from blotter.sources.tables import day_pattern, list_files
 
 DAY = (NAMES.date,)
 DAY_AREA = (NAMES.date, NAMES.area)
@@ -97,10 +97,6 @@ def _without_rows(files: DataFrame, kept: DataFrame, partitions: Sequence[str])
     return files.join(named, same, "left_anti")
 
 
-def _day_pattern(path: str, first: str, days: Sequence[str], below: str = "") -> str:
-    return f"{path}{{{','.join(f'/{first}={day}' for day in days)}}}{below}"
-
-
 def replace_days(
     df: DataFrame,
     path: str,
@@ -119,7 +115,7 @@ def replace_days(
     first = partitions[0]
     rows = df.where(F.col(first).isin(list(days)))
     replace_partitions(rows, path, partitions, compression, layout)
-    pattern = _day_pattern(path, first, days)
+    pattern = day_pattern(path, first, days)
     files = list_files(df.sparkSession, path, partitions, folder=pattern)
     _drop_stale(_without_rows(files, rows, partitions))
 
@@ -140,7 +136,7 @@ def write_batch(
     """
     keyed = df.withColumn(BATCH_KEY, F.lit(batch_key))
     below = "/*" * (len(partitions) - 1) + f"/{BATCH_KEY}={batch_key}"
-    pattern = _day_pattern(path, partitions[0], days, below)
+    pattern = day_pattern(path, partitions[0], days, below)
     system, where = file_system(df.sparkSession, pattern)
     attempted = bool(days) and bool(system.globStatus(where))
     replace_partitions(keyed, path, [*partitions, BATCH_KEY], compression, layout)

@@ -12,10 +12,15 @@ from pyspark.sql import types as T
 
 from blotter.operators.ranking import latest_overall, latest_per_group
 from blotter.schema import NAMES, Names
+from blotter.sources.commits import has_commits, live_files
+from blotter.sources.snapshots import VERSIONS, has_snapshots, snapshot_folders
 
 # The folder name Spark gives to a null partition value.
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
+# Listed files are opened by name up to this number; beyond it their folders are scanned.
+MOST_PATHS = 10_000
+
 # Fixed by Spark's binaryFile source.
 _FILE_FIELDS = [
     T.StructField("path", T.StringType()),
@@ -58,8 +63,14 @@ def read_table(
 ) -> DataFrame:
     """A whole table with a declared schema; an absent table reads as empty.
 
-    ``tolerant`` skips files that cannot be read and files that vanish during the scan.
+    ``tolerant`` skips files that cannot be read and files that vanish during the scan. Of a
+    job's table that is kept with commits only what is committed counts, each row once; of a
+    table in versions the newest one is read, also after a later one has come.
     """
+    if has_commits(spark, root):
+        return read_listed(spark, root, live_files(spark, root), schema, tolerant)
+    if has_snapshots(spark, root):
+        return _read_snapshot(spark, root, None, schema, tolerant)
     reader = _reader(spark, schema, tolerant)
     return _or_empty(spark, partial(reader.parquet, root), schema)
 
@@ -75,14 +86,68 @@ def read_days(
     """Only the given days of a table, or the given values of another first partition.
 
     Their folders are read by name in one scan, without listing the table. A day without a
-    folder has no rows.
+    folder has no rows. Tables with commits or versions are read as ``read_table`` reads them.
     """
-    # A slash inside the braces makes this a list of paths instead of a search of the root.
-    folders = ",".join(f"/{partition}={day}" for day in days)
+    days = list(days)
+    if partition == NAMES.date and has_commits(spark, root):
+        return read_listed(spark, root, live_files(spark, root, days), schema, tolerant)
+    if has_snapshots(spark, root):
+        return _read_snapshot(spark, root, days, schema, tolerant)
+    return raw_days(spark, root, days, schema, tolerant, partition)
+
+
+def _read_snapshot(
+    spark: SparkSession, root: str, days: Iterable[str] | None, schema: T.StructType, tolerant: bool
+) -> DataFrame:
+    folders = snapshot_folders(spark, root, days)
     if not folders:
         return spark.createDataFrame([], schema)
+    reader = _reader(spark, schema, tolerant).option("basePath", f"{root}/{VERSIONS}")
+    return _or_empty(spark, partial(reader.parquet, *folders), schema)
+
+
+def day_pattern(root: str, partition: str, days: Iterable[str], below: str = "") -> str:
+    """The folders of some days, or what lies below them, as one pattern."""
+    # A slash inside the braces makes this a list of paths instead of a search of the root.
+    return f"{root}{{{','.join(f'/{partition}={day}' for day in days)}}}{below}"
+
+
+def raw_days(
+    spark: SparkSession,
+    root: str,
+    days: Iterable[str],
+    schema: T.StructType,
+    tolerant: bool = False,
+    partition: str = NAMES.date,
+    below: str = "",
+) -> DataFrame:
+    """All that lies in the folders of the given days, committed or not, or below a pattern in them."""
+    days = list(days)
+    if not days:
+        return spark.createDataFrame([], schema)
     reader = _reader(spark, schema, tolerant).option("basePath", root)
-    return _or_empty(spark, partial(reader.parquet, f"{root}{{{folders}}}"), schema)
+    pattern = day_pattern(root, partition, days, below)
+    return _or_empty(spark, partial(reader.parquet, pattern), schema)
+
+
+def read_listed(
+    spark: SparkSession, root: str, files: DataFrame, schema: T.StructType, tolerant: bool = False
+) -> DataFrame:
+    """The rows of listed files, without listing a folder unless they are very many.
+
+    If some are not there any more, as after a folder was dropped, the others count.
+    """
+    paths = [r[0] for r in files.select("file_path").limit(MOST_PATHS + 1).collect()]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    if len(paths) <= MOST_PATHS:
+        reader = _reader(spark, schema, tolerant).option("basePath", root)
+        try:
+            return reader.parquet(*paths).select(*schema.names)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return read_files(spark, root, files, schema, tolerant)
 
 
 def list_files(

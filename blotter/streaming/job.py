@@ -9,29 +9,66 @@ from functools import partial, reduce
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from blotter.operators.alerts import critical_alerts
 from blotter.operators.cells import fold_to_days, hour_cells, merge_cells
 from blotter.operators.envelope import fact_rows, topic_rows
-from blotter.operators.rollups import correlation, density, statistics, temporal_profile
+from blotter.operators.rollups import REPORTERS as REPORTER_COLUMN
+from blotter.operators.rollups import (
+    correlation,
+    count_reporters,
+    density,
+    merge_reporters,
+    reporter_cells,
+    statistics,
+    temporal_profile,
+)
 from blotter.schema import (
+    ALERT_SCHEMA,
     ALERT_THRESHOLDS,
     ALERTS,
     BATCH_KEY,
     CATEGORY_UNIVERSE,
     CELL_SCHEMA,
     CELLS,
+    COMMITS,
     CORRELATION,
     DENSITY,
+    FACT_SCHEMA,
     FACTS,
     NAMES,
+    REPORTER_CELLS,
+    REPORTERS,
     STATISTICS,
     TEMPORAL,
     TRIGGER_SECONDS,
     with_batch_key,
 )
-from blotter.session import file_system, remove_folder, subfolders
+from blotter.session import exists, read_text, write_text
+from blotter.sinks.commits import (
+    adopt,
+    file_rows,
+    fold_commits,
+    offset_spans,
+    span_rows,
+    stored_spans,
+    without_spans,
+    write_commit,
+)
+from blotter.sinks.compaction import GRACE_SECONDS, TARGET_BYTES, compact
+from blotter.sinks.keys import (
+    FOLD,
+    LEVELS,
+    batch_key,
+    block_key,
+    fold_folders,
+    parsed_key,
+    stored_keys,
+    valid_keys,
+)
+from blotter.sinks.snapshots import publish
 from blotter.sinks.tables import (
     DAY,
     DAY_AREA,
@@ -42,13 +79,13 @@ from blotter.sinks.tables import (
     replace_table,
     write_batch,
 )
+from blotter.sources.commits import FOLD_FILE, committed_keys
 
 CUMULATIVE = "cumulative"
 LAST_BATCH = "last-batch"
+# How distinct reporters are kept over the batches.
+NO_REPORTERS, SKETCH, EXACT = "none", "sketch", "exact"
 
-# So many folders of cells of one level are folded into one of the next.
-FOLD = 32
-_LEVELS = 6
 # Names the session time zone that a job's days and hours were cut in.
 ZONE_FILE = "_time_zone"
 
@@ -57,8 +94,12 @@ ROLLUPS = {
     TEMPORAL: DAY_AREA,
     DENSITY: DAY,
     CORRELATION: DAY,
+    REPORTERS: DAY,
 }
 
+# The tables that are read through commits: their schema and clock.
+COMMITTED_TABLES = {FACTS: (FACT_SCHEMA, NAMES.clock), ALERTS: (ALERT_SCHEMA, "alert_time")}
+
 
 @dataclass(frozen=True)
 class Job:
@@ -76,6 +117,18 @@ class Job:
 
     ``fact_layout`` places the facts: the default rebalances them into few files; ``as-is``
     saves that shuffle where every source task fills whole files anyway.
+
+    With ``snapshots`` the rollup tables are kept in versions, so a reader sees either the old or the
+    new table; plain readers of their folders then see nothing. ``reporters`` keeps the distinct
+    reporters by date, area and category over the batches as well: ``sketch`` within about a percent
+    in a few kilobytes a cell, ``exact`` with a row for each.
+
+    A cumulative job commits each batch last, and readers take facts and alerts of committed
+    batches only. Every ``pack_every`` batches (0: never) the small files of the batch's days are
+    packed into files of up to ``pack_bytes``; what is replaced is deleted ``grace_seconds`` later. With
+    ``once`` the source offsets of ``topic`` are remembered, and rows that another stream, such as a
+    replay under a new checkpoint, has stored already are left out everywhere; one stream of
+    a job runs at a time.
     """
 
     root: str
@@ -87,12 +140,27 @@ class Job:
     compression: str = "gzip"
     fact_layout: str = REBALANCE
     fold: int = FOLD
+    snapshots: bool = False
+    reporters: str = NO_REPORTERS
+    once: bool = False
+    topic: str = ""
+    pack_every: int = FOLD
+    pack_bytes: int = TARGET_BYTES
+    grace_seconds: float = GRACE_SECONDS
 
     def __post_init__(self) -> None:
         if self.mode not in (CUMULATIVE, LAST_BATCH):
             raise ValueError(f"unknown mode {self.mode!r}")
+        if self.reporters not in (NO_REPORTERS, SKETCH, EXACT):
+            raise ValueError(f"unknown way to count reporters {self.reporters!r}")
         if self.fold < 2:
             raise ValueError("at least two folders are folded into one")
+        if self.once and self.mode != CUMULATIVE:
+            raise ValueError("only a cumulative job can tell what it has stored")
+
+    @property
+    def keeps_commits(self) -> bool:
+        return self.mode == CUMULATIVE
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -114,110 +182,131 @@ def check_zone(spark: SparkSession, job: Job) -> None:
 
     Days and hours of stored rows were cut in that zone; the first writer leaves its name.
     """
-    zone = spark.conf.get("spark.sql.session.timeZone")
-    system, path = file_system(spark, f"{job.root}/{ZONE_FILE}")
-    if system.exists(path):
-        stream = system.open(path)
-        try:
-            written = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        if written != zone:
-            raise ValueError(f"the tables were written in {written}, the session is in {zone}")
-        return
-    out = system.create(path, True)
-    out.write(bytearray(zone, "utf-8"))
-    out.close()
-
-
-# ------------------------------------------------------- folders of cells
-# "<stream>-<batch>" holds one batch, "<stream>-L<level>-<block>" a folded block of them.
+    _agree(spark, f"{job.root}/{ZONE_FILE}", spark.conf.get("spark.sql.session.timeZone"), "time zone")
 
 
-def batch_key(stream_id: str, batch_id: int) -> str:
-    return f"{stream_id}-{batch_id:012d}"
+def _agree(spark: SparkSession, path: str, value: str, name: str) -> None:
+    """The value that the first writer has left, or leave it."""
+    written = read_text(spark, path)
+    if written is None:
+        write_text(spark, path, value)
+    elif written != value:
+        raise ValueError(f"the tables were written with the {name} {written}, not {value}")
 
 
-def _block_key(stream_id: str, level: int, block: int) -> str:
-    return batch_key(stream_id, block) if level == 0 else f"{stream_id}-L{level}-{block:012d}"
-
-
-def _parsed_key(key: str) -> tuple[str, int, int]:
-    """Stream, level and block of a folder key."""
-    stream, _, block = key.rpartition("-")
-    head, _, level = stream.rpartition("-L")
-    if head and level.isdigit():
-        return head, int(level), int(block)
-    return stream, 0, int(block)
+# ------------------------------------------------------- folders of cells
 
 
-def valid_keys(keys: Sequence[str], fold: int) -> list[str]:
-    """The keys that together hold every batch once: none that lies in a stored larger block."""
-    known = {_parsed_key(k): k for k in keys}
-    return [
-        key
-        for (stream, level, block), key in known.items()
-        if not any(
-            (stream, up, block // fold ** (up - level)) in known
-            for up in range(level + 1, _LEVELS + 1)
+def cell_tables(job: Job) -> dict[str, tuple]:
+    """The tables of mergeable cells: schema, how a batch makes them, how many become one."""
+    tables = {CELLS: (CELL_SCHEMA, hour_cells, merge_cells)}
+    if job.reporters != NO_REPORTERS:
+        exact = job.reporters == EXACT
+        kind = T.StringType() if exact else T.BinaryType()
+        schema = T.StructType([f for f in CELL_SCHEMA if f.name in (NAMES.area, NAMES.category, NAMES.date)])
+        tables[REPORTER_CELLS] = (
+            schema.add(REPORTER_COLUMN, kind),
+            partial(reporter_cells, exact=exact),
+            partial(merge_reporters, exact=exact),
         )
-    ]
+    return tables
 
 
-def _day_folders(spark: SparkSession, job: Job, day: str) -> list[str]:
+def _day_folders(spark: SparkSession, job: Job, day: str, table: str = CELLS) -> list[str]:
     """The batch keys of the cell folders of a day."""
-    names = subfolders(spark, f"{job.path(CELLS)}/{NAMES.date}={day}")
-    return [n.partition("=")[2] for n in names if n.startswith(f"{BATCH_KEY}=")]
+    return stored_keys(spark, f"{job.path(table)}/{NAMES.date}={day}")
 
 
-def _cells_of(spark: SparkSession, job: Job, day: str, keys: Sequence[str]) -> DataFrame | None:
-    root = job.path(CELLS)
+def _cells_of(
+    spark: SparkSession, job: Job, day: str, keys: Sequence[str], table: str = CELLS
+) -> DataFrame | None:
+    root = job.path(table)
     paths = [f"{root}/{NAMES.date}={day}/{BATCH_KEY}={key}" for key in keys]
     if not paths:
         return None
-    reader = spark.read.schema(with_batch_key(CELL_SCHEMA)).option("basePath", root)
-    return reader.parquet(*paths)
+    schema = with_batch_key(cell_tables(job)[table][0])
+    return spark.read.schema(schema).option("basePath", root).parquet(*paths)
 
 
-def stored_cells(spark: SparkSession, job: Job, days: Sequence[str]) -> DataFrame:
-    """The hour cells of the given days, every batch once."""
-    parts = [
-        _cells_of(spark, job, day, valid_keys(_day_folders(spark, job, day), job.fold))
-        for day in days
-    ]
-    empty = spark.createDataFrame([], with_batch_key(CELL_SCHEMA))
-    return reduce(DataFrame.unionByName, [p for p in parts if p is not None], empty)
+def stored_cells(
+    spark: SparkSession, job: Job, days: Sequence[str], table: str = CELLS
+) -> DataFrame:
+    """The cells of the given days, every batch once; batches without a commit do not count."""
+    known = set(committed_keys(spark, job.root)) if job.keeps_commits else None
+    parts = []
+    for day in days:
+        keys = valid_keys(_day_folders(spark, job, day, table), job.fold)
+        counting = [k for k in keys if _counts(k, known, job.fold)]
+        parts.append(_cells_of(spark, job, day, counting, table))
+    empty = spark.createDataFrame([], with_batch_key(cell_tables(job)[table][0]))
+    found = [p.select(empty.columns) for p in parts if p is not None]
+    return reduce(DataFrame.unionByName, found, empty)
+
+
+def _counts(key: str, known: set[str] | None, fold: int) -> bool:
+    """Whether a batch is committed, alone or in a folded block; blocks of cells always are."""
+    if known is None or parsed_key(key)[1] > 0 or key in known:
+        return True
+    stream, _, block = parsed_key(key)
+    ups = (block_key(stream, up, block // fold**up) for up in range(1, LEVELS + 1))
+    return any(up in known for up in ups)
 
 
 def fold_cells(
     spark: SparkSession, job: Job, stream_id: str, batch_id: int, days: Sequence[str]
 ) -> None:
-    """Fold the blocks that ended before this batch, and drop what lies in a larger block.
+    """Fold the blocks of cells that ended before this batch, by day."""
+    for table, (_, _, merge) in cell_tables(job).items():
+        for day in days:
 
-    Batches before this one are committed and never rerun, so a block is folded when the next
-    one begins. Its folder replaces the smaller ones by its mere presence; they are deleted
-    afterwards, and after a failure in between the next batch of the day deletes them.
-    """
-    for day in days:
-        found = _day_folders(spark, job, day)
-        for level in range(1, _LEVELS + 1):
-            size = job.fold**level
-            held = {_parsed_key(k): k for k in found}
-            ended: dict[int, list[str]] = {}
-            for (stream, at, block), key in held.items():
-                over = (block // job.fold + 1) * size <= batch_id
-                if stream == stream_id and at == level - 1 and over:
-                    ended.setdefault(block // job.fold, []).append(key)
-            for block, keys in ended.items():
-                if (stream_id, level, block) not in held:
-                    cells = _cells_of(spark, job, day, keys).drop(BATCH_KEY)
-                    key = _block_key(stream_id, level, block)
-                    write_batch(
-                        merge_cells(cells), job.path(CELLS), key, DAY, job.compression
-                    )
-                    found.append(key)
-        for key in set(found) - set(valid_keys(found, job.fold)):
-            remove_folder(spark, f"{job.path(CELLS)}/{NAMES.date}={day}/{BATCH_KEY}={key}")
+            def write(keys: list[str], key: str, day=day, table=table, merge=merge) -> None:
+                cells = _cells_of(spark, job, day, keys, table).drop(BATCH_KEY)
+                write_batch(merge(cells), job.path(table), key, DAY, job.compression)
+
+            path = f"{job.path(table)}/{NAMES.date}={day}"
+            fold_folders(spark, path, stream_id, batch_id, job.fold, write)
+
+
+# ----------------------------------------------------------------- commits
+
+
+def not_stored(spark: SparkSession, job: Job, batch: DataFrame, stream_id: str) -> DataFrame:
+    """The rows whose source offset no other stream has stored."""
+    spans = stored_spans(spark, job.root, stream_id)
+    return batch if spans is None else without_spans(batch, spans, job.topic)
+
+
+def commit_batch(spark: SparkSession, job: Job, batch: DataFrame, key: str, days: Sequence[str]) -> None:
+    """Make the files of a batch count, and remember the offsets it took."""
+    parts = [
+        file_rows(spark, job.root, table, schema, clock, key, days)
+        for table, (schema, clock) in COMMITTED_TABLES.items()
+    ]
+    if job.once:
+        parts.append(span_rows(offset_spans(batch, job.topic)))
+    write_commit(spark, job.root, key, parts)
+
+
+def keep_commits(spark: SparkSession, job: Job, stream_id: str, batch_id: int, days: Sequence[str]) -> None:
+    """Fold the commits of ended blocks and pack small files of sealed batches."""
+
+    def write(keys: list[str], key: str) -> None:
+        fold_commits(spark, job.root, keys, key, job.grace_seconds)
+
+    fold_folders(spark, job.path(COMMITS), stream_id, batch_id, job.fold, write, job.grace_seconds)
+    if job.pack_every and batch_id and batch_id % job.pack_every == 0:
+        compact(
+            spark,
+            job.root,
+            COMMITTED_TABLES,
+            days,
+            stream_id,
+            batch_id,
+            fan=job.fold,
+            target_bytes=job.pack_bytes,
+            codec=job.compression,
+            grace_seconds=job.grace_seconds,
+        )
 
 
 def _together(spark: SparkSession, writes: Sequence[Callable[[], None]]) -> None:
@@ -231,11 +320,11 @@ def _together(spark: SparkSession, writes: Sequence[Callable[[], None]]) -> None
 def write_rollups(
     spark: SparkSession,
     job: Job,
-    merged_hours: DataFrame,
+    tables: Mapping[str, DataFrame],
     days: Sequence[str] | None = None,
     grown: bool = False,
 ) -> None:
-    """Derive and write the four rollup tables of a set of merged hour cells.
+    """Write the derived rollup tables side by side.
 
     With ``days`` these days are replaced as a whole and no other one is touched; without, the
     tables are replaced. Cells that have only ``grown`` leave no stale partition to look for.
@@ -243,24 +332,33 @@ def write_rollups(
 
     def write(table: str, rows: DataFrame) -> None:
         place = job.path(table), ROLLUPS[table]
-        if days is None:
+        if job.snapshots:
+            publish(rows, place[0], days, place[1], job.compression, grace_seconds=job.grace_seconds)
+        elif days is None:
             replace_table(rows, *place, job.compression)
         elif grown:
             replace_partitions(rows, *place, job.compression)
         else:
             replace_days(rows, place[0], days, place[1], job.compression)
 
-    tables = derive_rollups(merged_hours, job.universe)
     _together(spark, [partial(write, *item) for item in tables.items()])
 
 
+def derive_reporters(job: Job, merged: DataFrame) -> dict[str, DataFrame]:
+    return {REPORTERS: count_reporters(merged, job.reporters == EXACT)}
+
+
 def refresh_rollups(
     spark: SparkSession, job: Job, days: Sequence[str], grown: bool = False
 ) -> None:
     """Rebuild the rollup tables of the given days from the stored cells."""
     merged = merge_cells(stored_cells(spark, job, days)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_rollups(spark, job, merged, days, grown)
+        tables = derive_rollups(merged, job.universe)
+        if job.reporters != NO_REPORTERS:
+            merge = cell_tables(job)[REPORTER_CELLS][2]
+            tables |= derive_reporters(job, merge(stored_cells(spark, job, days, REPORTER_CELLS)))
+        write_rollups(spark, job, tables, days, grown)
     finally:
         merged.unpersist()
 
@@ -272,6 +370,12 @@ def write_micro_batch(job: Job, batch: DataFrame, stream_id: str, batch_id: int)
     """
     spark = batch.sparkSession
     check_zone(spark, job)
+    if job.keeps_commits:
+        if not exists(spark, job.path(COMMITS)):
+            adopt(spark, job.root, COMMITTED_TABLES, CELLS)
+        _agree(spark, f"{job.path(COMMITS)}/{FOLD_FILE}", str(job.fold), "fold")
+    if job.once:
+        batch = not_stored(spark, job, batch, stream_id)
     batch.persist(StorageLevel.MEMORY_AND_DISK)
     hours = hour_cells(batch).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -290,19 +394,30 @@ def write_micro_batch(job: Job, batch: DataFrame, stream_id: str, batch_id: int)
             writes += [
                 partial(write_batch, facts, paths[0], key, DAY_AREA, codec, job.fact_layout),
                 partial(write_batch, hours, paths[1], key, DAY, codec),
+                *[
+                    partial(write_batch, make(batch), job.path(table), key, DAY, codec)
+                    for table, (_, make, _) in cell_tables(job).items()
+                    if table != CELLS
+                ],
                 partial(
                     write_batch, alerts, paths[2], key, DAY_AREA, codec, days=days if rerun else ()
                 ),
             ]
             _together(spark, writes)
+            if days:
+                commit_batch(spark, job, batch, key, days)
             fold_cells(spark, job, stream_id, batch_id, days)
+            chores: list[Callable[[], None]] = [
+                partial(keep_commits, spark, job, stream_id, batch_id, days)
+            ]
             if job.refresh:
-                refresh_rollups(spark, job, days, grown=not rerun)
+                chores.append(partial(refresh_rollups, spark, job, days, not rerun))
+            _together(spark, chores)
         else:
             writes += [
                 partial(append_rows, facts, paths[0], DAY_AREA, codec, job.fact_layout),
                 partial(replace_table, alerts, paths[2], DAY_AREA, codec),
-                partial(write_rollups, spark, job, hours),
+                partial(write_rollups, spark, job, _last_batch_tables(job, hours, batch)),
             ]
             _together(spark, writes)
     finally:
@@ -310,6 +425,13 @@ def write_micro_batch(job: Job, batch: DataFrame, stream_id: str, batch_id: int)
         batch.unpersist()
 
 
+def _last_batch_tables(job: Job, hours: DataFrame, batch: DataFrame) -> dict[str, DataFrame]:
+    tables = derive_rollups(hours, job.universe)
+    if job.reporters != NO_REPORTERS:
+        tables |= derive_reporters(job, cell_tables(job)[REPORTER_CELLS][1](batch))
+    return tables
+
+
 def stream_id_of(batch: DataFrame) -> str:
     """The id Spark keeps in the checkpoint of the running query."""
     stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")

@@ -14,9 +14,10 @@ from pyspark.sql.streaming import StreamingQuery
 from blotter.functions import seconds
 from blotter.operators.feeds import first_per_id, live_rows
 from blotter.schema import BATCH_KEY, INCIDENT_TTL_SECONDS
+from blotter.sinks.keys import batch_key
 from blotter.sinks.tables import write_batch
 from blotter.sources.tables import read_days
-from blotter.streaming.job import batch_key, stream_id_of
+from blotter.streaming.job import stream_id_of
 
 _SALTS = 32
 # The feed is stored by arrival, in buckets one time to live wide.
@@ -135,17 +136,17 @@ def dedupe_live(
     Spark may hold an id for up to twice the time to live; ``start_live_feed`` accepts it
     again after exactly one. A first pass drops repeats within salted ids, where the salt
     is the task of the row, so the rows of a hot id spread over tasks; the second pass sees
-    at most one row per id and salt.
+    at most one row per id and salt. Rows without a time are in no window and all pass.
     """
-    timed = stream.withColumn(clock, F.col(clock).cast("timestamp")).withWatermark(
-        clock, f"{ttl_seconds} seconds"
-    )
+    typed = stream.withColumn(clock, F.col(clock).cast("timestamp"))
+    timed = typed.where(F.col(clock).isNotNull()).withWatermark(clock, f"{ttl_seconds} seconds")
     salted = timed.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(_SALTS)))
-    return (
+    once = (
         salted.dropDuplicatesWithinWatermark([*ids, "__salt"])
         .drop("__salt")
         .dropDuplicatesWithinWatermark(list(ids))
     )
+    return once.unionByName(typed.where(F.col(clock).isNull()))
 
 
 def observe_feed(df: DataFrame, name: str, expired: str | None = None) -> DataFrame:

@@ -35,6 +35,7 @@ from blotter.schema import (
     TEMPORAL_SCHEMA,
 )
 from blotter.session import remove_folder, shared_folder, subfolders
+from blotter.sinks.keys import valid_keys
 from blotter.sinks.tables import AS_IS, REBALANCE
 from blotter.sources.streams import read_file_stream, topic_options
 from blotter.sources.tables import read_table
@@ -44,7 +45,6 @@ from blotter.streaming.job import (
     Job,
     start,
     stream_id_of,
-    valid_keys,
     write_micro_batch,
 )
 from blotter.streaming.live import dedupe_live, observe_feed, read_live, start_live_feed
