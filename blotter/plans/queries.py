@@ -1021,8 +1021,8 @@ def _commit_lots(spark: SparkSession, sf_dir: str, lot: Column, lots: int) -> st
     for i in range(lots):
         key = batch_key("lot", i)
         write_batch(rows.where(F.col("__lot") == i).drop("__lot"), f"{root}/{FACTS}", key)
-        part = file_rows(spark, root, FACTS, FACT_SCHEMA, NAMES.clock, key, days)
-        write_commit(spark, root, key, [part])
+        found = file_rows(spark, root, FACTS, FACT_SCHEMA, NAMES.clock, key, days)
+        write_commit(spark, root, key, found)
     return root
 
 

@@ -181,7 +181,8 @@ REPORTERS_SCHEMA = _struct(
     district=_STRING, crime_type=_STRING, reporters=_BIGINT, date_partition=_STRING
 )
 
-# One row per file, per key that a compaction replaced on a day, and per run of source offsets.
+# One row per file, per key that a compaction replaced on a day, and per run of source offsets;
+# times are microseconds since 1970.
 COMMIT_SCHEMA = _struct(
     kind=_STRING,
     table=_STRING,
@@ -189,11 +190,11 @@ COMMIT_SCHEMA = _struct(
     date_partition=_STRING,
     district=_STRING,
     file_uri=_STRING,
-    modified=_TIME,
+    modified=_BIGINT,
     file_size=_BIGINT,
     row_count=_BIGINT,
-    least=_TIME,
-    greatest=_TIME,
+    least=_BIGINT,
+    greatest=_BIGINT,
     topic=_STRING,
     source_partition=_INT,
     first_offset=_BIGINT,

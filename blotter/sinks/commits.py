@@ -6,15 +6,17 @@ stream, such as a replay under a new checkpoint, leaves out the rows whose offse
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from blotter.schema import BATCH_KEY, COMMIT_SCHEMA, COMMITS, NAMES, with_batch_key
-from blotter.session import file_system
+from blotter.schema import BATCH_KEY, COMMIT_SCHEMA, COMMITS, NAMES
+from blotter.session import file_system, write_text
 from blotter.sinks.keys import parsed_key, valid_keys
-from blotter.sinks.tables import replace_partitions
 from blotter.sources.commits import (
     FILE,
     GONE,
@@ -98,51 +100,118 @@ def without_spans(records: DataFrame, spans: DataFrame, topic: str) -> DataFrame
 # ---------------------------------------------------------------- commits
 
 
-def file_rows(
-    spark: SparkSession, root: str, table: str, schema, clock: str, key: str, days: Sequence[str]
-) -> DataFrame:
-    """Commit rows of the files that a key has on the given days: only their clock is read."""
-    pattern = f"/*/{BATCH_KEY}={key}"
-    system, where = file_system(spark, day_pattern(f"{root}/{table}", NAMES.date, days, pattern))
-    if not system.globStatus(where):
-        return spark.createDataFrame([], COMMIT_SCHEMA)
-    stored = raw_days(spark, f"{root}/{table}", days, with_batch_key(schema), below=pattern)
-    meta = F.col("_metadata")
-    return (
-        stored.groupBy(
-            NAMES.date,
-            NAMES.area,
-            meta["file_path"].alias("file_uri"),
-            meta["file_modification_time"].alias("modified"),
-            meta["file_size"].alias("file_size"),
+# Rows, least and greatest clock (microseconds) of a batch by (day, area).
+Bounds = dict[tuple[str, str], tuple[int, int | None, int | None]]
+
+
+def bounds_of(df: DataFrame, clock: str) -> Bounds:
+    """What a batch holds by day and area; as many rows as it writes folders reach the driver."""
+    found = df.groupBy(NAMES.date, NAMES.area).agg(
+        F.count(F.lit(1)), F.min(F.unix_micros(clock)), F.max(F.unix_micros(clock))
+    )
+    return {(r[0], r[1]): tuple(r)[2:] for r in found.collect()}
+
+
+def _listed(spark: SparkSession, root: str, table: str, key: str, days: Sequence[str]) -> list[dict]:
+    """The files that a key has on the given days; only its own folders are listed."""
+    pattern = day_pattern(f"{root}/{table}", NAMES.date, days, f"/*/{BATCH_KEY}={key}/*.parquet")
+    system, where = file_system(spark, pattern)
+    found = []
+    for status in system.globStatus(where) or []:
+        path = status.getPath()
+        values = dict(part.split("=", 1) for part in path.toString().split("/") if "=" in part)
+        found.append(
+            {
+                "kind": FILE,
+                "table": table,
+                "key": key,
+                NAMES.date: unquote(values[NAMES.date]),
+                NAMES.area: unquote(values[NAMES.area]),
+                "file_uri": path.toUri().toString(),
+                "modified": status.getModificationTime() * 1000,
+                "file_size": status.getLen(),
+            }
         )
-        .agg(
-            F.count(F.lit(1)).alias("row_count"),
-            F.min(clock).alias("least"),
-            F.max(clock).alias("greatest"),
+    return found
+
+
+def file_rows(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    schema,
+    clock: str,
+    key: str,
+    days: Sequence[str],
+    bounds: Bounds | None = None,
+) -> list[dict]:
+    """Commit rows of the files that a key has on the given days.
+
+    With the bounds of the batch no file is opened where each folder has one; else the clock of
+    the new files is read, in tasks.
+    """
+    if not days:
+        return []
+    files = _listed(spark, root, table, key, days)
+    folders = [(f[NAMES.date], f[NAMES.area]) for f in files]
+    if bounds is None or len(set(folders)) < len(files) or not set(folders) <= set(bounds):
+        if not files:
+            return []
+        stored = raw_days(spark, f"{root}/{table}", days, schema, below=f"/*/{BATCH_KEY}={key}")
+        counted = stored.groupBy(F.col("_metadata.file_path")).agg(
+            F.count(F.lit(1)), F.min(F.unix_micros(clock)), F.max(F.unix_micros(clock))
         )
-        .withColumns({"kind": F.lit(FILE), "table": F.lit(table), "key": F.lit(key)})
-    )
+        told = {r[0]: tuple(r)[1:] for r in counted.collect()}
+        measured = [told.get(f["file_uri"], (0, None, None)) for f in files]
+    else:
+        measured = [bounds[folder] for folder in folders]
+    for file, (n, least, greatest) in zip(files, measured, strict=True):
+        file |= {"row_count": n, "least": least, "greatest": greatest}
+    return files
 
 
-def gone_rows(spark: SparkSession, replaced: Mapping[tuple[str, str], Sequence[str]]) -> DataFrame:
+def gone_rows(replaced: Mapping[tuple[str, str], Sequence[str]]) -> list[dict]:
     """Commit rows that take keys out of a table's day."""
-    rows = [(GONE, table, key, day) for (table, day), keys in replaced.items() for key in keys]
-    named = spark.createDataFrame(rows, f"kind string, table string, key string, {NAMES.date} string")
-    return named.withColumn("modified", F.current_timestamp())
+    now = int(time.time() * 1_000_000)
+    return [
+        {"kind": GONE, "table": table, "key": key, NAMES.date: day, "modified": now}
+        for (table, day), keys in replaced.items()
+        for key in keys
+    ]
 
 
 def span_rows(spans: DataFrame) -> DataFrame:
     return spans.withColumn("kind", F.lit(SPAN))
 
 
-def write_commit(spark: SparkSession, root: str, key: str, parts: Sequence[DataFrame]) -> None:
-    """Make a batch count: its rows appear below the commits in one folder, by one rename."""
-    rows = spark.createDataFrame([], COMMIT_SCHEMA)
+def write_commit(
+    spark: SparkSession, root: str, key: str, rows: Sequence[dict], parts: Sequence[DataFrame] = ()
+) -> None:
+    """Make a batch count: its rows appear below the commits in one folder, by one rename.
+
+    Rows about the files of a batch are written by the driver; parts that grow with rows, such
+    as runs of offsets, by Spark.
+    """
+    folder = f"{root}/{COMMITS}/{BATCH_KEY}={key}"
+    if not parts:
+        aside = f"{root}/{COMMITS}/_aside-{key}"
+        write_text(spark, f"{aside}/rows.json", "".join(json.dumps(r) + "\n" for r in rows))
+        system, old = file_system(spark, aside)
+        _, new = file_system(spark, folder)
+        system.delete(new, True)
+        if not system.rename(old, new):
+            raise RuntimeError(f"the commit {key} could not be put in place")
+        return
+    whole = spark.createDataFrame([tuple(r.get(c) for c in COMMIT_SCHEMA.names) for r in rows], COMMIT_SCHEMA)
     for part in parts:
-        rows = rows.unionByName(part, allowMissingColumns=True)
-    keyed = rows.select(*COMMIT_SCHEMA.names).withColumn(BATCH_KEY, F.lit(key))
-    replace_partitions(keyed, f"{root}/{COMMITS}", [BATCH_KEY], "snappy")
+        whole = whole.unionByName(part, allowMissingColumns=True)
+    keyed = whole.select(*COMMIT_SCHEMA.names).withColumn(BATCH_KEY, F.lit(key))
+    (
+        keyed.write.mode("overwrite")
+        .partitionBy(BATCH_KEY)
+        .option("partitionOverwriteMode", "dynamic")
+        .json(f"{root}/{COMMITS}")
+    )
 
 
 def fold_commits(
@@ -156,7 +225,7 @@ def fold_commits(
     rows = commit_rows(spark, root, keys).drop(BATCH_KEY)
     files = rows.where(F.col("kind") == FILE)
     gone = rows.where(F.col("kind") == GONE)
-    late = F.col("modified") <= F.current_timestamp() - F.make_dt_interval(secs=F.lit(2 * grace_seconds))
+    late = F.col("modified") <= int((time.time() - 2 * grace_seconds) * 1_000_000)
     paired = gone.where(late).join(files.select("table", "key", NAMES.date), ["table", "key", NAMES.date], "left_semi")
     needed = gone.join(
         paired.select("table", "key", NAMES.date), ["table", "key", NAMES.date], "left_anti"
@@ -165,7 +234,7 @@ def fold_commits(
         rows.where(F.col("kind") == SPAN).select(*_PLACE, "first_offset", "last_offset")
     )
     kept = without_gone(rows).where(F.col("kind") == FILE)
-    write_commit(spark, root, key, [kept, needed, span_rows(spans)])
+    write_commit(spark, root, key, [], [kept, needed, span_rows(spans)])
 
 
 def stored_spans(spark: SparkSession, root: str, stream_id: str) -> DataFrame | None:
@@ -185,23 +254,20 @@ def adopt(spark: SparkSession, root: str, tables: Mapping[str, tuple], cells: st
     Every file is committed under the key of its folder, and every batch of the count cells
     counts as committed.
     """
-    parts, keys = [], set()
+    rows, keys = [], set()
     for table, (schema, clock) in tables.items():
         found = list_files(spark, f"{root}/{table}", (NAMES.date, NAMES.area, BATCH_KEY))
-        if found.isEmpty():
-            continue
-        stored = spark.read.schema(with_batch_key(schema)).parquet(f"{root}/{table}")
-        counted = stored.groupBy(F.col("_metadata.file_path").alias("file_uri")).agg(
-            F.count(F.lit(1)).alias("row_count"), F.min(clock).alias("least"), F.max(clock).alias("greatest")
-        )
-        rows = found.join(counted, "file_uri").withColumnRenamed(BATCH_KEY, "key")
-        parts.append(rows.withColumns({"kind": F.lit(FILE), "table": F.lit(table)}).drop("file_path"))
-        keys |= {r[0] for r in found.select(BATCH_KEY).distinct().collect() if r[0]}
+        here: dict[str, list[str]] = {}
+        for row in found.select(NAMES.date, BATCH_KEY).distinct().collect():
+            here.setdefault(row[1], []).append(row[0])
+        for key, days in here.items():
+            rows += file_rows(spark, root, table, schema, clock, key, days)
+        keys |= set(here)
     batches = list_files(spark, f"{root}/{cells}", (NAMES.date, BATCH_KEY))
-    keys |= {r[0] for r in batches.select(BATCH_KEY).distinct().collect() if r[0]}
-    if not parts and not keys:
+    keys |= {r[0] for r in batches.select(BATCH_KEY).distinct().collect()}
+    if not keys:
         return
-    for key in keys:
+    for key in keys - {None}:
         system, where = file_system(spark, f"{root}/{COMMITS}/{BATCH_KEY}={key}")
         system.mkdirs(where)
-    write_commit(spark, root, "adopted-000000000000", parts)
+    write_commit(spark, root, "adopted-000000000000", rows)

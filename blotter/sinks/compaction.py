@@ -10,6 +10,7 @@ deleted a grace time later, for those who have listed them.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Mapping, Sequence
 from math import log
 
@@ -97,7 +98,7 @@ def compact(
     if not days or exists(spark, f"{root}/{COMMITS}/{BATCH_KEY}={pack}"):
         return {}
     sealed = is_sealed(stream_id, number if running else None)
-    parts: list[DataFrame] = []
+    found: list[dict] = []
     replaced: dict[tuple[str, str], list[str]] = {}
     for table, (schema, clock) in tables.items():
         path = f"{root}/{table}"
@@ -114,11 +115,11 @@ def compact(
         named = spark.createDataFrame(pairs, f"{NAMES.date} string, {BATCH_KEY} string")
         rows = read_listed(spark, path, files.join(named, [NAMES.date, BATCH_KEY], "left_semi"), schema)
         write_batch(rows, path, pack, DAY_AREA, codec)
-        parts.append(file_rows(spark, root, table, schema, clock, pack, sorted(chosen)))
+        found += file_rows(spark, root, table, schema, clock, pack, sorted(chosen))
         replaced |= {(table, day): keys for day, keys in chosen.items()}
     if replaced:
         before_commit()
-        write_commit(spark, root, pack, [*parts, gone_rows(spark, replaced)])
+        write_commit(spark, root, pack, found + gone_rows(replaced))
     for table in tables:
         sweep(spark, f"{root}/{table}", grace_seconds)
     return replaced
@@ -136,8 +137,7 @@ def sweep(spark: SparkSession, table_root: str, grace_seconds: float) -> None:
     """Delete the folders of keys that were replaced longer than the grace ago."""
     root, table = job_root(table_root)
     gone = commit_rows(spark, root).where((F.col("kind") == GONE) & (F.col("table") == table))
-    grace = F.make_dt_interval(secs=F.lit(grace_seconds))
-    late = gone.where(F.col("modified") <= F.current_timestamp() - grace)
+    late = gone.where(F.col("modified") <= int((time.time() - grace_seconds) * 1_000_000))
     replaced: dict[str, set[str]] = {}
     for row in late.select(NAMES.date, "key").distinct().collect():  # named until they are folded
         replaced.setdefault(row[0], set()).add(row[1])

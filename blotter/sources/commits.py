@@ -51,7 +51,7 @@ def commit_rows(spark: SparkSession, root: str, keys: Iterable[str] | None = Non
     if not folders:
         return spark.createDataFrame([], schema)
     reader = spark.read.schema(schema).option("basePath", f"{root}/{COMMITS}")
-    return reader.parquet(*folders)
+    return reader.json(folders)
 
 
 def without_gone(rows: DataFrame) -> DataFrame:
@@ -86,6 +86,8 @@ def live_files(
     if days is not None:
         rows = rows.where(F.col(NAMES.date).isin(list(days)))
     files = without_gone(rows).where(F.col("kind") == FILE)
+    times = ("modified", "least", "greatest")
+    files = files.withColumns({c: F.timestamp_micros(c) for c in times})
     if since is not None:
         files = files.where(F.col("greatest").isNull() | (F.col("greatest") > since))
     if until is not None:

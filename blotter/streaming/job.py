@@ -48,7 +48,9 @@ from blotter.schema import (
 )
 from blotter.session import exists, read_text, write_text
 from blotter.sinks.commits import (
+    Bounds,
     adopt,
+    bounds_of,
     file_rows,
     fold_commits,
     offset_spans,
@@ -276,15 +278,16 @@ def not_stored(spark: SparkSession, job: Job, batch: DataFrame, stream_id: str)
     return batch if spans is None else without_spans(batch, spans, job.topic)
 
 
-def commit_batch(spark: SparkSession, job: Job, batch: DataFrame, key: str, days: Sequence[str]) -> None:
+def commit_batch(
+    spark: SparkSession, job: Job, batch: DataFrame, key: str, bounds: Mapping[str, Bounds]
+) -> None:
     """Make the files of a batch count, and remember the offsets it took."""
-    parts = [
-        file_rows(spark, job.root, table, schema, clock, key, days)
-        for table, (schema, clock) in COMMITTED_TABLES.items()
-    ]
-    if job.once:
-        parts.append(span_rows(offset_spans(batch, job.topic)))
-    write_commit(spark, job.root, key, parts)
+    rows = []
+    for table, (schema, clock) in COMMITTED_TABLES.items():
+        days = sorted({day for day, _ in bounds[table]})
+        rows += file_rows(spark, job.root, table, schema, clock, key, days, bounds[table])
+    spans = [span_rows(offset_spans(batch, job.topic))] if job.once else []
+    write_commit(spark, job.root, key, rows, spans)
 
 
 def keep_commits(spark: SparkSession, job: Job, stream_id: str, batch_id: int, days: Sequence[str]) -> None:
@@ -379,8 +382,9 @@ def write_micro_batch(job: Job, batch: DataFrame, stream_id: str, batch_id: int)
     batch.persist(StorageLevel.MEMORY_AND_DISK)
     hours = hour_cells(batch).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # The days of one batch; the null day of a clock that is missing has no folder.
-        days = [r[0] for r in hours.select(NAMES.date).distinct().collect() if r[0] is not None]
+        # The days and areas of one batch: as many as it writes folders of facts.
+        bounds = {FACTS: bounds_of(batch, NAMES.clock)}
+        days = sorted({day for day, _ in bounds[FACTS]})
         facts = fact_rows(batch)
         alerts = critical_alerts(fold_to_days(hours), job.thresholds)
         paths = job.path(FACTS), job.path(CELLS), job.path(ALERTS)
@@ -403,9 +407,10 @@ def write_micro_batch(job: Job, batch: DataFrame, stream_id: str, batch_id: int)
                     write_batch, alerts, paths[2], key, DAY_AREA, codec, days=days if rerun else ()
                 ),
             ]
+            writes.append(lambda: bounds.update({ALERTS: bounds_of(alerts, "alert_time")}))
             _together(spark, writes)
             if days:
-                commit_batch(spark, job, batch, key, days)
+                commit_batch(spark, job, batch, key, bounds)
             fold_cells(spark, job, stream_id, batch_id, days)
             chores: list[Callable[[], None]] = [
                 partial(keep_commits, spark, job, stream_id, batch_id, days)
