@@ -413,20 +413,18 @@ def keep_one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     least = F.min("least").alias("least")
     firsts = classes.groupBy("component").agg(least).where("least IS NOT NULL").select("least.*")
     repeats = marked.groupBy("doc_id", "mark").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    heads = stored(
-        firsts.join(repeats, ["doc_id", "mark"], "left").select(
-            F.col("doc_id").alias(head), F.col("mark").alias(mark), "rows"
-        ),
-        "simhash",
-    )
+    renamed = [F.col("doc_id").alias(head), F.col("mark").alias(mark)]
+    # What goes is mostly far less than what stays, so it is the list that the texts are met with.
+    named = marked.where(F.col("doc_id").isNotNull()).select("doc_id", "mark")
+    dropped = stored(named.join(firsts, ["doc_id", "mark"], "left_anti").select(*renamed), "simhash")
+    several = stored(firsts.join(repeats, ["doc_id", "mark"], "left_semi").select(*renamed), "simhash")
     discard(classes, marked)
     own = [F.col(f"`{c}`") for c in docs.columns]
     body = F.xxhash64(F.col(f"`{text}`").cast("binary"))
     same = (F.col(f"`{doc_id}`") == F.col(head)) & (body == F.col(mark))
-    kept = docs.join(heads.where("rows IS NULL").drop("rows"), same).select(*own)
-    several = heads.where("rows IS NOT NULL").drop("rows")
-    if not several.isEmpty():
-        order = Window.partitionBy(head, mark).orderBy(F.monotonically_increasing_id())
-        ranked = docs.join(several, same).withColumn(again, F.row_number().over(order))
-        kept = kept.unionByName(ranked.where(F.col(again) == 1).select(*own))
-    return kept.unionByName(docs.where(F.col(f"`{doc_id}`").isNull()))
+    if several.isEmpty():
+        return docs.join(dropped, same, "left_anti")
+    order = Window.partitionBy(head, mark).orderBy(F.monotonically_increasing_id())
+    ranked = docs.join(several, same).withColumn(again, F.row_number().over(order))
+    others = docs.join(dropped.unionByName(several), same, "left_anti")
+    return others.unionByName(ranked.where(F.col(again) == 1).select(*own))
