@@ -176,7 +176,11 @@ def format_records(nodes: DataFrame, branches: int = 1, loss_role: str = "assist
 
 
 def read_records(records: DataFrame) -> DataFrame:
-    """Records with ``turns`` (role, text) and ``loss_text``, both from the text and its spans."""
+    """Records with ``turns`` (role, text) and ``loss_text``, both from the text and its spans.
+
+    An empty or null ``formatted`` has no turns and no text under the loss; repeated records are
+    read each; an added name that clashes gets underscores; an empty table stays empty.
+    """
     taken = records.columns
     turns, loss = fresh_name(taken, "turns"), fresh_name(taken, "loss_text")
     pieces = F.filter(F.split("formatted", r"<\|im_start\|>"), lambda p: p != "")

@@ -7,15 +7,18 @@ the last two of them. The shift table tells for a block how far the search may m
 string can end sooner (m - 1 words for a block in no string); a shift of zero leads to the
 bucket of the strings that end in this block, which are compared word by word.
 
-The benchmark is cut into pieces of bounded length and dealt into shards of bounded bytes. A
-shard is broadcast and searched in one pass over the documents that adds its hits to those of
-the shards before, so a benchmark of any size works. Documents are never shuffled.
+The benchmark is cut into pieces of bounded length and dealt into shards of bounded bytes. One
+shard is broadcast and searched in one pass over the documents. Of several, each is searched in
+a pass of its own that sends what it hits by the text's digest; these few rows are put together
+and met with the documents. A task has the tables of one shard at a time.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark import Broadcast
@@ -138,12 +141,65 @@ def find_contamination(
     at = {n: schema.names.index(n) for n in (text, words, spans, items)}
     spark = docs.sparkSession
     deal = F.pmod(F.xxhash64("item", "piece"), F.lit(shards))
-    for shard in range(shards):
+
+    def sent(shard: int) -> Broadcast:
         # About shard_bytes, as pieces are dealt evenly and each has a bounded length.
         rows = [tuple(r) for r in pieces.where(deal == shard).collect()]
-        sent = spark.sparkContext.broadcast(rows)
-        found = found.mapInArrow(_scan(sent, window, at), schema)
-    return found
+        return spark.sparkContext.broadcast(rows)
+
+    if shards == 1:
+        return found.mapInArrow(_scan(sent(0), window, at), schema)
+    # Each shard is a branch of its own that sends the few texts it hits, so a task holds the
+    # tables of one shard at a time, however many there are.
+    bodies = docs.select(F.col(f"`{text}`").cast("binary").alias("body"))
+    branches = [
+        bodies.mapInArrow(_hit_texts(sent(i), window), "digest binary, spans array<int>, items array<string>")
+        for i in range(shards)
+    ]
+    hits = stored(reduce(DataFrame.unionByName, branches).distinct(), "hits")
+    by_text = hits.groupBy("digest").agg(
+        F.flatten(F.collect_list("spans")).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    )
+    digest, got, named = (fresh_name(found.columns, n) for n in ("digest", "spans", "items"))
+    told = by_text.mapInArrow(_joined, "digest binary, spans array<int>, items array<string>")
+    told = told.toDF(digest, got, named)
+    own = F.unhex(F.sha2(F.col(f"`{text}`").cast("binary"), 256))
+    met = found.join(told, own == F.col(digest), "left").withColumns(
+        {spans: F.coalesce(got, spans), items: F.coalesce(named, items)}
+    )
+    nothing = spark.sparkContext.broadcast([])
+    return met.select(*[F.col(f"`{c}`") for c in schema.names]).mapInArrow(_scan(nothing, window, at), schema)
+
+
+def _hit_texts(sent: Broadcast, window: int):
+    """(digest, spans, items) of the texts that one shard hits."""
+    key = uuid.uuid4().hex
+    kinds = [pa.binary(), pa.list_(pa.int32()), pa.list_(pa.string())]
+
+    def scan(batches):
+        tests = searchers(key, sent.value, window)
+        for batch in batches:
+            found = []
+            for content in batch.column(0).to_pylist():
+                words = words_of(content) if content else []
+                hits = [(s, s + t.length, i) for t in tests for s, i in t.hits(words)]
+                if hits:
+                    named = sorted({i for h in hits for i in h[2] if i is not None}, key=str.encode)
+                    found.append((hashlib.sha256(content).digest(), merged([h[:2] for h in hits]), named))
+            columns = list(zip(*found, strict=True)) or [()] * 3
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, ["digest", "spans", "items"])
+
+    return scan
+
+
+def _joined(batches):
+    """The ranges that several shards have found in a text, put together."""
+    for batch in batches:
+        spans = [merged(list(zip(s[::2], s[1::2], strict=True))) for s in batch.column(1).to_pylist()]
+        columns = [batch.column(0), pa.array(spans, pa.list_(pa.int32())), batch.column(2)]
+        yield pa.RecordBatch.from_arrays(columns, ["digest", "spans", "items"])
 
 
 def _scan(sent: Broadcast, window: int, at: dict[str, int]):
@@ -197,7 +253,11 @@ def hit_words(spans: Column) -> Column:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The documents without any benchmark window, with their own columns."""
+    """The documents without any benchmark window, with their own columns, whatever their names.
+
+    Null and empty texts have no window and stay, as do all rows if the benchmark is empty;
+    repeated rows and ids are judged each by its text; an empty table stays empty.
+    """
     spans = fresh_name(docs.columns, "hit_spans")
     found = find_contamination(docs, benchmark, text)
     return found.where(F.size(spans) == 0).select(*[F.col(f"`{c}`") for c in docs.columns])

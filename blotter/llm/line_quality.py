@@ -293,7 +293,12 @@ def _slabs(texts: list[bytes]):
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents predicted good, with their own columns."""
+    """Documents predicted good, with their own columns, whatever their names.
+
+    Null and empty texts are scored like any other text; repeated rows and ids are judged each
+    by its text, so ties and copies share a verdict. Labels without a document, with a null
+    or repeated as the model's docstring says; an empty table stays empty.
+    """
     named = fresh_name(docs.columns, "predicted")
     kept = score_quality(docs, labels).where(F.col(named) == 1)
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from blotter.llm.common import file_bytes, only, stored
+from blotter.llm.common import fresh_name, file_bytes, only, stored
 from blotter.llm.word_ids import word_ids
 
 END_ID = 1
@@ -197,11 +197,16 @@ def pack(pieces: DataFrame, capacity: Capacity = Capacity()) -> DataFrame:
     """``pieces`` (with ``length``, at most the capacity) plus sequence_id and offset.
 
     Every row is a piece of its own, repeated or not; which of the pieces of one length goes where
-    is fixed by the order of their columns inside a slice. Empty input gives an empty result.
+    is fixed by the order of their columns inside a slice. An added name that clashes with one of
+    the pieces gets underscores. Empty input gives an empty result; an empty or too long piece
+    is refused.
     """
     own = [F.col(f"`{c}`") for c in pieces.columns]
-    salt = F.xxhash64(F.monotonically_increasing_id(), *own)
-    kept = stored(pieces.withColumn("_salt", salt), "pieces")
+    names = ("salt", "slice", "n", "base", "inside", "rank", "first", "number", "start", "place", "length")
+    salt, part, n, base, inside, rank, first, number, start, place, long = (
+        fresh_name(pieces.columns, f"_{name}") for name in names
+    )
+    kept = stored(pieces.withColumn(salt, F.xxhash64(F.monotonically_increasing_id(), *own)), "pieces")
     # At most as many rows as a sequence has tokens, whatever the corpus.
     counts = {r["length"]: r["count"] for r in kept.groupBy("length").count().collect()}
     if counts and (min(counts) < 1 or max(counts) > capacity.tokens):
@@ -209,27 +214,30 @@ def pack(pieces: DataFrame, capacity: Capacity = Capacity()) -> DataFrame:
     runs = best_fit(counts, capacity)
     spark = pieces.sparkSession
     columns = list(zip(*runs, strict=True)) or [()] * 5
-    names = ("length", "_first", "_number", "_sequence", "offset")
     table = spark.createDataFrame(
-        pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names, columns, strict=True)})
+        pa.table(
+            {c: pa.array(v, pa.int64()) for c, v in zip((long, first, number, start, place), columns, strict=True)}
+        )
     )
     if len(runs) <= MAX_BROADCAST_RUNS:
         table = F.broadcast(table)
     slices = -(-max(counts.values(), default=1) // SLICE_ROWS)
-    sliced = kept.withColumn("_slice", F.pmod("_salt", F.lit(slices)).cast("int"))
-    per_slice = sliced.groupBy("length", "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("length").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    base = per_slice.select(
-        "length", "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base")
+    sliced = kept.withColumn(part, F.pmod(salt, F.lit(slices)).cast("int"))
+    per_slice = sliced.groupBy("length", part).agg(F.count(F.lit(1)).alias(n))
+    before = Window.partitionBy("length").orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    bases = per_slice.select("length", part, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(base))
+    order = Window.partitionBy("length", part).orderBy(*own)
+    ranked = sliced.withColumn(inside, F.row_number().over(order) - 1).join(bases, ["length", part])
+    ranked = ranked.withColumn(rank, F.col(inside) + F.col(base))
+    placed = ranked.join(table, F.col("length") == F.col(long)).where(
+        (F.col(rank) >= F.col(first)) & (F.col(rank) < F.col(first) + F.col(number))
     )
-    inside = F.row_number().over(Window.partitionBy("length", "_slice").orderBy(*own)) - 1
-    ranked = sliced.withColumn("_in", inside).join(base, ["length", "_slice"])
-    ranked = ranked.withColumn("_rank", F.col("_in") + F.col("_base"))
-    placed = ranked.join(table, "length").where(
-        (F.col("_rank") >= F.col("_first")) & (F.col("_rank") < F.col("_first") + F.col("_number"))
+    sequence = F.col(start) + F.col(rank) - F.col(first)
+    return placed.select(
+        *own,
+        sequence.alias(fresh_name(pieces.columns, "sequence_id")),
+        F.col(place).alias(fresh_name(pieces.columns, "offset")),
     )
-    sequence = (F.col("_sequence") + F.col("_rank") - F.col("_first")).alias("sequence_id")
-    return placed.select(*own, sequence, "offset")
 
 
 def pack_documents(

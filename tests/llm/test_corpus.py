@@ -57,3 +57,35 @@ def test_pipeline_stages_take_effect(spark):
 def test_whole_run(spark):
     rows = corpus_pipeline.run(spark, SF)
     assert rows.columns[:2] == ["doc_id", "piece"] and rows.count() > 100
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_stages_take_odd_rows_and_clashing_columns(spark, name):
+    from pyspark.sql import functions as F
+
+    stage = dict(corpus_pipeline.STAGES)[name]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    odd = [
+        (None, None, None, None, None), (None, "", None, None, 0), (5001, None, None, None, None),
+        (5002, "", "en", None, 0), (5003, "  \n", "en", "s", 3), (5004, "x " * 30_000, "en", "s", 60_000),
+        (5005, "twice the same row", "en", "s", 18), (5005, "twice the same row", "en", "s", 18),
+        (5005, "another text of this id", "en", "s", 23),
+    ]
+    frame = docs.unionByName(spark.createDataFrame(odd, ODD))
+    clashing = ["head", "mark", "again", "lang_pred", "predicted", "n_words", "hit_spans", "digest", "length", "offset", "rows"]
+    frame = frame.withColumns({c: F.lit(7) for c in clashing})
+    whole = spark.createDataFrame(frame.collect(), frame.schema)
+    out = stage(spark, whole, SF)
+    found = out.collect()
+    if name == "packing":
+        assert {r["doc_id"] for r in found} >= {5001, 5002, 5003, 5004, 5005, None}
+    else:
+        assert out.columns == whole.columns
+        texts = {(r["doc_id"], r["text"]) for r in found}
+        assert texts <= {(r["doc_id"], r["text"]) for r in whole.collect()}
+        if name == "near_copies":
+            assert sum(r["doc_id"] == 5005 for r in found) == 2
+    assert stage(spark, whole.limit(0), SF).collect() == []

@@ -322,3 +322,23 @@ def test_folds_follow_crc32(spark):
 
     rows = spark.range(50).select("id", fold(F.col("id"), 5).alias("f")).collect()
     assert all(r["f"] == zlib.crc32(str(r["id"]).encode()) % 5 for r in rows)
+
+
+def test_fifty_shards_match_brute_force_without_stacked_passes(spark):
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(25)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([3, 10, 14])))) for i in range(120)]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.choice([0, 4, 60]))) for _ in range(60)]
+    texts += [f"a b {items[i][1]} c {items[i + 1][1]}" for i in range(0, 100, 7)]
+    rows = [(i % 70, t) for i, t in enumerate([*texts, None, "", texts[3], texts[60], texts[60]])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    frame = frame.withColumns({"digest": F.lit(1), "spans": F.lit("x"), "items": F.lit(2)})
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    total = sum(len(t) + 24 for _, t in items)
+    found = find_contamination(frame, bench, shard_bytes=-(-total // 50))
+    assert found.columns == [*frame.columns, "n_words", "hit_spans", "hit_items"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") <= 2
+    got = found.select("doc_id", "n_words", decontaminate.hit_words("hit_spans").alias("n"), "hit_items").collect()
+    expected = [(i, n, hit, named) for i, n, hit, named in brute_contamination(rows, items)]
+    assert sorted(map(tuple, got)) == sorted(expected)

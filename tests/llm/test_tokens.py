@@ -324,3 +324,19 @@ def test_registered_packing(spark, words):
         assert r["start"] == 4096 * r["piece"] and crc(part) == r["ids_crc32"]
     used = len({r["sequence_id"] for r in rows})
     assert used <= 1.02 * sum(map(len, ids.values())) / 4096 + 1
+
+
+def test_pieces_may_have_columns_of_the_result(spark):
+    from blotter.llm.packing import Capacity, pack
+
+    rows = [(i, 1 + i % 5, 9, 8, 7) for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, length long, offset int, sequence_id int, _rank int")
+    packed = pack(frame, Capacity.of_tokens(10))
+    assert packed.columns == [*frame.columns, "sequence_id_", "offset_"]
+    found = packed.collect()
+    assert len(found) == 40 and {r["offset"] for r in found} == {9}
+    taken = {}
+    for r in found:
+        for at in range(r["offset_"], r["offset_"] + r["length"]):
+            assert taken.setdefault((r["sequence_id_"], at), r["doc_id"]) == r["doc_id"]
+    assert pack(frame.limit(0), Capacity.of_tokens(10)).collect() == []
