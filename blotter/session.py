@@ -6,8 +6,10 @@ import atexit
 import tempfile
 import time
 import uuid
+import zipfile
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
+from pathlib import Path
 from typing import Any
 
 import pyarrow as pa
@@ -146,6 +148,26 @@ def work_folders(spark: SparkSession, purpose: str, count: int = 1) -> Iterator[
             remove_folder(spark, path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that a session can be
+    started from any folder."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    # The driver serves the file to the executors; the archive itself may lie on its own disk.
+    folder = tempfile.mkdtemp(prefix="blotter-package-")
+    archive = f"{folder}/{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def lookup_table(
     spark: SparkSession, entries: Mapping[str, str] | Mapping[str, int], key: str, value: str
 ) -> DataFrame:

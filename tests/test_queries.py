@@ -26,3 +26,46 @@ def test_query_matches_sql(spark, name):
     columns, _, expected = oracle_rows(SF, ORACLES[name])
     assert sorted(df.columns) == sorted(columns)
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == expected
+
+
+@pytest.fixture(scope="module")
+def later_events(tmp_path_factory):
+    """The events 400 days later, every eleventh without a clock."""
+    import datetime as dt
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    folder = tmp_path_factory.mktemp("later")
+    events = pq.read_table(f"{SF}/events.parquet").sort_by("event_id")
+    at = [
+        None if i % 11 == 5 else t + dt.timedelta(days=400)
+        for i, t in enumerate(events["ts"].to_pylist())
+    ]
+    place = events.schema.get_field_index("ts")
+    moved = events.set_column(place, events.schema.field(place), pa.array(at, events.schema.field(place).type))
+    pq.write_table(moved, folder / "events.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "trigger_volumes",
+        "observed_feed",
+        "stream_dedupe",
+        "stream_live_feed",
+        "stream_expired",
+        "stream_windowed_alerts",
+        "stream_rollup",
+        "stream_replay_once",
+        "compacted_facts",
+    ],
+)
+def test_stream_query_on_events_of_another_year_and_without_clocks(spark, later_events, name):
+    df = QUERIES[name](spark, later_events)
+    columns, _, expected = oracle_rows(later_events, ORACLES[name])
+    assert sorted(df.columns) == sorted(columns)
+    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == expected
+    if name == "trigger_volumes":
+        assert len(expected) == 4
