@@ -324,6 +324,20 @@ def test_registered_packing(spark, words):
         assert r["start"] == 4096 * r["piece"] and crc(part) == r["ids_crc32"]
     used = len({r["sequence_id"] for r in rows})
     assert used <= 1.02 * sum(map(len, ids.values())) / 4096 + 1
+    # Every piece of every document is there once, and sequences have neither gaps nor overlaps.
+    assert sorted((r["doc_id"], r["piece"]) for r in rows) == sorted(
+        (i, p) for i, found in ids.items() for p in range(-(-len(found) // 4096))
+    )
+    assert all(r["length"] == min(4096, len(ids[r["doc_id"]]) - r["start"]) for r in rows)
+    filled: dict = {}
+    for r in rows:
+        filled.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in filled.values():
+        ends = [0]
+        for offset, length in sorted(parts):
+            assert offset == ends[-1]
+            ends.append(offset + length)
+        assert ends[-1] <= 4096
 
 
 def test_pieces_may_have_columns_of_the_result(spark):
