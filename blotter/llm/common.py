@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.session import work_folder
+from blotter.session import remove_folder, work_folder
 
 # A fixed vocabulary or model file is sent to the executors only up to this size.
 MAX_SHIPPED_BYTES = 64 << 20
@@ -22,16 +22,15 @@ def stored(df: DataFrame, purpose: str = "llm", codec: str = "snappy") -> DataFr
     any executor."""
     path = work_folder(df.sparkSession, purpose)
     df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found._stored_below = path
+    return found
 
 
 def discard(*frames: DataFrame) -> None:
-    """Delete the files below stored frames that nothing reads any more."""
+    """Delete the folders of stored frames that nothing reads any more."""
     for df in frames:
-        spark = df.sparkSession
-        for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            path = spark._jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove_folder(df.sparkSession, df._stored_below)
 
 
 def file_bytes(path: str) -> bytes:
