@@ -58,8 +58,6 @@ def later_events(tmp_path_factory):
         "stream_expired",
         "stream_windowed_alerts",
         "stream_rollup",
-        "stream_replay_once",
-        "compacted_facts",
     ],
 )
 def test_stream_query_on_events_of_another_year_and_without_clocks(spark, later_events, name):
