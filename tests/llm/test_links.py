@@ -130,6 +130,43 @@ def test_recall_on_pairs_at_the_bound(spark):
     assert linked >= 0.97 * len(rows)
 
 
+def test_candidates_per_row_stay_level_as_a_label_grows(spark, monkeypatch):
+    """Random vectors link with nothing: what is counted is the work of the candidate search."""
+    monkeypatch.setattr(embedding_links, "CELL_ROWS", 256)
+    rng = np.random.default_rng(9)
+    vectors = rng.standard_normal((20_000, 16)).astype("f4").tolist()
+    per_row = []
+    for n in (5_000, 20_000):
+        rows = [("0", i, 1, v) for i, v in enumerate(vectors[:n])]
+        classes = spark.createDataFrame(rows, "label string, node long, copies long, embedding array<float>")
+        found = embedding_links._neighbours(classes, 0.98, 0.9999)
+        pairs = found.where("a is null and b is null").agg(F.sum("n")).first()[0]
+        per_row.append(pairs / n)
+    assert 0 < per_row[1] < 2 * per_row[0]
+
+
+def test_met_pairs_are_all_that_collide_on_every_lead():
+    rng = np.random.default_rng(3)
+    lead, half = rng.standard_normal((300, 4)), 0.4
+    homes, queries = np.arange(200), np.arange(100, 300)
+    found = [
+        (int(q), int(h))
+        for a, b in embedding_links.met_pairs(lead, homes, queries, half)
+        for q, h in zip(a, b, strict=True)
+    ]
+    wanted = {(q, h) for q in queries for h in homes if (np.abs(lead[q] - lead[h]) <= half).all()}
+    assert len(found) == len(set(found))
+    assert set(found) == wanted
+    assert list(embedding_links.met_pairs(lead, homes[:0], queries, half)) == []
+
+
+def test_projections_do_not_depend_on_the_batch():
+    unit = embedding_links.scaled(np.random.default_rng(4).standard_normal((50, 768)))
+    whole = embedding_links.projected(unit, 12, 1)
+    parts = [embedding_links.projected(unit[i : i + 1], 5, 1) for i in range(50)]
+    assert (whole[:, :5] == np.concatenate(parts)).all()
+
+
 def test_needed_collisions_is_calibrated():
     loose = embedding_links.needed_collisions(16, 0.9999)
     assert loose <= embedding_links.needed_collisions(16, 0.9) <= 16
