@@ -1,6 +1,8 @@
 """Decontamination, line quality and language identification."""
 
+import math
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -175,6 +177,75 @@ def test_registered_quality_on_held_out_rows(spark):
     assert np.mean([r["predicted"] == r["quality"] for r in rows]) > 0.95
 
 
+def plain_line(line, seen):
+    """The features of one line, counted byte by byte."""
+    upper = sum(0x41 <= b <= 0x5A for b in line)
+    digit = sum(0x30 <= b <= 0x39 for b in line)
+    symbols, points = b"#$%&*+/<=>@[\\]^_`{}~", b"\"'(),-.:;?"
+    kinds = [
+        upper, digit, line.count(b" ") + line.count(b"\t"), line.count(b"|"), line.count(b"!"),
+        sum(b in symbols for b in line), sum(b in points for b in line), sum(b >= 0x80 for b in line),
+    ]
+    words = line.split()
+    few = 1 - min(1.0, len(set(words)) / max(len(words), 1) ** 0.9)
+    shares = [math.sqrt(k / max(len(line), 1)) for k in kinds]
+    return [1.0, math.log(1 + len(line)) / 5, *shares, few, float(len(line) < 20), float(line in seen)]
+
+
+def plain_quality(field, text):
+    """The score of one text: log-space passes over one line after the other."""
+    lines = (text or "").encode().split(b"\n")
+    rows = [plain_line(line, lines[:i]) for i, line in enumerate(lines)]
+    nothing = [0.0] * len(rows[0])
+    odds = []
+    for i, row in enumerate(rows):
+        wide = row + (rows[i - 1] if i else nothing) + (rows[i + 1] if i + 1 < len(rows) else nothing)
+        raw = sum((x - m) / s * w for x, m, s, w in zip(wide, field.mean, field.spread, field.emit, strict=True))
+        odds.append([0.0, min(30.0, max(-30.0, raw))])
+    n = len(odds)
+    ahead, behind = [odds[0]], [[0.0, 0.0]]
+    for i in range(1, n):
+        ahead.append([odds[i][y] + np.logaddexp(*(ahead[-1][x] + field.move[x, y] for x in (0, 1))) for y in (0, 1)])
+    for i in range(n - 1, 0, -1):
+        behind.append([np.logaddexp(*(field.move[x, y] + odds[i][y] + behind[-1][y] for y in (0, 1))) for x in (0, 1)])
+    behind.reverse()
+    both = [(f[0] + b[0], f[1] + b[1]) for f, b in zip(ahead, behind, strict=True)]
+    bad = [1 / (1 + math.exp(min(700.0, good - worse))) for good, worse in both]
+    weight = [len(line) + 1 for line in lines]
+    goodness = 1 - sum(b * w for b, w in zip(bad, weight, strict=True)) / sum(weight)
+    goodness = min(1 - 1e-3, max(1e-3, goodness))
+    return 1 / (1 + math.exp(-(field.slope * math.log(goodness / (1 - goodness)) + field.level)))
+
+
+def kept_result(monkeypatch, module):
+    """The models that the module's ``train`` gives from now on."""
+    learnt, train = [], module.train
+    monkeypatch.setattr(module, "train", lambda *a: learnt.append(train(*a)) or learnt[-1])
+    return learnt
+
+
+def test_registered_quality_equals_one_line_after_the_other(spark, monkeypatch):
+    learnt = kept_result(monkeypatch, line_quality)
+    rows = QUERIES["op6_line_quality"](spark, SF).collect()
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert len(rows) == len(docs)
+    wanted = {i: plain_quality(learnt[0], text) for i, text in docs.items()}
+    assert max(abs(r["score"] - wanted[r["doc_id"]]) for r in rows) < 1e-9
+    assert all(r["predicted"] == (wanted[r["doc_id"]] >= 0.3) for r in rows)
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
+
+
+def test_odd_texts_equal_one_line_after_the_other(spark, monkeypatch):
+    learnt = kept_result(monkeypatch, line_quality)
+    rows = labelled(spark)
+    texts = [None, "", "\n", "a\n\na\n", "Ünï | 12!!\t$ (x)\n" * 40, "word " * 9_000, "| |\nplain words here\n| |"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["quality_score"] for r in score_quality(rows.select("doc_id", "text").union(
+        docs.select(F.col("doc_id") - 100, "text")), rows.select("doc_id", "quality")).collect()}
+    for i, text in enumerate(texts):
+        assert abs(found[i - 100] - plain_quality(learnt[0], text)) < 1e-9
+
+
 def test_sample_is_bounded(spark, monkeypatch):
     monkeypatch.setattr(line_quality, "PER_LABEL", 10)
     rows = labelled(spark)
@@ -317,9 +388,57 @@ def test_registered_language_on_held_out_rows(spark):
     assert np.mean([r["lang_pred"] == r["lang"] for r in rows]) > 0.97
 
 
-def test_folds_follow_crc32(spark):
-    import zlib
+def plain_language(network, text):
+    """Language and score of one text: windows and filters moved on byte by byte."""
+    raw = text.encode()
+    step = byte_language.WINDOW - max(byte_language.WIDTHS) + 1
+    total, start = 0.0, 0
+    while True:
+        part = raw[start : start + byte_language.WINDOW]
+        vectors = network.embed[list(part.ljust(byte_language.WINDOW, b"\0"))].astype(float)
+        peaks = []
+        for width, weights in zip(byte_language.WIDTHS, network.filters, strict=True):
+            grams = [vectors[i : i + width].ravel() for i in range(byte_language.WINDOW - width + 1)]
+            peaks += (np.array(grams) @ weights.astype(float)).max(0).tolist()
+        total = total + np.maximum(np.array(peaks) + network.shift, 0) * len(part)
+        if start + byte_language.WINDOW >= len(raw):
+            break
+        start += step
+    # Windows overlap, so their bytes are counted as often as they occur.
+    sizes = sum(len(raw[s : s + byte_language.WINDOW]) for s in range(0, start + 1, step))
+    height = total / sizes @ network.dense.astype(float) + network.bias
+    chances = np.exp(height - height.max())
+    chances /= chances.sum()
+    return network.languages[int(chances.argmax())], float(chances.max())
+
+
+def test_registered_language_equals_one_byte_after_the_other(spark, monkeypatch):
+    learnt = kept_result(monkeypatch, byte_language)
+    rows = QUERIES["op7_language_id"](spark, SF).collect()
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert len(rows) == len(docs)
+    for r in rows:
+        text = docs[r["doc_id"]] or ""
+        if not any(map(str.isalpha, text)):
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            continue
+        language, score = plain_language(learnt[0], text)
+        assert (r["lang_pred"], r["score"]) == (language, pytest.approx(score, abs=1e-4))
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
+
+
+def test_odd_texts_equal_one_byte_after_the_other(spark, monkeypatch):
+    learnt = kept_result(monkeypatch, byte_language)
+    texts = ["a", "Ü", "the dog " * 3_000, *("x y" * n for n in (84, 85, 86, 170, 171))]
+    odd = spark.createDataFrame([(9000 + i, t, None) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    found = predict_languages(spoken(spark).union(odd), F.col("doc_id") < 9000).where("doc_id >= 9000").collect()
+    assert len(found) == len(texts)
+    for r in found:
+        language, score = plain_language(learnt[0], r["text"])
+        assert (r["lang_pred"], r["lang_score"]) == (language, pytest.approx(score, abs=1e-4))
+
 
+def test_folds_follow_crc32(spark):
     rows = spark.range(50).select("id", fold(F.col("id"), 5).alias("f")).collect()
     assert all(r["f"] == zlib.crc32(str(r["id"]).encode()) % 5 for r in rows)
 
