@@ -14,20 +14,38 @@ from pyspark.sql.streaming import StreamingQuery
 from blotter.functions import seconds
 from blotter.operators.feeds import first_per_id, live_rows
 from blotter.schema import BATCH_KEY, INCIDENT_TTL_SECONDS
+from blotter.session import subfolders, work_folders
 from blotter.sinks.keys import batch_key
 from blotter.sinks.tables import write_batch
 from blotter.sources.tables import read_days
+from blotter.streaming.chains import kept_arrivals, kept_rows
 from blotter.streaming.job import stream_id_of
 
 _SALTS = 32
 # The feed is stored by arrival, in buckets one time to live wide.
 BUCKET = "arrival_bucket"
+# A batch of more slices than this is a catch-up.
+FEW_SLICES = 8
 
 
 def _bucket(epoch_seconds: int, ttl_seconds: int) -> int:
     return epoch_seconds - epoch_seconds % ttl_seconds
 
 
+def _slices_after_stored(
+    spark: SparkSession, path: str, slices: Sequence[int], key: str
+) -> list[int]:
+    """The slices later than every bucket that holds rows of another batch."""
+    after = slices[0] - 1
+    named = (name.partition("=") for name in subfolders(spark, path))
+    buckets = [int(value) for name, _, value in named if name == BUCKET and value.lstrip("-").isdigit()]
+    for bucket in sorted((b for b in buckets if b >= slices[0]), reverse=True):
+        if set(subfolders(spark, f"{path}/{BUCKET}={bucket}")) - {f"{BATCH_KEY}={key}"}:
+            after = bucket
+            break
+    return [at for at in slices if at > after]
+
+
 def read_live(
     spark: SparkSession,
     path: str,
@@ -69,8 +87,9 @@ def write_live_batch(
     """Store the rows of one batch whose id is not live; a rerun replaces its own rows.
 
     The batch is taken in slices of arrival time one time to live wide, which are the buckets
-    of the feed, in their order: a batch of a few seconds is one or two slices, a catch-up as
-    many as it spans. In a slice a row counts if no row of its id was kept less than the
+    of the feed, in their order: a batch of a few seconds is one or two slices. Of a catch-up of
+    many, the slices after all that is stored are taken at once (``streaming/chains.py``), with
+    the same result, in a number of steps that grows with the logarithm of the slices. In a slice a row counts if no row of its id was kept less than the
     time to live before it, and of those the first one is kept. Kept times of an id are at least
     the time to live apart, so a slice keeps one row per id, and only the slice's own bucket
     and the one before it are read. Equal times are decided by the ``tie`` columns, by default
@@ -88,7 +107,8 @@ def write_live_batch(
     same = [F.col(i).eqNullSafe(F.col(f"__{i}")) for i in ids]
     try:
         slices = sorted(int(r[0]) for r in rows.select(BUCKET).distinct().collect())
-        for at in slices:
+        far = _slices_after_stored(spark, path, slices, key) if len(slices) > FEW_SLICES else []
+        for at in slices[: len(slices) - len(far)]:
             near = [str(at - ttl_seconds), str(at)]
             stored = read_days(spark, path, near, schema, partition=BUCKET)
             # An earlier attempt of this batch may lie in this bucket; it is written anew.
@@ -102,6 +122,14 @@ def write_live_batch(
             )
             fresh = first_per_id(part.where(free), list(ids), clock, order)
             write_batch(fresh.select(*batch.columns, BUCKET), path, key, (BUCKET,))
+        if far:
+            stored = read_days(spark, path, [str(far[0] - ttl_seconds)], schema, partition=BUCKET)
+            part = rows.where(F.col(BUCKET).cast("long") >= far[0])
+            with work_folders(spark, "chains") as [folder]:
+                kept = kept_arrivals(part, stored, ids, clock, ttl_seconds, folder)
+                fresh = kept_rows(part, kept, ids, clock)
+                fresh = first_per_id(fresh, [*ids, BUCKET], clock, order)
+                write_batch(fresh.select(*batch.columns, BUCKET), path, key, (BUCKET,))
     finally:
         rows.unpersist()
 

@@ -375,6 +375,55 @@ def test_live_feed_of_batches_wider_than_the_time_to_live(spark, tmp_path):
     assert sorted((r.id, r.added_at, r.n) for r in found.collect()) == sorted(expected)
 
 
+def kept_one_by_one(data, ttl, last=()):
+    """(id, time, tie) that a feed keeps, arrival by arrival."""
+    kept, last = [], dict(last)
+    for at, who, i in sorted(data, key=lambda r: (r[0], str(r[1]), r[2])):
+        if who not in last or (at - last[who]).total_seconds() >= ttl:
+            last[who] = at
+            kept.append((who, at, i))
+    return kept
+
+
+def test_live_feed_catches_up_on_many_slices_at_once(spark, tmp_path):
+    """A hot id, a null id, gaps, ties and microseconds; each batch runs twice."""
+    rng = random.Random(8)
+
+    def lot(first, last, n):
+        times = [START + timedelta(microseconds=rng.randrange(first * 10**6, last * 10**6)) for _ in range(n)]
+        return [(at, rng.choice(["hot"] * 4 + ["a", None, f"once{rng.randrange(50)}"]), i) for i, at in enumerate(times)]
+
+    first = lot(0, 500, 400) + [(START + timedelta(seconds=s), "exact", s) for s in range(0, 500, 10)]
+    first += [(at, who, 1000) for at, who, _ in first[:60]]
+    second = lot(505, 1500, 300) + [(START + timedelta(seconds=5000), "hot", 1), (START + timedelta(seconds=9000), "a", 2)]
+    path, schema = str(tmp_path / "feed"), "id string, added_at timestamp, n long"
+    for b, part in enumerate((first, second)):
+        for _ in range(2):
+            rng.shuffle(part)
+            frame = spark.createDataFrame([(who, at, i) for at, who, i in part], schema).repartition(4)
+            write_live_batch(frame, path, f"s-{b:012d}", ["id"], ttl_seconds=10)
+    found = spark.read.schema(schema).parquet(path)
+    expected = kept_one_by_one(first + second, 10)
+    assert len(expected) > 200
+    rows = [(r.id, r.added_at, r.n) for r in found.collect()]
+    assert sorted(map(str, rows)) == sorted(map(str, expected))
+
+
+def test_catch_up_among_stored_slices_goes_through_them_in_order(spark, tmp_path):
+    """Rows of another batch in the middle of the catch-up are respected."""
+    path, schema = str(tmp_path / "feed"), "id string, added_at timestamp, n long"
+
+    def write(key, times):
+        lot = spark.createDataFrame([("a", START + timedelta(seconds=s), s) for s in times], schema)
+        write_live_batch(lot, path, key, ["id"], ttl_seconds=10)
+
+    write("s-000000000000", [55])
+    write("s-000000000001", range(0, 300, 3))
+    kept = sorted(r.n for r in spark.read.schema(schema).parquet(path).collect())
+    assert kept[:7] == [0, 12, 24, 36, 48, 55, 66]
+    assert kept[7:] == list(range(78, 300, 12))
+
+
 def arrivals(spark, data):
     return spark.createDataFrame(data, "id string, added_at timestamp")
 
