@@ -455,6 +455,37 @@ def test_expired_markers_against_brute_force(spark, tmp_path):
     assert sorted(tuple(r) for r in found.collect()) == sorted(expected)
 
 
+@pytest.mark.parametrize("kind", ["long", "string", "timestamp", "struct<a:long,b:string>"])
+def test_expired_markers_call_python_per_group_of_ids(spark, tmp_path, kind):
+    """2,000 ids of any type, beyond 2^53 and null, in 8 groups: 9 rows of state at most."""
+    big, ttl = 1 << 60, timedelta(seconds=40)
+    at = [START, START + timedelta(seconds=39), START + timedelta(seconds=40), START + timedelta(seconds=90)]
+    path, out = str(tmp_path / "arrivals"), str(tmp_path / "out")
+    lots = [[(big + i, t) for i in range(2000)] + [(None, t)] for t in at]
+    schema = "id long, added_at timestamp"
+    for lot in lots:
+        spark.createDataFrame(lot, schema).coalesce(1).write.mode("append").parquet(path)
+    named = {
+        "long": F.col("id"),
+        "string": F.col("id").cast("string"),
+        "timestamp": F.timestamp_micros(F.col("id") - big),
+        "struct<a:long,b:string>": F.when(F.col("id").isNotNull(), F.struct(F.col("id").alias("a"), F.lit("x").alias("b"))),
+    }[kind].alias("id")
+    points = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    stream = expired_markers(points.select(named, "added_at"), 40, groups=8)
+    sink_ = stream.writeStream.format("parquet").option("path", out)
+    query = sink_.option("checkpointLocation", f"{out}-check").trigger(availableNow=True).start()
+    query.awaitTermination()
+    kept = [p.stateOperators[0].numRowsTotal for p in query.recentProgress]
+    assert max(kept) == 9 and kept[-1] == 9
+    found = spark.read.schema(f"id {kind}, added timestamp, expired timestamp").parquet(out)
+    ids = spark.createDataFrame(lots[0], schema).select(named)
+    stays = spark.createDataFrame([(t, t + ttl) for t in (at[0], at[2])], "added timestamp, expired timestamp")
+    expected = ids.crossJoin(stays)
+    assert found.count() == expected.count() == 4002
+    assert found.exceptAll(expected).isEmpty()
+
+
 def test_windows_come_once_when_the_watermark_has_passed(spark, tmp_path):
     lots = some_lots(2)
     lots[1].append((5, None, "a"))
