@@ -281,6 +281,28 @@ def test_interval_sets_against_plain_sets(spark, monkeypatch):
     assert sink.without_spans(asked, spans, "other").count() == asked.count()
 
 
+def test_scattered_offsets_take_a_mask_per_block_and_a_row_meets_one(spark, monkeypatch):
+    """Every third offset, a long run and offsets below zero; put together from two halves."""
+    monkeypatch.setattr(sink, "BUCKET_OFFSETS", 256)
+    taken = {0: set(range(1, 30_000, 3)), 1: set(range(100, 5_000)) | {9_000}, 2: set(range(-130, 70, 2))}
+    columns = f"{NAMES.source_partition} int, {NAMES.source_offset} long"
+    pairs = [(p, o) for p, s in taken.items() for o in s]
+    halves = [
+        sink.packed_offsets(spark.createDataFrame([*part, (None, 3), (1, None)], columns), "raw")
+        for part in ([q for q in pairs if q[1] % 2], [q for q in pairs if not q[1] % 2])
+    ]
+    spans = sink.packed_spans(halves[0].unionByName(halves[1])).localCheckpoint()
+    # 469 blocks of the first partition; a run, its two ends and one offset; five blocks.
+    assert spans.groupBy("source_partition").count().orderBy("source_partition").collect() == [(0, 469), (1, 4), (2, 5)]
+    asked = [(p, o) for p in (0, 1, 2, 3) for o in range(-200, 31_000)] + [(None, 1), (0, None)]
+    expected = {(p, o) for p, o in asked if o not in taken.get(p, ())}
+    runs_ = sink.merged_spans(sink.offset_spans(spark.createDataFrame(pairs, columns), "raw"))
+    records = spark.createDataFrame(asked, columns)
+    for known in (spans, halves[0].unionByName(halves[1]), runs_):
+        left = [tuple(r) for r in sink.without_spans(records, known, "raw").collect()]
+        assert len(left) == len(expected) and set(left) == expected
+
+
 def test_replay_under_a_new_checkpoint_is_stored_once(spark, tmp_path):
     job = Job(str(tmp_path / "out"), fold=2, once=True, topic="raw", pack_every=0)
     run_batches(spark, job, 3)
