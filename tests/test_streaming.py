@@ -28,6 +28,7 @@ from blotter.schema import (
     DENSITY_SCHEMA,
     FACT_SCHEMA,
     FACTS,
+    NAMES,
     SOURCE_SCHEMA,
     STATISTICS,
     STATISTICS_SCHEMA,
@@ -39,6 +40,7 @@ from blotter.sinks.keys import valid_keys
 from blotter.sinks.tables import AS_IS, REBALANCE
 from blotter.sources.streams import read_file_stream, topic_options
 from blotter.sources.tables import read_table
+from blotter.streaming import job as streaming_job
 from blotter.streaming.job import (
     CUMULATIVE,
     LAST_BATCH,
@@ -164,6 +166,22 @@ def test_last_batch_mode_keeps_only_the_last_batch(spark, lots, source, tmp_path
     assert sum(r.total_crimes for r in stored(spark, job, DENSITY).collect()) == 20
 
 
+def test_columns_that_no_write_reads_are_not_persisted(spark, lots, tmp_path, monkeypatch):
+    seen = []
+    kept = streaming_job.hour_cells
+    monkeypatch.setattr(streaming_job, "hour_cells", lambda batch: seen.append(set(batch.columns)) or kept(batch))
+    batch = decoded(spark.createDataFrame(lots[0], SOURCE_SCHEMA))
+    offsets = {NAMES.source_partition, NAMES.source_offset}
+    written = []
+    for i, options in enumerate(
+        [{"mode": LAST_BATCH}, {}, {"once": True, "topic": "raw"}, {"topic_writer": written.append}]
+    ):
+        write_micro_batch(Job(str(tmp_path / f"out-{i}"), thresholds=THRESHOLDS, **options), batch, "s", 0)
+    everything = set(batch.columns)
+    slim = everything - offsets - {NAMES.key}
+    assert seen == [slim, slim, slim | offsets, everything] and len(written) == 1
+
+
 @pytest.mark.parametrize("layout", [REBALANCE, AS_IS])
 def test_large_batches_keep_all_rows(spark, lots, tmp_path, layout):
     job = Job(str(tmp_path / "out"), thresholds=THRESHOLDS, fact_layout=layout)
