@@ -67,3 +67,27 @@ def test_stream_query_on_events_of_another_year_and_without_clocks(spark, later_
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == expected
     if name == "trigger_volumes":
         assert len(expected) == 4
+
+
+def test_lots_are_spread_over_cores_however_the_events_are_stored(spark, tmp_path):
+    """One row group of events: each lot is as many files as cores, every event is in one lot."""
+    from types import SimpleNamespace
+
+    from blotter.plans import queries as plans
+
+    path, counts = str(tmp_path / "lots"), []
+
+    def start():
+        counts.append(len(list((tmp_path / "lots").glob("*.parquet"))))
+        return SimpleNamespace(awaitTermination=lambda: None)
+
+    assert len(plans._each_lot(spark, SF, path, start)) == plans.LOTS
+    cores = spark.sparkContext.defaultParallelism
+    assert counts == [cores * (i + 1) for i in range(plans.LOTS)]
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    found = spark.read.parquet(path)
+    assert found.schema == events.schema
+    assert found.count() == events.count() and found.exceptAll(events).isEmpty()
+    # The second half alone, behind the first, in files of other names.
+    plans._each_lot(spark, SF, path, start, range(plans.LOTS // 2, plans.LOTS))
+    assert counts[-1] == cores * (plans.LOTS + plans.LOTS // 2)
